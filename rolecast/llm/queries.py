@@ -17,6 +17,29 @@ def tokenizer_path(spark: SparkSession) -> str:
     return spark.conf.get("rolecast.tokenizer.path", None) or str(public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .chat_format import digests, format_conversations
+
+    said = "\\### Assistant: </turn> ok"
+    probe = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    rows = read(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
+    return digests(format_conversations(rows.unionByName(probe)))
+
+
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .sharding import shuffle_into_shards
+
+    text = F.coalesce("text", F.lit(""))
+    sharded = shuffle_into_shards(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return sharded.select(F.col("doc_id").cast("long").alias("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .warc import archive_round_trip
+
+    return archive_round_trip(spark, read(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack_documents
 
