@@ -17,6 +17,12 @@ def tokenizer_path(spark: SparkSession) -> str:
     return spark.conf.get("rolecast.tokenizer.path", None) or str(public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op1_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .html_extract import extract
+
+    return extract(read(spark, sf_dir, "pages"))
+
+
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .chat_format import digests, format_conversations
 
