@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import read
@@ -46,6 +46,27 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_round_trip(spark, read(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def fold(parts: int) -> Column:
+    """crc32 of the id as text, modulo ``parts``; a null id is in no fold."""
+    return F.crc32(F.col("doc_id").cast("long").cast("string")) % parts
+
+
+def op8_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality_crf import learn, score
+
+    docs = read(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    model = learn(docs, read(spark, sf_dir, "labels").select("doc_id", "quality").filter(fold(5) != 0))
+    return score(docs, model).select("doc_id", (fold(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .langid import identify, learn
+
+    docs = read(spark, sf_dir, "documents")
+    model = learn(docs.select("doc_id", "text", "lang").filter(fold(4) != 2))
+    return identify(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), model).select("doc_id", (fold(4) == 2).alias("held_out"), "lang_pred", "score")
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack_documents
 
