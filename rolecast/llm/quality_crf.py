@@ -203,7 +203,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Chain | N
     per = (OWN + 2 * SHARES) * 2
     counts = [len(x) // per for _, _, x, _ in found]
     feats = np.frombuffer(b"".join(x for *_, x, _ in found), dtype=np.int16).reshape(-1, per // 2)
-    doc, y = np.repeat(np.arange(len(found)), counts), np.array([int(q > 0) for _, q, _ in found])
+    doc, y = np.repeat(np.arange(len(found)), counts), np.array([int(q > 0) for _, q, *_ in found])
     m = fit(doc, feats, y[doc])
     good = forward_backward(m, m.emit[feats].sum(axis=1), *padded(doc))[0][:, 1]
     length = np.frombuffer(b"".join(z for *_, z in found), dtype="<f4")
