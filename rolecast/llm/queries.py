@@ -23,6 +23,12 @@ def op1_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(read(spark, sf_dir, "pages"))
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .jaccard_join import jaccard_join
+
+    return jaccard_join(read(spark, sf_dir, "documents"), n=3, percent=90)
+
+
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .chat_format import digests, format_conversations
 
