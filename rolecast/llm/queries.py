@@ -23,6 +23,12 @@ def op1_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(read(spark, sf_dir, "pages"))
 
 
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .embed_dedup import embedding_links
+
+    return embedding_links(read(spark, sf_dir, "embeddings"), threshold=0.95)
+
+
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .jaccard_join import jaccard_join
 
