@@ -5,7 +5,9 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Callable
 from contextlib import suppress
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,6 +55,18 @@ def store(df: DataFrame, tag: str) -> tuple[DataFrame, str]:
     return spark.read.schema(df.schema).parquet(path), path
 
 
+HELD: dict[str, Any] = {}
+
+
+def held(name: str, make: Callable[[], Any], most: int = 6) -> Any:
+    """An object that a Python worker keeps from task to task; of so many, the oldest goes."""
+    if name not in HELD:
+        while len(HELD) >= most:
+            HELD.pop(next(iter(HELD)))
+        HELD[name] = make()
+    return HELD[name]
+
+
 def tasks(spark: SparkSession, units: float, each: float) -> int:
     """Partitions for ``units`` of work at ``each`` a task, no fewer than the session's."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(units / each) + 1)

@@ -32,6 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import held as kept
 from .common import store, tasks
 from .components import connected_components
 
@@ -70,6 +71,10 @@ class Shingler:
         return np.unique(acc ^ (acc >> np.uint64(32)))
 
 
+def shingler(n: int) -> Shingler:
+    return kept(f"shingler {n}", lambda: Shingler(n))
+
+
 @dataclass(frozen=True)
 class Frequent:
     """Hashes in order, and how many documents hold each."""
@@ -109,7 +114,7 @@ def _texts(df: DataFrame) -> DataFrame:
 
 def frequent_shingles(docs: DataFrame, n: int) -> Frequent:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingle, held, size, seen = Shingler(n), [], 0, set()
+        shingle, held, size, seen = shingler(n), [], 0, set()
 
         def report() -> pa.RecordBatch:
             values, counts = np.unique(np.concatenate(held), return_counts=True)
@@ -145,7 +150,7 @@ def signatures(docs: DataFrame, n: int, percent: int, frequent: Frequent) -> Dat
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingle, table = Shingler(n), shared.value
+        shingle, table = shingler(n), shared.value
         for b in batches:
             ids, sizes, digests, minima, matches, prefixes = b.column(0), [], [], [], [], []
             for text in b.column(1).to_pylist():
@@ -177,7 +182,7 @@ def verified(pairs: DataFrame, docs: DataFrame, n: int, percent: int, tag: str)
     needed = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingle = Shingler(n)
+        shingle = shingler(n)
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([shingle(t).tobytes() for t in b.column(1).to_pylist()], pa.binary())], names=["doc_id", "h"])
 

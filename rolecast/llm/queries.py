@@ -58,6 +58,13 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_round_trip(spark, read(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontaminate import contamination
+
+    docs = read(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return contamination(docs, read(spark, sf_dir, "benchmark")).filter("size(item_ids) > 0").select("doc_id", "item_ids", "covered")
+
+
 def fold(parts: int) -> Column:
     """crc32 of the id as text, modulo ``parts``; a null id is in no fold."""
     return F.crc32(F.col("doc_id").cast("long").cast("string")) % parts
