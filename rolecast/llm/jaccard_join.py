@@ -13,7 +13,7 @@ postings but fewer candidates pass, and the estimate from the frequencies decide
 share the smaller of the two l; then whole sets are compared.
 
 Groups of copies.  Equal sets are joined through one representative.  Near copies with equal minima under pairs of hash functions are
-compared with the smallest document of their group first; documents that link with the same one need not be paired again,
+compared with the smallest document of some of their groups first; documents that link with the same one need not be paired again,
 as only their component is asked for.  So a large group costs in proportion to its size, without a pair of different components left out.
 
 Edge cases: a null, empty or blank text has an empty set and links with nothing; fewer than ``n`` words make one
@@ -36,7 +36,7 @@ from .common import held as kept
 from .common import store, tasks
 from .components import connected_components
 
-CHUNK, FREQUENT, MOST_MATCHES, VERIFY_COST, MINIMA = 2_000_000, 1 << 17, 4, 10.0, 8
+CHUNK, FREQUENT, MOST_MATCHES, VERIFY_COST, MINIMA, AGREE, MOST_BROADCAST = 2_000_000, 1 << 17, 4, 10.0, 8, 3, 500_000
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 MIX, MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 #: Odd multipliers of the hash functions whose minima group near copies.
@@ -208,11 +208,13 @@ def verified(pairs: DataFrame, docs: DataFrame, n: int, percent: int, tag: str)
 
 
 def stars(reps: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of a document b with the smallest a of a group with equal minima, where their sizes allow a link."""
+    """For documents b near copies of which have smaller ids, one such a: the smallest that heads ``AGREE`` groups of b's."""
     keyed = reps.select("doc_id", "n", F.posexplode("minima").alias("i", "v"))
     heads = keyed.groupBy("i", "v").agg(F.min(F.struct("doc_id", "n")).alias("head"), F.count("*").alias("c")).filter("c > 1")
     found = keyed.join(heads.select("i", "v", F.col("head.doc_id").alias("a"), F.col("head.n").alias("na")), ["i", "v"]).filter(F.col("doc_id") > F.col("a"))
-    return found.filter(F.least("n", "na") * 100 >= F.greatest("n", "na") * percent).select("a", F.col("doc_id").alias("b")).distinct()
+    found = found.filter(F.least("n", "na") * 100 >= F.greatest("n", "na") * percent)
+    agreed = found.groupBy("a", F.col("doc_id").alias("b")).agg(F.count("*").alias("c")).filter(F.col("c") >= AGREE)
+    return agreed.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
 
 
 def candidates(reps: DataFrame, links: DataFrame, percent: int, parts: int) -> DataFrame:
