@@ -58,7 +58,7 @@ def store(df: DataFrame, tag: str) -> tuple[DataFrame, str]:
 HELD: dict[str, Any] = {}
 
 
-def held(name: str, make: Callable[[], Any], most: int = 6) -> Any:
+def held(name: str, make: Callable[[], Any], most: int = 2) -> Any:
     """An object that a Python worker keeps from task to task; of so many, the oldest goes."""
     if name not in HELD:
         while len(HELD) >= most:

@@ -10,7 +10,7 @@ Any fixed order gives the same links; frequencies only decide how much work they
 Prefixes.  If x and y link, they share at least ``ceil(percent * |x| / 100)`` shingles, so the first
 ``|x| - that + l`` of x and the like of y share l or more.  Each document picks its own l: a longer prefix costs more
 postings but fewer candidates pass, and the estimate from the frequencies decides.  A pair is a candidate when its prefixes
-share the smaller of the two l; then whole sets are compared.
+share the smaller of the two l and, with all that may follow, could still reach the similarity; then whole sets are compared.
 
 Groups of copies.  Equal sets are joined through one representative.  Near copies with equal minima under pairs of hash functions are
 compared with the smallest document of some of their groups first; documents that link with the same one need not be paired again,
@@ -108,6 +108,12 @@ def prefix(h: np.ndarray, frequent: Frequent, percent: int) -> tuple[np.ndarray,
     return h[order[: least + best - 1]], best
 
 
+def small(df: DataFrame, tag: str) -> DataFrame:
+    """``df`` stored, and marked for broadcast if it has ``MOST_BROADCAST`` rows of a few numbers at most."""
+    df, _ = store(df, tag)
+    return F.broadcast(df) if df.count() <= MOST_BROADCAST else df
+
+
 def _texts(df: DataFrame) -> DataFrame:
     return df.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
@@ -219,14 +225,18 @@ def stars(reps: DataFrame, percent: int) -> DataFrame:
 
 def candidates(reps: DataFrame, links: DataFrame, percent: int, parts: int) -> DataFrame:
     """Pairs whose prefixes share enough, but those that link with the same document already."""
-    label = links.groupBy("b").agg(F.min("a").alias("label")).withColumnRenamed("b", "doc_id")
-    postings = reps.join(label, "doc_id", "left").select(F.explode("prefix").alias("t"), "doc_id", F.col("n").cast("int").alias("n"), "matches", F.coalesce("label", "doc_id").alias("label"))
+    label = small(links.groupBy("b").agg(F.min("a").alias("label")).withColumnRenamed("b", "doc_id"), "labels")
+    known = reps.join(label, "doc_id", "left").withColumns({"n": F.col("n").cast("int"), "rest": (F.col("n") - F.size("prefix")).cast("int"), "label": F.coalesce("label", "doc_id")})
+    postings = known.select(F.explode("prefix").alias("t"), "doc_id", "n", "rest", "matches", "label")
     spread = postings.repartition(parts, "t").withColumns({"lo": F.expr("min(label) over (partition by t)"), "hi": F.expr("max(label) over (partition by t)")})
     shared, _ = store(spread.filter("lo < hi").drop("lo", "hi"), "postings")
-    a, b = (shared.select("t", *(F.col(c).alias(f"{c}_{k}") for c in ("doc_id", "n", "matches", "label"))) for k in "ab")
+    a, b = (shared.select("t", *(F.col(c).alias(f"{c}_{k}") for c in ("doc_id", "n", "rest", "matches", "label"))) for k in "ab")
     met = a.join(b, "t").filter((F.col("doc_id_a") < F.col("doc_id_b")) & (F.col("label_a") != F.col("label_b")) & (F.least("n_a", "n_b").cast("long") * 100 >= F.greatest("n_a", "n_b").cast("long") * percent))
-    counted = met.groupBy(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b")).agg(F.count("*").alias("c"), F.min(F.least("matches_a", "matches_b")).alias("need"))
-    return counted.filter("c >= need").select("a", "b")
+    counted = met.groupBy(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b")).agg(
+        F.count("*").alias("c"), F.first(F.least("matches_a", "matches_b")).alias("need"), F.first(F.greatest("rest_a", "rest_b")).alias("rest"), F.first(F.col("n_a").cast("long") + F.col("n_b")).alias("n")
+    )
+    # Of the prefix that ends first in the order, all shared shingles are counted; what follows it adds its rest at most.
+    return counted.filter(f"c >= need and (c + rest) * {100 + percent} >= {percent} * n").select("a", "b")
 
 
 def jaccard_join(df: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
@@ -234,14 +244,15 @@ def jaccard_join(df: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     docs = _texts(df)
     signed, _ = store(signatures(docs, n, percent, frequent_shingles(docs, n)), "signed")
     full = signed.filter("n > 0 and doc_id is not null")
-    first, _ = store(full.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep")), "first")
-    reps = full.join(first.select(F.col("rep").alias("doc_id"), "d1", "d2"), ["doc_id", "d1", "d2"], "left_semi")
+    groups = full.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("c")).filter("c > 1").drop("c")
+    repeated = small(groups, "repeated")
+    reps = full.join(repeated, ["d1", "d2"], "left").filter("rep is null or rep = doc_id").drop("rep")
     near = verified(stars(reps, percent), docs, n, percent, "near")
     parts = tasks(df.sparkSession, signed.agg(F.sum("n")).first()[0] or 0, 4_000_000)
     links = near.unionByName(verified(candidates(reps, near, percent, parts), docs, n, percent, "far"))
-    groups = connected_components(links).withColumnRenamed("id", "rep")
-    owned = signed.select("doc_id", "n", "d1", "d2").join(first, ["d1", "d2"], "left").withColumn("rep", F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("rep")))
-    return owned.join(groups, "rep", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep", "doc_id").alias("component_id"))
+    found = small(connected_components(links), "components").withColumnRenamed("id", "rep")
+    owned = signed.select("doc_id", "n", "d1", "d2").join(repeated, ["d1", "d2"], "left").withColumn("rep", F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id")))
+    return owned.join(found, "rep", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep", "doc_id").alias("component_id"))
 
 
 def brute_force(rows: list[tuple[int, str | None]], n: int, percent: int, words: Callable[[str], list[str]]) -> dict[int, int]:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import tasks
+from .common import held, tasks
 
 CAPACITY, END_ID, SEED = 2048, 1, 20240229
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -157,13 +157,8 @@ class Encoder:
         return b"".join([get(w) or word(w) for w in text.split()])
 
 
-ENCODERS: dict[str, Encoder] = {}
-
-
 def encoder(path: str) -> Encoder:
-    if path not in ENCODERS:
-        ENCODERS[path] = Encoder(path)
-    return ENCODERS[path]
+    return held(f"encoder {path}", lambda: Encoder(path))
 
 
 def pack_documents(df: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, seed: int = SEED, group_bytes: int = 4 << 20) -> DataFrame:
