@@ -8,12 +8,13 @@ most; the ``FREQUENT`` most frequent make a table of bounded size, and every oth
 Any fixed order gives the same links; frequencies only decide how much work they are.
 
 Prefixes.  If x and y link, they share at least ``ceil(percent * |x| / 100)`` shingles, so the first
-``|x| - that + l`` of x and the like of y share l or more.  Each document picks its own l: a longer prefix costs more
+``|x| - that + l`` of x and the like of y share l or more.  The smaller of the two need be indexed by a shorter prefix only,
+as it shares ``ceil(2 * percent * |x| / (100 + percent))`` at least.  Each document picks its own l: a longer prefix costs more
 postings but fewer candidates pass, and the estimate from the frequencies decides.  A pair is a candidate when its prefixes
 share the smaller of the two l and, with all that may follow, could still reach the similarity; then whole sets are compared.
 
 Groups of copies.  Equal sets are joined through one representative.  Near copies with equal minima under pairs of hash functions are
-compared with the smallest document of some of their groups first; documents that link with the same one need not be paired again,
+compared with a few heads of their groups first; documents that links have joined need not be paired again,
 as only their component is asked for.  So a large group costs in proportion to its size, without a pair of different components left out.
 
 Edge cases: a null, empty or blank text has an empty set and links with nothing; fewer than ``n`` words make one
@@ -36,7 +37,7 @@ from .common import held as kept
 from .common import store, tasks
 from .components import connected_components
 
-CHUNK, FREQUENT, MOST_MATCHES, VERIFY_COST, MINIMA, AGREE, MOST_BROADCAST = 2_000_000, 1 << 17, 4, 10.0, 8, 3, 500_000
+CHUNK, FREQUENT, MOST_MATCHES, VERIFY_COST, MINIMA, AGREE, LARGE, HEADS, MOST_BROADCAST = 2_000_000, 1 << 17, 4, 10.0, 8, 3, 32, 3, 500_000
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 MIX, MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 #: Odd multipliers of the hash functions whose minima group near copies.
@@ -186,6 +187,7 @@ def verified(pairs: DataFrame, docs: DataFrame, n: int, percent: int, tag: str)
     spark = docs.sparkSession
     pairs, _ = store(pairs, f"{tag}-pairs")
     needed = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
+    needed = small(needed, f"{tag}-needed")
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle = shingler(n)
@@ -214,29 +216,42 @@ def verified(pairs: DataFrame, docs: DataFrame, n: int, percent: int, tag: str)
 
 
 def stars(reps: DataFrame, percent: int) -> DataFrame:
-    """For documents b near copies of which have smaller ids, one such a: the smallest that heads ``AGREE`` groups of b's."""
+    """Pairs (a, b) of likely near copies: every document with the head of groups that it shares ``AGREE`` of.
+
+    The head of a group is its smallest document.  Groups of more than ``LARGE`` have ``HEADS`` more, which hashes
+    pick, so that a large group hangs together even where copies are too far from its smallest.
+    """
     keyed = reps.select("doc_id", "n", F.posexplode("minima").alias("i", "v"))
-    heads = keyed.groupBy("i", "v").agg(F.min(F.struct("doc_id", "n")).alias("head"), F.count("*").alias("c")).filter("c > 1")
-    found = keyed.join(heads.select("i", "v", F.col("head.doc_id").alias("a"), F.col("head.n").alias("na")), ["i", "v"]).filter(F.col("doc_id") > F.col("a"))
+    picks = [F.min(F.struct(F.col("doc_id").alias("o"), "doc_id", "n"))] + [F.min(F.struct(F.xxhash64("doc_id", F.lit(k)).alias("o"), "doc_id", "n")) for k in range(HEADS)]
+    groups = keyed.groupBy("i", "v").agg(F.count("*").alias("c"), F.array(*(x.alias("x") for x in picks)).alias("heads")).filter("c > 1")
+    heads = groups.select("i", "v", F.explode(F.expr(f"if(c > {LARGE}, heads, slice(heads, 1, 1))")).alias("h")).select("i", "v", F.col("h.doc_id").alias("a"), F.col("h.n").alias("na"))
+    found = keyed.join(heads.distinct(), ["i", "v"]).filter(F.col("doc_id") != F.col("a"))
     found = found.filter(F.least("n", "na") * 100 >= F.greatest("n", "na") * percent)
-    agreed = found.groupBy("a", F.col("doc_id").alias("b")).agg(F.count("*").alias("c")).filter(F.col("c") >= AGREE)
-    return agreed.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    agreed = found.groupBy(F.col("a").alias("a0"), F.col("doc_id").alias("b0")).agg(F.count("*").alias("c")).filter(F.col("c") >= AGREE)
+    pairs = agreed.select(F.least("a0", "b0").alias("a"), F.greatest("a0", "b0").alias("b"), "a0", "b0", "c").withColumn("large", F.col("a0") > F.col("b0"))
+    # Of the smallest heads of its groups a document takes one; the picked heads are few a large group.
+    smallest = pairs.filter("not large").groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    picked = agreed.join(groups.filter(f"c > {LARGE}").select(F.explode(F.expr("slice(heads, 2, 9)")).alias("h")).select(F.col("h.doc_id").alias("a0")).distinct(), "a0", "left_semi")
+    others = picked.select("b0", F.struct(F.xxhash64("a0").alias("o"), "a0").alias("s")).groupBy("b0").agg(F.min("s").alias("one"), F.max("s").alias("two"))
+    others = others.select("b0", F.explode(F.array("one.a0", "two.a0")).alias("a0")).select(F.least("a0", "b0").alias("a"), F.greatest("a0", "b0").alias("b"))
+    return smallest.unionByName(others).distinct()
 
 
 def candidates(reps: DataFrame, links: DataFrame, percent: int, parts: int) -> DataFrame:
-    """Pairs whose prefixes share enough, but those that link with the same document already."""
-    label = small(links.groupBy("b").agg(F.min("a").alias("label")).withColumnRenamed("b", "doc_id"), "labels")
-    known = reps.join(label, "doc_id", "left").withColumns({"n": F.col("n").cast("int"), "rest": (F.col("n") - F.size("prefix")).cast("int"), "label": F.coalesce("label", "doc_id")})
-    postings = known.select(F.explode("prefix").alias("t"), "doc_id", "n", "rest", "matches", "label")
+    """Pairs whose prefixes share enough, but those that links have joined already."""
+    label = small(connected_components(links).toDF("doc_id", "label"), "labels")
+    n = F.col("n")
+    known = reps.join(label, "doc_id", "left").withColumns({"n": n.cast("int"), "probe": F.size("prefix"), "index": (n - F.ceil(2 * percent * n / (100 + percent)) + F.col("matches")).cast("int"), "label": F.coalesce("label", "doc_id")})
+    postings = known.select(F.posexplode("prefix").alias("pos", "t"), "doc_id", "n", "probe", "index", "matches", "label")
     spread = postings.repartition(parts, "t").withColumns({"lo": F.expr("min(label) over (partition by t)"), "hi": F.expr("max(label) over (partition by t)")})
     shared, _ = store(spread.filter("lo < hi").drop("lo", "hi"), "postings")
-    a, b = (shared.select("t", *(F.col(c).alias(f"{c}_{k}") for c in ("doc_id", "n", "rest", "matches", "label"))) for k in "ab")
-    met = a.join(b, "t").filter((F.col("doc_id_a") < F.col("doc_id_b")) & (F.col("label_a") != F.col("label_b")) & (F.least("n_a", "n_b").cast("long") * 100 >= F.greatest("n_a", "n_b").cast("long") * percent))
-    counted = met.groupBy(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b")).agg(
-        F.count("*").alias("c"), F.first(F.least("matches_a", "matches_b")).alias("need"), F.first(F.greatest("rest_a", "rest_b")).alias("rest"), F.first(F.col("n_a").cast("long") + F.col("n_b")).alias("n")
-    )
+    a, b = (shared.select("t", *(F.col(c).alias(f"{c}_{k}") for c in ("pos", "doc_id", "n", "probe", "index", "matches", "label"))) for k in "ab")
+    fits = f"(n_a < n_b or n_a = n_b and doc_id_a < doc_id_b) and label_a <> label_b and 100L * n_a >= {percent}L * n_b"
+    met = a.filter("pos_a < index_a").join(b, "t").filter(fits)
+    counted = met.groupBy("doc_id_a", "doc_id_b").agg(F.count("*").alias("c"), F.first(F.least("matches_a", "matches_b")).alias("need"), F.first(F.expr("greatest(n_a - index_a, n_b - probe_b)")).alias("rest"), F.first(F.expr("bigint(n_a) + n_b")).alias("n"))
     # Of the prefix that ends first in the order, all shared shingles are counted; what follows it adds its rest at most.
-    return counted.filter(f"c >= need and (c + rest) * {100 + percent} >= {percent} * n").select("a", "b")
+    reach = counted.filter(f"c >= need and (c + rest) * {100 + percent} >= {percent} * n")
+    return reach.select(F.least("doc_id_a", "doc_id_b").alias("a"), F.greatest("doc_id_a", "doc_id_b").alias("b"))
 
 
 def jaccard_join(df: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
