@@ -47,7 +47,7 @@ class Store:
         return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
 
     def version(self, table: str) -> int:
-        fs, p = self._fs(f"{self.root}/{table}/_current")
+        fs, p = self._fs(f"{self.root}/{table}/current")
         return json.loads("".join(r[0] for r in self.spark.read.text(str(p)).collect()))["version"] if fs.exists(p) else 0
 
     def exists(self, table: str) -> bool:
@@ -60,7 +60,7 @@ class Store:
         """A new version; the pointer moves only when it is complete, and the version before the last goes."""
         now = self.version(table)
         df.write.mode("overwrite").parquet(f"{self.root}/{table}/v={now + 1}")
-        fs, p = self._fs(f"{self.root}/{table}/_current")
+        fs, p = self._fs(f"{self.root}/{table}/current")
         out = fs.create(p, True)
         out.write(bytearray(json.dumps({"version": now + 1}).encode()))
         out.close()

@@ -16,6 +16,8 @@ from ..operators import ai, companies, dedupe, gate, liveness, prefilter, resolv
 
 @dataclass
 class Imported:
+    """Lazy results of an import; a caller writes what it wants to keep."""
+
     resolved: DataFrame  # a row a posting, with its outcome
     jobs: DataFrame  # new rows
     merged: DataFrame  # stored rows after merges

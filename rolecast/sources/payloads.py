@@ -136,7 +136,7 @@ def jsearch_hints(r: Callable[[str], Column]) -> Column:
     """What the source states itself; keys without a value are left out."""
     kind, months = F.upper(F.trim(r("job_employment_type"))), r("job_required_experience.required_experience_in_months")
     level = F.when(r("job_required_experience.no_experience_required") | (months == 0), "junior").when(months >= 60, "senior").when(months.between(12, 59), "mid")
-    named = F.slice(F.filter(F.transform(r("job_required_skills"), F.trim), lambda s: s != ""), 1, 15)
+    named = F.slice(F.filter(F.transform(r("job_required_skills"), lambda s: F.trim(s)), lambda s: s != ""), 1, 15)
     pairs = {"employment_type": F.coalesce(*(F.when(kind == k, F.lit(v)) for k, v in EMPLOYMENT.items())), "remote_mode": F.when(r("job_is_remote"), "remote"), "seniority": level, "skills": or_null(F.array_join(named, ", "))}
     hints = F.map_filter(F.create_map(*(x for k, v in pairs.items() for x in (F.lit(k), v))), lambda _, v: v.isNotNull())
     return F.when(F.size(hints) > 0, hints)
