@@ -247,7 +247,9 @@ def candidates(reps: DataFrame, links: DataFrame, percent: int, parts: int) -> D
     shared, _ = store(spread.filter("lo < hi").drop("lo", "hi"), "postings")
     a, b = (shared.select("t", *(F.col(c).alias(f"{c}_{k}") for c in ("pos", "doc_id", "n", "probe", "index", "matches", "label"))) for k in "ab")
     fits = f"(n_a < n_b or n_a = n_b and doc_id_a < doc_id_b) and label_a <> label_b and 100L * n_a >= {percent}L * n_b"
-    met = a.filter("pos_a < index_a").join(b, "t").filter(fits)
+    # Up to a shared shingle no more can be shared than its place, and behind it than the shorter rest: every shared shingle of a link passes.
+    near_enough = f"(least(pos_a, pos_b) + least(n_a - pos_a, n_b - pos_b)) * {100 + percent}L >= {percent}L * (n_a + n_b)"
+    met = a.filter("pos_a < index_a").join(b, "t").filter(f"{fits} and {near_enough}")
     counted = met.groupBy("doc_id_a", "doc_id_b").agg(F.count("*").alias("c"), F.first(F.least("matches_a", "matches_b")).alias("need"), F.first(F.expr("greatest(n_a - index_a, n_b - probe_b)")).alias("rest"), F.first(F.expr("bigint(n_a) + n_b")).alias("n"))
     # Of the prefix that ends first in the order, all shared shingles are counted; what follows it adds its rest at most.
     reach = counted.filter(f"c >= need and (c + rest) * {100 + percent} >= {percent} * n")
