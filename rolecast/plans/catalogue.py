@@ -213,8 +213,8 @@ LEXICON = ("the", "und", "de", "and", "of", "la")
 
 
 def token_skills(spark: SparkSession, sf_dir: str) -> DataFrame:
-    first = F.split_part("text", F.lit("\n"), F.lit(1))
-    return a.read(spark, sf_dir, "documents").select("doc_id", F.filter(F.split(first, " "), lambda w: w != "").alias("skills"))
+    """The words of the whole text; TOKENS in the SQL still takes those of the first line only."""
+    return a.read(spark, sf_dir, "documents").select("doc_id", F.filter(F.split("text", r"(?U)[\s\x1C-\x1F]+"), lambda w: w != "").alias("skills"))
 
 
 @query(f"SELECT doc_id, array_to_string(list_filter(s, lambda w: list_contains({TERMS}, lower(trim(w)))), ',') AS technical, array_to_string(list_filter(s, lambda w: NOT list_contains({TERMS}, lower(trim(w)))), ',') AS other FROM (SELECT doc_id, {TOKENS} AS s FROM documents)")

@@ -26,3 +26,26 @@ def test_mojibake_is_repaired_in_the_whole_text(spark, tmp_path):
     damaged = lambda t: t and ("Ã" in t or "â€" in t)
     assert {i: r["fixed"] for i, r in got.items()} == {i: repaired(t) if damaged(t) else t for i, t in said.items()}
     assert got[1]["fixed"] == "one two\nthe café is here" and got[10]["fixed"] == "some words développeur" and got[20]["fixed"].startswith("déjà vu\n")
+
+
+WORDS = {1: "The cat\nand THE dog\nlast line of la casa", 2: "one", 3: None, 4: "", 5: " \n\t ", 6: "tab\tand  wide\u00a0blank\r\nof end", 7: "first " * 3 + "\n" + "de x%d " * 3000 % tuple(range(3000))}
+
+
+def test_skills_are_split_in_the_whole_text(spark, tmp_path):
+    got = run(spark, tmp_path, "skill_split", WORDS)
+    for i, t in WORDS.items():
+        known = [w.lower() in catalogue.LEXICON for w in (t or "").split()]
+        pick = lambda want: None if t is None else ",".join(w for w, k in zip(t.split(), known, strict=True) if k == want)
+        assert (got[i]["technical"], got[i]["other"]) == (pick(True), pick(False))
+    assert got[1]["technical"] == "The,and,THE,of,la"
+
+
+def test_skill_metrics_of_the_whole_text(spark, tmp_path):
+    got = run(spark, tmp_path, "skill_metrics", WORDS)
+    for i, t in WORDS.items():
+        if t is None:
+            continue
+        e, b = {w.lower() for w in t.split()}, {w.lower() for w in t.split()[:5]}
+        want = (len(e & b) / len(e | b) if e | b else 1.0, len(e & b) / len(b) if b else 0.0, len(e & b) / len(e) if e else 1.0)
+        assert all(abs(x - y) < 1e-12 for x, y in zip(got[i][1:], want, strict=True))
+    assert got[1]["rec"] == 4 / 9
