@@ -136,6 +136,12 @@ def predict(m: Model, x: np.ndarray) -> tuple[list[str], np.ndarray]:
     return list(out), score
 
 
+def floors(m: Model) -> dict[str, float]:
+    """The least score that a text without any sign of a language still gets, by predicted language."""
+    family = 0.5 if len(m.families) > 1 else 1.0
+    return {code: family * (0.5 if len(codes) > 1 else 1.0) for codes in m.langs.values() for code in codes}
+
+
 def learn(labelled: DataFrame, sample: int = SAMPLE) -> Model:
     """Fit on at most ``sample`` rows of ``doc_id``, ``text`` and ``lang``."""
     rows = labelled.filter("text is not null and lang is not null").select(F.xxhash64("doc_id", "text").alias("h"), F.col("lang").cast("string").alias("lang"), "text")
