@@ -1,7 +1,7 @@
 """WARC archives: a writer of one gzip member a record and a splittable reader.
 
 Reader: a task gets a byte range of a file.  It scans the range for the gzip magic, validates a candidate by decoding
-its head and checking that a WARC header begins there, and owns the records that start inside the range; the last one
+it up to the end of its WARC header, and owns the records that start inside the range; the last one
 is read to its end, wherever that is.  After a valid member the next starts right behind it, so only the head of a
 range, or a damaged place, is scanned.
 
@@ -108,13 +108,24 @@ class Reader:
         return self.file.read(min(n, self.size - start)) if start < self.size else b""
 
     def valid(self, start: int) -> bool:
-        """Whether a gzip member with a WARC record begins here, told from its head."""
-        z = zlib.decompressobj(31)
+        """Whether a gzip member with a WARC record begins here, told from its header, however long that is."""
+        z, at, head, end, data = zlib.decompressobj(31), start, bytearray(), -1, b""
         try:
-            head = z.decompress(self.at(start, HEAD), HEAD)
+            while end < 0 and not z.eof:
+                if not data:
+                    data = self.at(at, HEAD)
+                    at += len(data)
+                    if not data:
+                        break
+                seen = max(0, len(head) - 3)
+                head += z.decompress(data, HEAD)
+                data = z.unconsumed_tail
+                if len(head) >= 7 and not head.startswith(b"WARC/1."):
+                    return False
+                end = head.find(b"\r\n\r\n", seen)
         except zlib.error:
             return False
-        return head.startswith(b"WARC/1.") and b"\r\nWARC-Type:" in head and b"\r\nContent-Length:" in head
+        return head.startswith(b"WARC/1.") and end >= 0 and b"\r\nWARC-Type:" in head[:end] and b"\r\nContent-Length:" in head[:end]
 
     def member(self, start: int) -> tuple[bytes, int]:
         """A whole member and where it ends."""
