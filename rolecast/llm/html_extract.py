@@ -3,7 +3,8 @@
 1. The markup is stripped: a page becomes lines, one a block-level run of text, with character references decoded and
    white space turned into single spaces.  Subtrees that are never main text (scripts, styles, navigation, headers,
    footers, sidebars, forms, and elements whose class, id or role names an advert, notice, menu or comments) yield
-   no lines.
+   no lines.  A wrapper whose class or id merely has such a word (``content with-sidebar``) stays if it holds the page's
+   main article, or most of the text.
 2. Text lengths (without link text) are summed over sliding windows of ``WINDOW`` lines.  A surge point is where the
    sum rises above ``SURGE`` times the mean and stays there; a dive point is where it falls to a line without text of
    its own.  The stretch between them with the most text is the core of the page.
@@ -19,7 +20,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from html import unescape
 
 import pyarrow as pa
@@ -55,15 +56,48 @@ class Line:
     holder: int  # its innermost article or main, 0 if none
 
 
+@dataclass
+class Named:
+    """An element whose class or id has a word of :data:`NAMES`."""
+
+    number: int
+    whole: bool  # all of its class, or its id, are such words
+    holder: int  # the innermost article or main around it, 0 if none
+    own: int = 0  # characters outside links
+
+
+@dataclass
+class Seen:
+    """Where the text of a page is, in or outside named elements."""
+
+    named: list[Named] = field(default_factory=list)
+    holders: dict[int, tuple[int, list[Named]]] = field(default_factory=dict)  # by article or main: characters, and the named elements around it
+    total: int = 0
+    free: int = 0  # outside whole named elements
+
+    def wrappers(self, whole: bool) -> set[int]:
+        """Named elements to be kept: those around the article or main with the most text, and those that hold most of
+        its text, or of the page's if it has none.  Elements named as a whole are kept if nothing else is left, only."""
+        held = {h: x for h, x in self.holders.items() if x[0]}
+        own, around = 0, []
+        if held:
+            open_ = {h: x for h, x in held.items() if not any(n.whole for n in x[1])} or held
+            target = max(open_, key=lambda h: (open_[h][0], -h))
+            own, around = open_[target]
+            inside = [n for n in self.named if n.holder == target]
+        else:
+            own, inside = self.total if whole else self.free, self.named
+        return {n.number for n in around} | {n.number for n in inside if 2 * n.own > own and (whole or not n.whole)}
+
+
 def dropped(name: str, attrs: str) -> bool:
+    """Whether an element never is main text, whatever it holds."""
     if name in DROPPED:
         return True
     if name in WHOLE or "=" not in attrs and "hidden" not in attrs:
         return False
     for m in ATTR.finditer(attrs):
         key, value = m[1].lower(), (m[2] or "").strip("\"'").lower()
-        if key in ("class", "id") and not NAMES.isdisjoint(re.split(r"[^a-z]+", value)):
-            return True
         if key == "role" and value in ROLES or key == "aria-hidden" and value == "true" or key == "hidden":
             return True
         if key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
@@ -71,10 +105,24 @@ def dropped(name: str, attrs: str) -> bool:
     return False
 
 
-def lines_of(html: str) -> list[Line]:
-    """The page as lines of text, without markup and dropped subtrees."""
+def names(name: str, attrs: str) -> tuple[bool, bool]:
+    """Whether a class or id has a word of :data:`NAMES`, and whether all of the class or the id are such words."""
+    part = whole = False
+    if name not in WHOLE and "=" in attrs:
+        for m in ATTR.finditer(attrs):
+            if m[1].lower() in ("class", "id"):
+                value = (m[2] or "").strip("\"'").lower()
+                if not NAMES.isdisjoint(re.split(r"[^a-z]+", value)):
+                    part = True
+                    whole = whole or NAMES.issuperset(value.split())
+    return part, whole
+
+
+def lines_of(html: str, kept: frozenset[int] | set[int] = frozenset(), seen: Seen | None = None) -> list[Line]:
+    """The page as lines of text, without markup and dropped subtrees; named elements of ``kept`` stay."""
     lines: list[Line] = []
-    stack: list[tuple[str, int, bool, int]] = []  # name, number, dropped, holder
+    stack: list[tuple[str, int, int, int]] = []  # name, number, dropped (1 for its name, 2 for good), holder
+    inside: list[tuple[int, Named]] = []  # named elements that are open, with their depth
     parts: list[str] = []
     own = number = links = 0
 
@@ -89,16 +137,36 @@ def lines_of(html: str) -> list[Line]:
 
     def put(text: str) -> None:
         nonlocal own
-        if text and not (stack and stack[-1][2]):
-            text = unescape(text)
+        gone = stack[-1][2] if stack else 0
+        if not text or gone == 2:
+            return
+        text = unescape(text)
+        if seen is not None and not links:
+            count(len(text.strip()))
+        if not gone:
             parts.append(text)
             if not links:
                 own += len(text)
 
+    def count(n: int) -> None:
+        holder, out = stack[-1][3] if stack else 0, False  # whether a whole named element comes between
+        for _, x in reversed(inside):
+            x.own += 0 if out else n
+            out = out or x.whole
+            if holder and x.holder != holder:
+                break
+        seen.total += n
+        seen.free += 0 if any(x.whole for _, x in inside) else n
+        if holder and not any(x.whole and x.holder == holder for _, x in inside):
+            before, around = seen.holders[holder]
+            seen.holders[holder] = before + n, around
+
     def pop(to: int) -> None:
         nonlocal links
         links -= sum(x[0] == "a" for x in stack[to:])
         del stack[to:]
+        while inside and inside[-1][0] >= to:
+            inside.pop()
 
     at, end = 0, len(html)
     while at < end:
@@ -137,7 +205,15 @@ def lines_of(html: str) -> list[Line]:
         if name in VOID or m["attrs"].endswith("/") and name not in BLOCK:
             continue
         number += 1
-        gone = bool(stack and stack[-1][2]) or dropped(name, m["attrs"])
+        gone, holder = (stack[-1][2], stack[-1][3]) if stack else (0, 0)
+        part = False
+        if gone < 2:
+            if dropped(name, m["attrs"]):
+                gone = 2
+            else:
+                part, whole = names(name, m["attrs"])
+                if part and number not in kept:
+                    gone = 1
         if name in RAW:
             close = re.compile(rf"</{re.escape(name)}[\s/>]", re.I).search(html, at)
             if not gone:
@@ -145,7 +221,14 @@ def lines_of(html: str) -> list[Line]:
             at = (html.find(">", close.start()) + 1 or end) if close else end
             continue
         links += name == "a"
-        stack.append((name, number, gone, number if name in ("article", "main") else stack[-1][3] if stack else 0))
+        if part and seen is not None:
+            inside.append((len(stack), Named(number, whole, holder)))
+            seen.named.append(inside[-1][1])
+        if name in ("article", "main"):
+            holder = number
+            if seen is not None and gone < 2:
+                seen.holders[number] = 0, [x for _, x in inside]
+        stack.append((name, number, gone, holder))
     flush()
     return lines
 
@@ -171,8 +254,18 @@ def core(lines: list[Line], window: int = WINDOW) -> tuple[int, int]:
     return (-best[1], best[2])
 
 
+def kept_lines(html: str) -> list[Line]:
+    """The lines of a page, with those of wrappers around its main text."""
+    lines = lines_of(html, seen=(seen := Seen()))
+    for whole in (False, True):
+        if seen.named and (not whole or not any(x.own for x in lines)):
+            if kept := seen.wrappers(whole):
+                lines = lines_of(html, kept)
+    return lines
+
+
 def main_text(html: str | None) -> str:
-    lines = lines_of(html or "")
+    lines = kept_lines(html or "")
     if not lines:
         return ""
     surge, dive = core(lines)
