@@ -2,9 +2,9 @@
 
 A text becomes words in lower case.  In its template, numbers, names (capitalised words inside a sentence, runs of them as
 one) and units are replaced by typed placeholders whose values are kept as slots.  Every window of ``WINDOW`` template
-words of a document is looked up in a hash table of the benchmark's windows.  Matches of one item on one diagonal are
-taken together: they count only if slots are consistent, which is that equal values of the item stand for equal ones
-of the document and different for different ones, per type.  So a question with other numbers and names is caught, and
+words of a document is looked up in a hash table of the benchmark's windows.  Matches of one item on one diagonal
+form stretches, the longest first; a stretch counts only if its slots are consistent, with those of longer ones, too, which is
+that equal values of the item stand for equal ones of the document and different for different ones, per type.  So a question with other numbers and names is caught, and
 chance fits of placeholders are not.  Windows of plain words are looked up as well, for copies whose
 capitals were changed.  A document is contaminated by an item if matches cover ``min(ENOUGH, 80 % of the item's words)``.
 
@@ -161,12 +161,19 @@ class Index:
             covered: dict[tuple[int, int], set[int]] = defaultdict(set)
             for (d, item, shift), hits in diagonals.items():
                 words, values = self.slots[form][item]
-                same = np.flatnonzero(words == h[max(shift, 0) : shift + len(words)]) if 0 <= shift <= len(h) - len(words) else []
-                places = {k for p, w in hits for k in range(p, p + w)}
-                # Words that fit just outside the windows count, and their slots must be consistent, too.
-                places = sorted(places | {int(k) + shift for k in same if doc[int(k) + shift] == d})
-                if consistent([(int(kind[p]), int(values[p - shift]), int(value[p])) for p in places if kind[p] != WORD]):
-                    covered[d, item].update(p - shift for p in places)
+                slot = lambda p: (int(kind[p]), int(values[p - shift]), int(value[p]))  # noqa: B023, E731
+                # Words of the document that fit right next to a stretch belong to it, and their slots must be consistent, too.
+                more = lambda p: 0 <= p - shift < len(words) and 0 <= p < len(h) and doc[p] == d and words[p - shift] == h[p]  # noqa: B023, E731
+                stretches, fits = [], Mapping()
+                for start, stop in runs_of(hits):
+                    while more(start - 1):
+                        start -= 1
+                    while more(stop):
+                        stop += 1
+                    stretches.append((start, stop - start))
+                for start, stop in sorted(runs_of(stretches), key=lambda r: (r[0] - r[1], r[0])):
+                    if fits.add([slot(p) for p in range(start, stop) if kind[p] != WORD]):
+                        covered[d, item].update(range(start - shift, stop - shift))
             for (d, item), places in covered.items():
                 if len(places) >= self.needs[form][item]:
                     item_id = self.ids[item]
@@ -174,10 +181,33 @@ class Index:
         return found
 
 
-def consistent(slots: list[tuple[int, int, int]]) -> bool:
-    """Whether (type, value there, value here) maps values one to one within each type."""
-    there, here = {}, {}
-    return all(there.setdefault((k, a), b) == b and here.setdefault((k, b), a) == a for k, a, b in slots)
+def runs_of(windows: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Start and stop of the stretches that windows (start, width) cover without a gap."""
+    out: list[tuple[int, int]] = []
+    for p, w in sorted(windows):
+        if out and p <= out[-1][1]:
+            out[-1] = out[-1][0], max(out[-1][1], p + w)
+        else:
+            out.append((p, p + w))
+    return out
+
+
+class Mapping:
+    """Values of an item's slots and those of a document that stand for them, one to one within each type."""
+
+    def __init__(self) -> None:
+        self.there: dict[tuple[int, int], int] = {}
+        self.here: dict[tuple[int, int], int] = {}
+
+    def add(self, slots: list[tuple[int, int, int]]) -> bool:
+        """Take (type, value there, value here) if all are consistent with each other and with what was taken, else none."""
+        there, here = {}, {}
+        for k, a, b in slots:
+            if self.there.get((k, a), b) != b or self.here.get((k, b), a) != a or there.setdefault((k, a), b) != b or here.setdefault((k, b), a) != a:
+                return False
+        self.there |= there
+        self.here |= here
+        return True
 
 
 def blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[int, str]]]:
