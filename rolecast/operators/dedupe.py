@@ -57,11 +57,17 @@ def cross_source_hits(batch: DataFrame, stored: DataFrame) -> DataFrame:
     return met.groupBy("arrival_idx").agg(F.min_by("target_hash", "target_idx").alias("target_hash"), F.min("target_idx").alias("target_idx"))
 
 
-def fuzzy_pairs(batch: DataFrame, stored: DataFrame, as_of: Column, days: int = FUZZY_DAYS, least: float = FUZZY_LEAST) -> DataFrame:
-    """Pairs of the same company and different sources whose titles are alike; blocked by company, bounded in time."""
+def fuzzy_pairs(batch: DataFrame, stored: DataFrame, as_of: Column, days: int = FUZZY_DAYS, least: float = FUZZY_LEAST, earlier: bool = False) -> DataFrame:
+    """Pairs of the same company and different sources whose titles are alike; blocked by company, bounded in time.
+
+    With ``earlier``, only stored rows that arrived before a row are its targets.
+    """
     s = stored.filter(F.col("posted_at") >= as_of - F.expr(f"INTERVAL {days} DAYS")).select(F.col("name_normalized").alias("company"), F.col("title_normalized").alias("s_title"), F.col("source").alias("s_source"), F.col("arrival_idx").alias("target_idx"))
     b = batch.withColumn("company", F.lower(t.strip(t.text("company_name")))).withColumn("title_l", F.lower(t.strip(t.text("title"))))
-    return b.join(s, "company").filter(F.col("source") != F.col("s_source")).filter(ratio_at_least(F.col("title_l"), F.col("s_title"), least)).select("arrival_idx", "target_idx")
+    met = b.join(s, "company").filter(F.col("source") != F.col("s_source"))
+    if earlier:
+        met = met.filter(F.col("target_idx") < F.col("arrival_idx"))
+    return met.filter(ratio_at_least(F.col("title_l"), F.col("s_title"), least)).select("arrival_idx", "target_idx")
 
 
 def merge_same_source(target: DataFrame, hits: DataFrame) -> DataFrame:

@@ -270,7 +270,9 @@ def cross_source_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def fuzzy_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedupe.fuzzy_pairs(*halves(spark, sf_dir), a.as_of("2024-01-15 00:00:00"))
+    """Every row against all earlier arrivals."""
+    rows = hashed(spark, sf_dir)
+    return dedupe.fuzzy_pairs(rows, rows, a.as_of("2024-01-15 00:00:00"), earlier=True)
 
 
 @query(f"WITH {HASHED}, {HALVES} SELECT s.arrival_idx, least(s.posted_at, coalesce(min(b.posted_at), s.posted_at)) AS posted_at, count(b.arrival_idx) AS seen_count FROM s LEFT JOIN b ON b.cross_source_hash = s.cross_source_hash AND s.arrival_idx = (SELECT min(x.arrival_idx) FROM s x WHERE x.cross_source_hash = s.cross_source_hash) GROUP BY s.arrival_idx, s.posted_at")

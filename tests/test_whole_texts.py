@@ -49,3 +49,10 @@ def test_skill_metrics_of_the_whole_text(spark, tmp_path):
         want = (len(e & b) / len(e | b) if e | b else 1.0, len(e & b) / len(b) if b else 0.0, len(e & b) / len(e) if e else 1.0)
         assert all(abs(x - y) < 1e-12 for x, y in zip(got[i][1:], want, strict=True))
     assert got[1]["rec"] == 4 / 9
+
+
+def test_fuzzy_pairs_of_the_same_parity_are_found(spark, tmp_path):
+    texts = {1: "Senior data engineer", 2: "Junior baker", 3: "Senior data engineer", 4: "Junior baker", 5: "Senior data engineers"}
+    spark.createDataFrame([(i, t, "en", f"s{i}", len(t)) for i, t in texts.items()], DOCS).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {(r["arrival_idx"], r["target_idx"]) for r in catalogue.queries()["fuzzy_pairs"](spark, str(tmp_path)).collect()}
+    assert got == {(3, 1), (4, 2), (5, 1), (5, 3)}
