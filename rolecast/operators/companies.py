@@ -55,7 +55,7 @@ def update_stored(companies: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def upsert_companies(companies: DataFrame, batch: DataFrame) -> DataFrame:
-    """New companies of a batch with their first name, the default score and zero counters; stored ones keep all but their name."""
+    """New companies of a batch with their first name, the default score and zero counters; stored ones stay as they are."""
     named = batch.groupBy("name_normalized").agg(F.min_by("company_name", "arrival_idx").alias("_name"))
     out = companies.join(named, "name_normalized", "full_outer")
-    return out.withColumns({"name": F.coalesce("_name", "name"), "company_id": F.coalesce("company_id", F.sha1("name_normalized")), "trust_score": F.coalesce("trust_score", F.lit(UNSEEN)), **{c: F.coalesce(c, F.lit(0)) for c in SCRAPE_METRICS}}).drop("_name")
+    return out.withColumns({"name": F.coalesce("name", "_name"), "company_id": F.coalesce("company_id", F.sha1("name_normalized")), "trust_score": F.coalesce("trust_score", F.lit(UNSEEN)), **{c: F.coalesce(c, F.lit(0)) for c in SCRAPE_METRICS}}).drop("_name")

@@ -24,8 +24,12 @@ def keep_first(df: DataFrame, key: list[str], order: list[Column]) -> DataFrame:
 
     The minimum is aggregated before the shuffle, so a key with very many rows is no burden.
     """
-    packed = F.min(F.struct(*(o.alias(f"_{i}") for i, o in enumerate(order)), F.struct(*df.columns).alias("row")))
-    return df.dropna(subset=key).groupBy(*key).agg(packed.alias("_first")).select("_first.row.*")
+    rank, row = [o.alias(f"_{i}") for i, o in enumerate(order)], F.struct(*df.columns).alias("row")
+    if any("map<" in kind or kind == "variant" for _, kind in df.dtypes):  # such rows have no order of their own
+        first = F.min_by(row, F.struct(*rank)).alias("row")
+    else:
+        first = F.min(F.struct(*rank, row))["row"].alias("row")
+    return df.dropna(subset=key).groupBy(*key).agg(first).select("row.*")
 
 
 def newest_kept(df: DataFrame, field: str, id_col: str) -> DataFrame:

@@ -75,7 +75,7 @@ def expire_by_age(jobs: DataFrame, as_of: Column, days: int = MOST_DAYS) -> Data
     old = max_age_expired(as_of, days)
     if "reject_reason" not in jobs.columns:
         jobs = jobs.withColumn("reject_reason", F.lit(None).cast("string"))
-    return jobs.withColumn("_old", old).withColumns({"status": F.when(F.col("_old"), "expired").otherwise(F.col("status")), "reject_reason": F.when(F.col("_old"), "EXPIRED_MAX_AGE").otherwise(F.col("reject_reason")), "last_probed_at": F.when(F.col("_old"), as_of).otherwise(F.col("last_probed_at"))}).drop("_old")
+    return jobs.withColumn("_old", old).withColumns({"status": F.when(F.col("_old"), "expired").otherwise(F.col("status")), "reject_reason": F.when(F.col("_old"), "EXPIRED_MAX_AGE").otherwise(F.col("reject_reason")), "last_probed_at": F.when(F.col("_old"), as_of).otherwise(F.col("last_probed_at"))} | ({"expires_at": F.when(F.col("_old"), as_of).otherwise(F.col("expires_at"))} if "expires_at" in jobs.columns else {})).drop("_old")
 
 
 def probe_candidates(jobs: DataFrame, as_of: Column, key: str, limit: int = BATCH, hours: int = PROBE_HOURS) -> DataFrame:
@@ -91,6 +91,17 @@ def apply_verdicts(jobs: DataFrame, verdicts: DataFrame, as_of: Column) -> DataF
     return out.withColumns({"status": F.when(F.col("_expired"), "expired").otherwise(F.col("status")), "reject_reason": F.when(F.col("_expired"), F.col("_reason")).otherwise(F.col("reject_reason")), "last_probed_at": F.when(F.col("_probed"), as_of).otherwise(F.col("last_probed_at"))}).drop("_expired", "_reason", "_probed")
 
 
+def expiry_counters(probed: DataFrame, max_age_expired: int = 0, dry_run: bool = False) -> DataFrame:
+    """The eight counters of a sweep over ``url`` and ``verdict``: postings without a url are errors and not probed; a probe
+    that failed counts as an error and as transient."""
+    e, r, there = F.col("verdict.expired"), F.col("verdict.reason"), F.coalesce(F.col("url") != "", F.lit(False))
+    counts = {
+        "total": F.lit(True), "probed": there, "expired": there & F.coalesce(e, F.lit(False)), "transient": there & e.isNull(), "alive": there & F.coalesce(~e, F.lit(False)),
+        "error": ~there | F.coalesce(r == "PROBE_ERROR", F.lit(False)), "dry_run_skipped": there & F.lit(dry_run),
+    }
+    return probed.agg(*(F.count_if(c).alias(n) for n, c in counts.items())).withColumn("max_age_expired", F.lit(max_age_expired).cast("long"))
+
+
 def sweep_counters(verdicts: DataFrame) -> DataFrame:
     e, r = F.col("verdict.expired"), F.col("verdict.reason")
     return verdicts.agg(F.count("*").alias("total"), F.count_if(e).alias("expired"), F.count_if(~e).alias("alive"), F.count_if(e.isNull()).alias("transient"), F.count_if(r == "PROBE_ERROR").alias("errors"))

@@ -2,18 +2,21 @@
 
 A row is rejected, of a dead url, a hit on a hash, a hit across sources, a fuzzy hit, or new, in this order, and sees
 what earlier rows of the batch left behind.  All that can match shares the normalised company, so the fold runs once a
-company.  Companies whose rows can match nothing (one row a title hash and a single source) are resolved without it.
+company.  Companies whose rows can match nothing (one row a title hash and a single source) are resolved without it, and
+so are those all of whose rows are rejected, such as the rows without a company, which need no order but of equal hashes.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
+from collections import defaultdict
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.fuzzy import token_sort_ratio
+from ..functions.fuzzy import lcs, sorted_tokens
 from .dedupe import FUZZY_DAYS, FUZZY_LEAST
 
 COLUMNS = "arrival_idx long, name_normalized string, title_normalized string, title string, company_name string, source string, dedup_hash string, cross_source_hash string, posted_at timestamp, prefilter_reason string, url_invalid boolean, stored boolean"
@@ -23,14 +26,17 @@ RESULT = "arrival_idx long, outcome string, target_idx long, inserted boolean"
 def fold(rows: Iterator[dict], horizon: pd.Timestamp, least: float = FUZZY_LEAST) -> list[tuple[int, str, int | None, bool]]:
     """Outcomes of the rows of one company in order of arrival; stored rows come first and only take part as targets."""
     by_hash: dict[str, dict] = {}
-    known: list[dict] = []
+    across: dict[str, list[dict]] = defaultdict(list)  # the first row of each source, by hash across sources
+    titles = Titles(horizon, least)
     out = []
 
     def insert(r: dict) -> bool:
         if r["dedup_hash"] in by_hash:
             return False
         by_hash[r["dedup_hash"]] = r
-        known.append(r)
+        if all(k["source"] != r["source"] for k in across[r["cross_source_hash"]]):
+            across[r["cross_source_hash"]].append(r)
+        titles.add(r)
         return True
 
     def older(target: dict, r: dict) -> None:
@@ -47,10 +53,9 @@ def fold(rows: Iterator[dict], horizon: pd.Timestamp, least: float = FUZZY_LEAST
         title, company = (r["title"] or "").lower().strip(), (r["company_name"] or "").lower().strip()
         outcome, target = "dedupe_hit", by_hash.get(r["dedup_hash"])
         if target is None:
-            outcome, target = "cross_source_hit", next((k for k in known if k["cross_source_hash"] == r["cross_source_hash"] and k["source"] != r["source"]), None)
+            outcome, target = "cross_source_hit", next((k for k in across.get(r["cross_source_hash"], ()) if k["source"] != r["source"]), None)
         if target is None:
-            outcome = "fuzzy_hit"
-            target = next((k for k in known if k["name_normalized"] == company and k["source"] != r["source"] and pd.notna(k["posted_at"]) and k["posted_at"] >= horizon and token_sort_ratio(title, k["title_normalized"]) >= least), None)
+            outcome, target = "fuzzy_hit", titles.first(title, company, r["source"])
         if target is None:
             insert(r)
             out.append((r["arrival_idx"], "new", None, True))
@@ -60,6 +65,41 @@ def fold(rows: Iterator[dict], horizon: pd.Timestamp, least: float = FUZZY_LEAST
     return out
 
 
+class Titles:
+    """Titles of inserted rows by the length of their sorted words.
+
+    A ratio of ``least`` needs lengths that are close, and words that are mostly the same letters; so only titles of such
+    lengths are compared, and each distinct one once.
+    """
+
+    def __init__(self, horizon: pd.Timestamp, least: float) -> None:
+        self.horizon, self.least, self.n = horizon, least, 0
+        self.lengths: list[int] = []
+        self.by_length: dict[int, dict[str, list[tuple[int, dict]]]] = defaultdict(dict)
+
+    def add(self, r: dict) -> None:
+        key = sorted_tokens(r["title_normalized"] or "")
+        if len(key) not in self.by_length:
+            self.lengths.insert(bisect_left(self.lengths, len(key)), len(key))
+        self.by_length[len(key)].setdefault(key, []).append((self.n, r))
+        self.n += 1
+
+    def first(self, title: str, company: str, source: str) -> dict | None:
+        """The row inserted first that is of another source, recent, of that company, and alike."""
+        key = sorted_tokens(title)
+        n, share = len(key), self.least / 200
+        low, high = (0, 0) if not n else (int(n * share / (1 - share)) - 1, int(n * (1 - share) / share) + 1)
+        best: tuple[int, dict | None] = (self.n, None)
+        for length in self.lengths[bisect_left(self.lengths, low) : bisect_right(self.lengths, high)]:
+            for other, rows in self.by_length[length].items():
+                if rows[0][0] >= best[0]:
+                    continue
+                fits = next(((i, k) for i, k in rows if k["source"] != source and k["name_normalized"] == company and pd.notna(k["posted_at"]) and k["posted_at"] >= self.horizon), None)
+                if fits and fits[0] < best[0] and (other == key or n + length and 200.0 * lcs(key, other) / (n + length) >= self.least):
+                    best = fits
+        return best[1]
+
+
 def resolve(batch: DataFrame, stored: DataFrame, as_of: str, days: int = FUZZY_DAYS) -> DataFrame:
     """``RESULT`` for each row of ``batch``; both inputs have the columns of ``COLUMNS`` but ``stored``, and the ids of
     stored rows, ``arrival_idx``, come before those of the batch."""
@@ -67,12 +107,17 @@ def resolve(batch: DataFrame, stored: DataFrame, as_of: str, days: int = FUZZY_D
     names = [c.split()[0] for c in COLUMNS.split(", ")]
     keys = batch.select("name_normalized").distinct()
     rows = batch.withColumn("stored", F.lit(False)).select(*names).unionByName(stored.join(keys, "name_normalized", "left_semi").withColumn("stored", F.lit(True)).select(*names))
-    shape = rows.groupBy("name_normalized").agg(F.count("*").alias("n"), F.min(F.col("source")).alias("lo"), F.max(F.col("source")).alias("hi"), F.count_distinct("dedup_hash").alias("d"))
-    alone = shape.filter("lo = hi and n = d").select("name_normalized")
-    plain = rows.filter("not stored").join(alone, "name_normalized", "left_semi").select(
+    hashes = rows.groupBy("name_normalized", "dedup_hash").agg(
+        F.count("*").alias("n"), F.min("source").alias("lo"), F.max("source").alias("hi"), F.min(F.struct(~F.col("stored"), "arrival_idx")).alias("first"),
+        F.bool_and(F.col("stored") | (F.coalesce("prefilter_reason", F.lit("")) != "") | F.coalesce("url_invalid", F.lit(False))).alias("dead"),
+    )
+    shape = hashes.groupBy("name_normalized").agg(F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.count("*").alias("d"), F.bool_and("dead").alias("dead"))
+    alone = shape.filter("lo = hi and n = d or dead").select("name_normalized")
+    firsts = hashes.select("dedup_hash", F.col("first.arrival_idx").alias("_first"))
+    plain = rows.filter("not stored").join(alone, "name_normalized", "left_semi").join(firsts, "dedup_hash").select(
         "arrival_idx",
-        F.when(F.col("prefilter_reason").isNotNull(), "rejected_prefilter").when(F.col("url_invalid"), "url_invalid").otherwise("new").alias("outcome"),
-        F.lit(None).cast("long").alias("target_idx"), F.lit(True).alias("inserted"),
+        F.when(F.coalesce("prefilter_reason", F.lit("")) != "", "rejected_prefilter").when(F.col("url_invalid"), "url_invalid").otherwise("new").alias("outcome"),
+        F.lit(None).cast("long").alias("target_idx"), (F.col("arrival_idx") == F.col("_first")).alias("inserted"),
     )
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:

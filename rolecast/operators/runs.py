@@ -100,3 +100,88 @@ def cost_rollup(calls: DataFrame) -> DataFrame:
 def accuracy(pairs: DataFrame) -> DataFrame:
     """Shares of equal values, and the mean error of numbers over pairs that have both."""
     return pairs.agg(F.count("*").alias("n"), F.avg((F.col("expected") == F.col("actual")).cast("double")).alias("accuracy"), F.avg(F.abs(F.col("expected_value") - F.col("actual_value"))).alias("mae"))
+
+
+def budget_used(events: DataFrame, by: str = "day") -> DataFrame:
+    """What a provider has used of its budget: the sum of its events, a row an increment, by ``day`` or ``month``."""
+    period = F.to_date("ts") if by == "day" else F.to_date(F.date_trunc("month", "ts"))
+    return events.groupBy("provider", period.alias("period")).agg(F.sum("n").alias("used"))
+
+
+def within_budget(records: DataFrame, used: DataFrame, cap: int = MONTHLY_JOBS, page: int = 100) -> DataFrame:
+    """Records (``provider``, ``seq``) that a budget of jobs still allows, with ``page_no``: in order, up to what is left.
+
+    A page is never asked for more than is left, so the last one may be short; no positive cap is no cap.
+    """
+    w = Window.partitionBy("provider").orderBy("seq")
+    left = records.join(used.groupBy("provider").agg(F.sum("used").alias("_used")), "provider", "left").withColumn("_rn", F.row_number().over(w))
+    allowed = F.lit(cap <= 0) | (F.col("_rn") <= F.lit(cap) - F.coalesce("_used", F.lit(0)))
+    return left.filter(allowed).withColumn("page_no", F.floor((F.col("_rn") - 1) / page).cast("int")).drop("_used", "_rn")
+
+
+def source_records(fetched: DataFrame, postings: DataFrame, invalid: DataFrame, jobs: DataFrame, started: Column, completed: Column, report_id: str | None = None, languages: str = "", dry_run: bool = False) -> DataFrame:
+    """A run record a source, of ``fetched`` (source, jobs_fetched, crash_reason, failure_reason).
+
+    ``jobs_stored`` is how many postings came through normalisation; the quality is the mean score of the run's urls that
+    are stored with one, and ``passed_quality_gate`` how many these are.
+    """
+    urls = postings.select("source", "url").distinct()
+    graded = jobs.filter("quality_score > 0").groupBy("url").agg(F.max("quality_score").alias("_score"))
+    scores = urls.join(graded, "url").groupBy("source").agg(F.bround(F.avg("_score"), 2).alias("quality_score"), F.count("*").alias("passed_quality_gate"))
+    normal = postings.groupBy("source").agg(F.count("*").alias("jobs_stored"))
+    out = fetched.join(normal, "source", "left").join(invalid, "source", "left").join(scores, "source", "left")
+    crashed, zero = F.col("failure_reason").isNotNull(), F.lit(0).cast("long")
+    return out.select(
+        F.col("source").alias("provider"), started.alias("started_at"), completed.alias("completed_at"), F.coalesce("jobs_fetched", zero).alias("jobs_fetched"),
+        (zero if dry_run else F.coalesce("jobs_stored", zero)).alias("jobs_stored"), F.coalesce("url_invalid_count", zero).alias("url_invalid_count"), F.coalesce("quality_score", F.lit(0.0)).alias("quality_score"),
+        F.coalesce("passed_quality_gate", zero).alias("passed_quality_gate"), F.when(crashed, "failed").otherwise("success").alias("status"), crashed.alias("connector_crashed"), F.substring("crash_reason", 1, 500).alias("crash_reason"),
+        F.when(crashed, F.create_map(F.col("failure_reason"), F.lit(1).cast("long"))).otherwise(F.create_map().cast("map<string,bigint>")).alias("failure_reasons"),
+        F.lit(report_id).cast("string").alias("report_id"), F.lit(languages).alias("language_target"), zero.alias("jobs_duplicated"), zero.alias("soft_404_count"),
+    )
+
+
+COUNTERS = ("total", "prefilter_rejected", "url_invalid", "dedupe_hit", "cross_source_hit", "fuzzy_dup_flagged", "ai_classified", "ai_unavailable", "gate_valid", "gate_premium", "gate_rejected", "persisted", "dry_run_skipped", "geocode_pending")
+
+
+def stage_counters(rows: DataFrame, dry_run: bool = False) -> DataFrame:
+    """The fourteen counters of a run, from ``outcome`` and, for new rows, ``status``, ``quality_tier``, ``reject_reason`` and ``geocode_pending``."""
+    new = F.col("outcome") == "new"
+    asked = F.coalesce(F.col("reject_reason") == "AI_CLASSIFICATION_FAILED", F.lit(False))
+    passed = new & ~asked & (F.col("status") == "active")
+    is_ = lambda o: F.col("outcome") == o
+    found = {
+        "total": F.lit(True), "prefilter_rejected": is_("rejected_prefilter"), "url_invalid": is_("url_invalid"), "dedupe_hit": is_("dedupe_hit"), "cross_source_hit": is_("cross_source_hit"), "fuzzy_dup_flagged": is_("fuzzy_hit"),
+        "ai_classified": new & ~asked, "ai_unavailable": new & asked, "gate_valid": passed & (F.col("quality_tier") == "valid"), "gate_premium": passed & (F.col("quality_tier") == "premium"),
+        "gate_rejected": new & ~asked & (F.col("status") != "active"), "persisted": new & F.lit(not dry_run), "dry_run_skipped": new & F.lit(dry_run), "geocode_pending": passed & F.coalesce("geocode_pending", F.lit(False)),
+    }
+    return rows.agg(*(F.count_if(found[c]).alias(c) for c in COUNTERS))
+
+
+# Reports of a run over all sources
+
+REPORT = "run_id string, started_at timestamp, finished_at timestamp, ai_model string, triggered_by string, language_targets array<string>, total_sources long, total_fetched long, total_passed_quality long, total_failed_quality long, total_upserted long, total_skipped_duplicate long, total_url_invalid long, total_expired_detected long, failure_reasons map<string,bigint>, avg_enrichment_ms double, errors array<string>"
+
+
+def finished_report(started: DataFrame, sources: DataFrame, failures: DataFrame, latency: DataFrame, errors: DataFrame, now: Column) -> DataFrame:
+    """Reports (:data:`REPORT`) of ``started`` (run_id, started_at, ai_model, triggered_by, language_targets), folded anew from all that
+    belongs to them: run records, failures that were counted one by one (report_id, reason, n), times of model calls
+    (report_id, ms), and errors (report_id, seq, error), of which the last hundred stay.
+
+    Nothing is added up in place, so a fold that runs twice gives the same report.
+    """
+    own = sources.select("report_id", F.explode("failure_reasons").alias("reason", "n"))
+    quality = own.filter(~F.col("reason").isin(*OWN_TOTALS)).groupBy("report_id").agg(F.sum("n").alias("quality_failures"))
+    per = sources.join(quality, "report_id", "left").withColumn("_first", F.row_number().over(Window.partitionBy("report_id").orderBy("provider", "started_at")) == 1)
+    per = per.withColumn("quality_failures", F.when(F.col("_first"), F.coalesce("quality_failures", F.lit(0))).otherwise(0))
+    totals = report_rollup(per, failures)
+    reasons = failure_map(own.unionByName(failures.select("report_id", "reason", "n")), "report_id")
+    crashes = sources.filter("connector_crashed").select("report_id", F.lit(1 << 62).cast("long").alias("seq"), F.concat(F.lit("["), "provider", F.lit("] "), F.coalesce("crash_reason", F.lit(""))).alias("error"))
+    last = bounded_errors(errors.select("report_id", F.col("seq").cast("long").alias("seq"), "error").unionByName(crashes), "report_id")
+    mean = latency.groupBy("report_id").agg(F.avg("ms").alias("avg_enrichment_ms"))
+    out = started.withColumn("report_id", F.col("run_id"))
+    for part in (totals, reasons, last, mean):
+        out = out.join(part, "report_id", "left")
+    default = {"long": F.lit(0), "map<string,bigint>": F.create_map().cast("map<string,bigint>"), "double": F.lit(0.0), "array<string>": F.array().cast("array<string>")}
+    names = [c.split(" ", 1) for c in REPORT.split(", ")]
+    out = out.withColumn("finished_at", now)
+    return out.select(*(F.coalesce(F.col(n), default[k]).cast(k).alias(n) if k in default else F.col(n).cast(k).alias(n) for n, k in names))

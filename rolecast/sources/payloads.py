@@ -10,12 +10,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as t
 from ..functions.html import clean_description
+from ..operators.dedupe import keep_first
 
 ISO = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 NAMES = ("url", "title", "description", "company_name", "source", "published_at", "location_raw", "salary_min", "salary_max", "currency", "original_language", "external_id", "source_hints")
@@ -284,9 +286,9 @@ def canonical(records: DataFrame, name: str, language: str | None = None, keywor
     """Canonical postings of a source in order of arrival (``arrival_idx`` within it); an empty keyword passes all."""
     s = SOURCES[name]
     r = lambda path: F.col(f"_r.{path}") if path not in ("_role", "_pos") else F.col(path)
-    rows = records.withColumn("_seq", F.monotonically_increasing_id())
-    if fan := s.extra.get("fan_out"):
-        rows = rows.select("*", F.posexplode(r(fan)).alias("_pos", "_role"))
+    fan = s.extra.get("fan_out")
+    rows = records.select("*", F.posexplode(r(fan)).alias("_pos", "_role")) if fan else records
+    rows = rows.withColumn("_seq", F.monotonically_increasing_id())
     if s.keep:
         rows = rows.filter(s.keep(r))
     if s.search and keyword:
@@ -294,14 +296,11 @@ def canonical(records: DataFrame, name: str, language: str | None = None, keywor
     fields = {"source": F.lit(s.extra.get("source", name)), "original_language": F.lit(language or s.language)} | s.fields(r)
     kinds = {"source_hints": "map<string,string>"}
     cols = [fields.get(n, F.lit(None)).cast(kinds.get(n, "string")).alias(n) for n in NAMES]
-    out = rows.select("_seq", *(["_pos"] if fan else []), *cols)
+    out = rows.select("_seq", *cols)
     out = out.filter(" and ".join(f"coalesce({c}, '') <> ''" for c in ("url", "title", "company_name", "source")))
-    order = ["_seq", "_pos"] if fan else ["_seq"]
     if s.unique:
-        w = Window.partitionBy("external_id").orderBy(*order)
-        out = out.withColumn("_n", F.row_number().over(w)).filter((F.col("_n") == 1) & (F.coalesce("external_id", F.lit("")) != ""))
-    arrival = F.col("_seq") * 1000 + F.col("_pos") if fan else F.col("_seq")
-    return out.select(arrival.cast("long").alias("arrival_idx"), *NAMES)
+        out = keep_first(out.filter("coalesce(external_id, '') <> ''"), ["external_id"], [F.col("_seq")])
+    return out.select(F.col("_seq").cast("long").alias("arrival_idx"), *NAMES)
 
 
 def to_raw_jobs(postings: DataFrame) -> DataFrame:
@@ -318,18 +317,30 @@ def validate(postings: DataFrame) -> DataFrame:
     return postings.withColumn("missing", F.filter(missing, lambda x: x.isNotNull()))
 
 
-def union_all(parts: list[DataFrame], limit_each: int | None = None, limit: int | None = None) -> DataFrame:
+def union_all(parts: list[DataFrame], limit_each: int | None = None, limit: int | None = None, start: int = 0) -> DataFrame:
     """Postings of all sources in registry order; the limits are features of the import command."""
-    spaced = []
-    for k, p in enumerate(parts):
-        p = p.orderBy("arrival_idx").limit(limit_each) if limit_each else p
-        spaced.append(p.withColumn("arrival_idx", F.lit(k << 54).cast("long") + F.col("arrival_idx")))
-    out = spaced[0]
-    for p in spaced[1:]:
-        out = out.unionByName(p)
+    tagged = [(p.orderBy("arrival_idx").limit(limit_each) if limit_each else p).withColumn("_part", F.lit(k)) for k, p in enumerate(parts)]
+    out = dense(reduce(DataFrame.unionByName, tagged), start)
     return out.orderBy("arrival_idx").limit(limit) if limit else out
 
 
+def dense(rows: DataFrame, start: int = 0) -> DataFrame:
+    """``arrival_idx`` numbered anew from ``start`` in order of ``_part`` and of itself, with gaps of dropped rows only.
+
+    The number of a row is its place in its input partition, behind all earlier partitions; of these only the highest
+    places reach the driver.  So numbers grow with the rows, and many imports one after the other do not run out of them.
+    """
+    spark, low = rows.sparkSession, (1 << 33) - 1
+    split = rows.withColumns({"_task": F.shiftright("arrival_idx", 33), "_place": F.col("arrival_idx").bitwiseAND(F.lit(low))})
+    tops = split.groupBy("_part", "_task").agg(F.max("_place").alias("top")).orderBy("_part", "_task").collect()
+    found, at = [], start
+    for r in tops:
+        found.append((r["_part"], r["_task"], at))
+        at += r["top"] + 1
+    offsets = spark.createDataFrame(found, "_part int, _task long, _offset long")
+    return split.join(F.broadcast(offsets), ["_part", "_task"]).withColumn("arrival_idx", F.col("_offset") + F.col("_place")).drop("_part", "_task", "_place", "_offset")
+
+
 def enabled_sources(registry: DataFrame, providers: DataFrame, denied: list[str], legacy: list[str]) -> DataFrame:
     """Sources that code enables, no list denies, and whose provider row, or else the older list, allows."""
     p = providers.select("slug", F.col("enabled").alias("_db"))

@@ -3,20 +3,24 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ..operators.store import Store, insert_absent
+from ..functions.fuzzy import token_sort_ratio
+from ..operators.dedupe import FUZZY_DAYS
+from ..operators.store import Store
+from ..shared import cut, shared_dir
 
 CHECKPOINTS = "stream-checkpoints"
 
 
 def shared(spark: SparkSession, name: str) -> str:
-    """A folder for a stream's state beside the session's checkpoints, in the warehouse if none is set."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{root.rstrip('/')}/{CHECKPOINTS}/{name}"
+    """A folder for a stream's state beside the session's checkpoints."""
+    return f"{shared_dir(spark)}/{CHECKPOINTS}/{name}"
 
 
 def read_stream(spark: SparkSession, path: str) -> DataFrame:
@@ -37,15 +41,22 @@ def daily_counts(stream: DataFrame, ts: str = "ts", by: str = "event_type") -> D
     return stream.groupBy(w.alias("w"), by).agg(F.count("*").alias("n")).select(F.to_date("w.start").alias("day"), by, "n")
 
 
-def daily_counts_to_completion(spark: SparkSession, path: str) -> DataFrame:
+def span_of(spark: SparkSession, path: str, ts: str = "ts") -> int:
+    """Days between the first and the last event that is there."""
+    return spark.read.parquet(path).agg(F.coalesce(F.datediff(F.max(F.col(ts).cast("timestamp")), F.min(F.col(ts).cast("timestamp"))), F.lit(0))).first()[0]
+
+
+def daily_counts_to_completion(spark: SparkSession, path: str, delay: str | None = None) -> DataFrame:
     """All that is there now, through the stream: deduplicated, counted by day, read back from what it wrote.
 
-    The delay spans the input, so that no event counts as late, whatever the order of the files.
+    Files may come in any order, so without a ``delay`` it spans what is there; a stream that goes on states one, and
+    forgets what is older.  An empty input gives an empty result.
     """
     name = f"daily-{uuid.uuid4().hex}"
-    out = shared(spark, f"{name}-out")
+    out, delay = shared(spark, f"{name}-out"), delay or f"{span_of(spark, path) + 1} days"
     stream = read_stream(spark, path).withColumn("ts", F.col("ts").cast("timestamp")).filter("ts is not null")
-    counts = daily_counts(deduplicated(stream, "event_id", "ts", "36500 days"))
+    counts = daily_counts(deduplicated(stream, "event_id", "ts", delay))
+    spark.createDataFrame([], "day date, event_type string, n long").write.mode("overwrite").parquet(out)
     query = (
         counts.writeStream.outputMode("complete").option("checkpointLocation", shared(spark, name)).trigger(availableNow=True)
         .foreachBatch(lambda df, _: df.write.mode("overwrite").parquet(out)).start()
@@ -54,12 +65,54 @@ def daily_counts_to_completion(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("day date, event_type string, n long").parquet(out)
 
 
-def ingest(stream: DataFrame, store: Store, table: str, key: str, transform: Callable[[DataFrame], DataFrame], checkpoint: str):
-    """Start a query that adds each micro-batch's new keys to a table; a batch that runs twice adds nothing."""
+def ingest(stream: DataFrame, store: Store, table: str, key: str, transform: Callable[[DataFrame], DataFrame], checkpoint: str, trigger: dict | None = None):
+    """Start a query that adds each micro-batch's new keys to a table; a batch that runs twice adds nothing.
+
+    Only the buckets that a batch falls into are written.  ``trigger`` is that of ``writeStream``; the default takes what is there and ends.
+    """
 
     def add(batch: DataFrame, _: int) -> None:
-        rows = transform(batch)
-        old = store.read(table) if store.exists(table) else rows.limit(0)
-        store.write(table, insert_absent(old, rows, key, [F.col(key)]))
+        store.merge(table, cut(transform(batch), "batch"), key, [F.col(key)], absent=True)
+
+    return stream.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+
 
-    return stream.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def every(hours: float) -> dict:
+    """The trigger of a sweep that runs again and again."""
+    return {"processingTime": f"{int(hours * 3600)} seconds"}
+
+
+SEEN = "name_normalized string, title_normalized string, source string, arrival_idx long, target_idx long"
+HELD = "titles array<string>, sources array<string>, ids array<long>, times array<long>"
+
+
+def fuzzy_stream(postings: DataFrame, days: int = FUZZY_DAYS, least: float = 92.0) -> DataFrame:
+    """:data:`SEEN` for each posting of a stream: the first similar posting of the same company and another source that came
+    before and was posted in the last ``days`` days, null if there is none.
+
+    A company's state holds what was posted within the horizon of the newest posting; older postings go from it, and a
+    company that is silent for that long goes as a whole.
+    """
+    span = days * 86_400_000
+
+    def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        held = list(zip(*state.get, strict=True)) if state.exists else []
+        rows = pd.concat(list(frames)).sort_values("arrival_idx")
+        out = []
+        for r in rows.itertuples():
+            now = int(r.posted_at.timestamp() * 1000)
+            held = [h for h in held if h[3] >= max(now, *(x[3] for x in held)) - span] if held else held
+            hit = next((h[2] for h in held if h[1] != r.source and h[3] >= now - span and token_sort_ratio(r.title_normalized, h[0]) >= least), None)
+            out.append((key[0], r.title_normalized, r.source, r.arrival_idx, hit))
+            if hit is None:
+                held.append((r.title_normalized, r.source, r.arrival_idx, now))
+        state.update(tuple(map(list, zip(*held, strict=True))) if held else ([], [], [], []))
+        newest = max((h[3] for h in held), default=0)
+        state.setTimeoutTimestamp(max(newest + span, state.getCurrentWatermarkMs() + 1))
+        yield pd.DataFrame(out, columns=[c.split()[0] for c in SEEN.split(", ")]).astype({"target_idx": "Int64"})
+
+    rows = postings.select("name_normalized", "title_normalized", "source", "arrival_idx", "posted_at").filter("posted_at is not null")
+    return rows.withWatermark("posted_at", f"{days} days").groupBy("name_normalized").applyInPandasWithState(step, SEEN, HELD, "append", GroupStateTimeout.EventTimeTimeout)
