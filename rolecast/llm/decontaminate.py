@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .codepoints import runs
-from .common import held
+from .common import held, slices
 
 WINDOW, ENOUGH, BLOCK_BYTES, CHARS = 8, 13, 16 << 20, 1_000_000
 WORD, NUMBER, NAME, UNIT, STOP = 0, 1, 2, 3, 4
@@ -48,7 +48,7 @@ PRIME = np.uint64(0x9E3779B97F4A7C15)
 class Canon:
     """Words of texts as arrays: hash, kind, and whether a sentence starts."""
 
-    MOST = 800_000
+    MOST = 150_000
 
     def __init__(self) -> None:
         self.known: dict[str, bytes] = {}
@@ -237,7 +237,7 @@ def _pass(df: DataFrame, items: list[tuple[int, str]], width: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index, canon = held(name, lambda: Index(shared.value, width)), held("canon", Canon)
-        for b in batches:
+        for b in slices(batches):
             texts, ids, most = b.column(place).to_pylist(), b.column(len(names) - 2).to_pylist(), b.column(len(names) - 1).to_pylist()
             for i, j in runs(texts, CHARS):
                 for d, hits in index.search(canon, texts[i:j]).items():

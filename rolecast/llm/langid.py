@@ -23,8 +23,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .codepoints import LOWER, UPPER, points, runs, tables
+from .common import slices
 
-SAMPLE, BUCKETS, CHARS = 4000, 4096, 400_000
+SAMPLE, BUCKETS, CHARS, BLOCK = 4000, 4096, 400_000, 256
 #: Families of languages by code.  A code that is not listed is a family of its own.
 FAMILIES = {
     "germanic": "en de nl sv da no nb nn is af lb fy yi",
@@ -68,16 +69,18 @@ def features(texts: list[str], buckets: int = BUCKETS) -> np.ndarray:
 
 
 def fit_svm(x: np.ndarray, y: np.ndarray, c: float = 1.0, steps: int = 300) -> np.ndarray:
-    """Weights, the bias last, of a linear SVM with squared hinge loss for labels -1 and 1, by accelerated gradients."""
-    x = np.hstack([x, np.ones((len(x), 1), dtype=np.float32)]).astype(np.float32)
+    """Weights, the bias last, of a linear SVM with squared hinge loss for labels -1 and 1, by accelerated gradients.
+
+    ``y`` is 0 for rows of ``x`` that do not count, so that no part of it need be copied.
+    """
     y = y.astype(np.float32)
-    weight = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum())).astype(np.float32) * c * 100
-    rate = 1.0 / (1.0 + 2 * float((weight * (x * x).sum(axis=1)).sum()))
-    w = v = np.zeros(x.shape[1], dtype=np.float32)
+    weight = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), np.where(y < 0, 0.5 / max(1, (y < 0).sum()), 0)).astype(np.float32) * c * 100
+    rate = np.float32(1.0 / (1.0 + 2 * float((weight * (np.einsum("ij,ij->i", x, x) + 1)).sum())))
+    w = v = np.zeros(x.shape[1] + 1, dtype=np.float32)
     for k in range(steps):
-        slack = np.maximum(0, 1 - y * (x @ v))
-        new = v - rate * (v - 2 * ((weight * y * slack) @ x))
-        v = new + (k / (k + 3)) * (new - w)
+        slack = weight * y * np.maximum(0, 1 - y * (x @ v[:-1] + v[-1]))
+        new = v - rate * (v - 2 * np.append(slack @ x, slack.sum()))
+        v = new + np.float32(k / (k + 3)) * (new - w)
         w = new
     return w
 
@@ -101,8 +104,7 @@ def fit(x: np.ndarray, langs: list[str]) -> Model:
         m.family_w = np.stack([fit_svm(x, np.where(family == f, 1, -1)) for f in m.families])
     for f in m.families:
         for a, b in combinations(m.langs[f], 2):
-            own = (codes == a) | (codes == b)
-            m.pair_w[a, b] = fit_svm(x[own], np.where(codes[own] == a, 1, -1))
+            m.pair_w[a, b] = fit_svm(x, np.where(codes == a, 1, np.where(codes == b, -1, 0)))
     return m
 
 
@@ -151,15 +153,22 @@ def learn(labelled: DataFrame, sample: int = SAMPLE) -> Model:
     taken = rows.filter(F.col("h") <= ids).limit(2 * sample)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches, BLOCK):
             langs, texts = b.column(1).to_pylist(), b.column(2).to_pylist()
             for i, j in runs(texts, CHARS):
                 x = features(texts[i:j])
                 yield pa.RecordBatch.from_arrays([pa.array(langs[i:j]), pa.array([r.astype("<f2").tobytes() for r in x])], names=["lang", "x"])
 
-    found = sorted((r["lang"], bytes(r["x"])) for r in taken.mapInArrow(run, "lang string, x binary").collect())
-    x = np.frombuffer(b"".join(r[1] for r in found), dtype="<f2").reshape(-1, BUCKETS).astype(np.float32)
-    return fit(x, [r[0] for r in found])
+    found = taken.mapInArrow(run, "lang string, x binary").toArrow()
+    order = found.sort_by([("lang", "ascending"), ("x", "ascending")]) if len(found) else found
+    x, at = np.empty((len(order), BUCKETS), dtype=np.float32), 0
+    for part in order["x"].chunks:
+        for row in part:
+            x[at] = np.frombuffer(row.as_buffer(), dtype="<f2")
+            at += 1
+    langs = order["lang"].to_pylist()
+    del found, order
+    return fit(x, langs)
 
 
 def has_letter(text: str | None) -> bool:
@@ -173,16 +182,14 @@ def identify(df: DataFrame, model: Model) -> DataFrame:
     place = names.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches, BLOCK):
             texts = b.column(place).to_pylist()
             langs, scores = ["und"] * len(texts), np.zeros(len(texts))
             own = [i for i, t in enumerate(texts) if model.families and has_letter(t)]
             held = [texts[i] for i in own]
             for i, j in runs(held, CHARS):
-                for k in range(i, j, 512):
-                    found, s = predict(model, features(held[k : min(j, k + 512)]))
-                    for n, (lang, p) in enumerate(zip(found, s, strict=True)):
-                        langs[own[k + n]], scores[own[k + n]] = lang, p
+                for n, lang, p in zip(own[i:j], *predict(model, features(held[i:j])), strict=True):
+                    langs[n], scores[n] = lang, p
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=[*names, "lang_pred", "score"])
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)

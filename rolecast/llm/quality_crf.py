@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .codepoints import DIGIT, LOWER, SIGN, SPACE, UPPER, points, runs, tables
+from .common import slices
 
 SAMPLE, CHARS, STEPS, CHUNK = 5000, 500_000, 250, 64
 CUTS = np.array([0.0, 0.01, 0.03, 0.06, 0.1, 0.2, 0.35, 0.6])  # bucket 0: none at all
@@ -131,21 +132,33 @@ def forward_backward(m: Chain, scores: np.ndarray, seq: np.ndarray, step: np.nda
     return np.exp(joint - z[:, None]), pairs
 
 
+def emitted(m: Chain, feats: np.ndarray) -> np.ndarray:
+    """Summed weights of the lines' features; a column at a time, so that memory is a few values a line."""
+    out = np.zeros((len(feats), 2))
+    for k in range(feats.shape[1]):
+        out += m.emit[feats[:, k]]
+    return out
+
+
 def fit(doc: np.ndarray, feats: np.ndarray, labels: np.ndarray, steps: int = STEPS, l2: float = 1e-4) -> Chain:
-    """Maximum likelihood by Adam; ``labels`` has one value a line."""
+    """Maximum likelihood by Adam; ``labels`` has one value a line.  Chains of more than ``CHUNK`` lines are cut into such
+    for fitting, as a step of the forward pass takes a line of all chains at once; in scoring they are whole."""
     seq, step = padded(doc)
-    step, y = step % CHUNK, labels.astype(int)  # long documents are cut into chains of CHUNK lines for fitting
+    step, y = step % CHUNK, labels.astype(int)
     m = Chain(np.zeros((WIDTH, 2)), np.zeros((2, 2)), np.zeros(2))
-    flat, n, onehot = feats.astype(np.int64).ravel(), len(y), np.eye(2)[y]
+    columns, n, onehot = np.ascontiguousarray(feats.T), len(y), np.eye(2)[y]
     head, later = step == 0, np.flatnonzero(step > 0)
     seen = np.zeros((2, 2))
     np.add.at(seen, (y[later - 1], y[later]), 1)
     params = [m.emit, m.move, m.start]
     first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
     for k in range(1, steps + 1):
-        marg, pairs = forward_backward(m, m.emit[feats].sum(axis=1), seq, step)
-        diff = np.repeat(onehot - marg, feats.shape[1], axis=0)
-        grads = [np.stack([np.bincount(flat, weights=diff[:, c], minlength=WIDTH) for c in (0, 1)], axis=1), seen - pairs, (onehot - marg)[head].sum(axis=0)]
+        marg, pairs = forward_backward(m, emitted(m, feats), seq, step)
+        diff, grad = np.ascontiguousarray((onehot - marg).T), np.zeros((WIDTH, 2))
+        for column in columns:
+            for c in (0, 1):
+                grad[:, c] += np.bincount(column, weights=diff[c], minlength=WIDTH)
+        grads = [grad, seen - pairs, diff[:, head].sum(axis=1)]
         for p, g, a, b in zip(params, grads, first, second, strict=True):
             g = g / n - l2 * p
             a += 0.1 * (g - a)
@@ -163,7 +176,7 @@ def document_scores(m: Chain | None, texts: list[str | None]) -> np.ndarray:
         if m is None:
             good = np.full(len(doc), 0.5)
         else:
-            good = forward_backward(m, m.emit[feats].sum(axis=1), *padded(doc))[0][:, 1]
+            good = forward_backward(m, emitted(m, feats), *padded(doc))[0][:, 1]
         weight = np.bincount(doc, weights=length, minlength=j - i)
         mean = np.bincount(doc, weights=length * good, minlength=j - i) / np.maximum(weight, 1)
         if m is not None:
@@ -189,7 +202,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Chain | N
     taken = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").limit(2 * sample)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             ids, texts, quality = (b.column(i).to_pylist() for i in range(3))
             for i, j in runs(texts, CHARS):
                 doc, length, feats = observations([t or "" for t in texts[i:j]])
@@ -205,7 +218,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Chain | N
     feats = np.frombuffer(b"".join(x for *_, x, _ in found), dtype=np.int16).reshape(-1, per // 2)
     doc, y = np.repeat(np.arange(len(found)), counts), np.array([int(q > 0) for _, q, *_ in found])
     m = fit(doc, feats, y[doc])
-    good = forward_backward(m, m.emit[feats].sum(axis=1), *padded(doc))[0][:, 1]
+    good = forward_backward(m, emitted(m, feats), *padded(doc))[0][:, 1]
     length = np.frombuffer(b"".join(z for *_, z in found), dtype="<f4")
     m.scale = calibrate(np.bincount(doc, weights=good * length) / np.bincount(doc, weights=length), y)
     return m
@@ -218,7 +231,7 @@ def score(df: DataFrame, model: Chain | None) -> DataFrame:
     place = names.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(document_scores(model, b.column(place).to_pylist()))], names=[*names, "score"])
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
