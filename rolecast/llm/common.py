@@ -1,51 +1,24 @@
-"""Helpers shared by the corpus operators: tables, shared scratch space, id columns."""
+"""Helpers shared by the corpus operators: tables, shared scratch space, repeated rows."""
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
-from contextlib import suppress
 from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-SCRATCH = f"rolecast-{uuid.uuid4().hex}"
+from ..shared import drop, scratch
 
+__all__ = ["drop", "held", "numbered_copies", "read", "scratch", "slices", "store", "tasks"]
 
-def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir`` of the session.
-
-    Only a local master may go without: there a temporary folder is as good.
-    """
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if path:
-        return path.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    path = "file://" + tempfile.mkdtemp(prefix="rolecast-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    return path
-
+#: Rows that repeat more often are dealt out as copies with numbers; a table of so many rows of a few numbers is broadcast.
+COPIES, MOST_BROADCAST = 1000, 100_000
 
-def scratch(spark: SparkSession, tag: str) -> str:
-    """A new path in the shared folder; it goes when the driver ends, or with :func:`drop`."""
-    path = f"{shared_dir(spark)}/{SCRATCH}/{tag}-{uuid.uuid4().hex[:12]}"
-    atexit.register(drop, spark, path)
-    return path
 
-
-def drop(spark: SparkSession, path: str) -> None:
-    with suppress(Exception):
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
 def store(df: DataFrame, tag: str) -> tuple[DataFrame, str]:
@@ -56,6 +29,28 @@ def store(df: DataFrame, tag: str) -> tuple[DataFrame, str]:
     return spark.read.schema(df.schema).parquet(path), path
 
 
+def numbered_copies(df: DataFrame, most: int = COPIES) -> DataFrame:
+    """``df`` with ``_copy``, which numbers rows that repeat more than ``most`` times in all columns, and is 0 for others.
+
+    Such rows are counted before the shuffle and made anew from the count, ``most`` at a time, so no task has to hold
+    them all, and their numbers do not depend on files or partitions.
+    """
+    spark, columns = df.sparkSession, df.columns
+    h = F.xxhash64(*columns)
+    hot, _ = store(df.groupBy(h.alias("_h")).agg(F.count("*").alias("_n")).filter(F.col("_n") > most).select("_h"), "repeated-rows")
+    n = hot.count()
+    if not n:
+        return df.withColumn("_copy", F.lit(0).cast("long"))
+    side = F.broadcast(hot) if n <= MOST_BROADCAST else hot
+    marked = df.withColumn("_h", h)
+    single = marked.join(side, "_h", "left_anti").drop("_h").withColumn("_copy", F.lit(0).cast("long"))
+    groups, _ = store(marked.join(side, "_h", "left_semi").groupBy(*columns).agg(F.count("*").alias("_n")), "repeated-groups")
+    parts = tasks(spark, groups.agg(F.sum("_n")).first()[0], 20 * most)
+    ranges = groups.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1, F.lit(most).cast("long"))).alias("_from")).repartition(parts, h, "_from")
+    copies = ranges.select(*columns, F.explode(F.sequence("_from", F.least(F.col("_from") + most, F.col("_n")) - 1)).alias("_copy"))
+    return single.unionByName(copies)
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
     """Batches in slices of so many rows, so that few texts at a time become Python's."""
     for b in batches:

@@ -10,7 +10,9 @@
    its own.  The stretch between them with the most text is the core of the page.
 3. Line counts alone would cut short paragraphs at the ends of an article.  So surge and dive are moved out to the
    bounds of the element that holds the core: its ``article`` or ``main`` if it has one, else the parent of the core's
-   lines.
+   lines.  Lines of the stretch that lie in a ``main`` around it, or in other articles of that ``main``, stay as well, but for
+   headings at its end.  Without such elements, stretches that only few lines of links or so part, and that
+   hold enough of the text, are one.
 
 Edge cases: null, empty and tag-only pages give the empty text; unclosed and stray tags are tolerated; pages of any
 length are read whole; repeated rows are extracted each; other columns of the input are ignored.
@@ -27,6 +29,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 WINDOW, SURGE = 3, 0.5
+#: Without an article: stretches with this share of the longest one's text, this many lines apart, belong together.
+ENOUGH, APART = 0.2, 3
+#: Elements that hold text rather than others: one word of several in their class (``notice-period``) says nothing.
+TEXTUAL = frozenset("p h1 h2 h3 h4 h5 h6 li td th dd dt span b strong em i u a q cite code pre blockquote figcaption caption".split())
+HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(?P<end>/?)(?P<name>[A-Za-z][^\s/>]*)(?P<attrs>(?:[^>"']|"[^"]*"|'[^']*')*)>""", re.S)
 ATTR = re.compile(r"""([A-Za-z_:][-\w:.]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
@@ -54,6 +61,8 @@ class Line:
     own: int  # characters outside links
     parent: int  # the block that holds it
     holder: int  # its innermost article or main, 0 if none
+    outer: int = 0  # its outermost article or main
+    heading: bool = False
 
 
 @dataclass
@@ -112,7 +121,8 @@ def names(name: str, attrs: str) -> tuple[bool, bool]:
         for m in ATTR.finditer(attrs):
             if m[1].lower() in ("class", "id"):
                 value = (m[2] or "").strip("\"'").lower()
-                if not NAMES.isdisjoint(re.split(r"[^a-z]+", value)):
+                words = [w for w in re.split(r"[^a-z]+", value) if w]
+                if not NAMES.isdisjoint(words) and (name not in TEXTUAL or NAMES.issuperset(words)):
                     part = True
                     whole = whole or NAMES.issuperset(value.split())
     return part, whole
@@ -121,7 +131,10 @@ def names(name: str, attrs: str) -> tuple[bool, bool]:
 def lines_of(html: str, kept: frozenset[int] | set[int] = frozenset(), seen: Seen | None = None) -> list[Line]:
     """The page as lines of text, without markup and dropped subtrees; named elements of ``kept`` stay."""
     lines: list[Line] = []
-    stack: list[tuple[str, int, int, int]] = []  # name, number, dropped (1 for its name, 2 for good), holder
+    stack: list[tuple[str, int, int, int, int]] = []  # name, number, dropped (1 for its name, 2 for good), holder, outer holder
+    open_: dict[str, list[int]] = {}  # where elements of a name are in the stack
+    blocks: list[int] = []  # where blocks are in it, and those that hold lines
+    holding: list[int] = []
     inside: list[tuple[int, Named]] = []  # named elements that are open, with their depth
     parts: list[str] = []
     own = number = links = 0
@@ -130,8 +143,8 @@ def lines_of(html: str, kept: frozenset[int] | set[int] = frozenset(), seen: See
         nonlocal own
         if parts:
             if text := " ".join("".join(parts).split()):
-                block = next((x for x in reversed(stack) if x[0] in BLOCK and x[0] != "p"), None)
-                lines.append(Line(text, own, block[1] if block else 0, stack[-1][3] if stack else 0))
+                last = stack[blocks[-1]][0] if blocks else ""
+                lines.append(Line(text, own, stack[holding[-1]][1] if holding else 0, *(stack[-1][3:] if stack else (0, 0)), last in HEADING))
             parts.clear()
         own = 0
 
@@ -163,8 +176,13 @@ def lines_of(html: str, kept: frozenset[int] | set[int] = frozenset(), seen: See
 
     def pop(to: int) -> None:
         nonlocal links
-        links -= sum(x[0] == "a" for x in stack[to:])
+        for x in stack[to:]:
+            links -= x[0] == "a"
+            open_[x[0]].pop()
         del stack[to:]
+        for places in (blocks, holding):
+            while places and places[-1] >= to:
+                places.pop()
         while inside and inside[-1][0] >= to:
             inside.pop()
 
@@ -192,20 +210,17 @@ def lines_of(html: str, kept: frozenset[int] | set[int] = frozenset(), seen: See
         if name in BLOCK:
             flush()
         if m["end"]:
-            found = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), -1)
-            if found >= 0 and (name in BLOCK or not any(x[0] in BLOCK for x in stack[found + 1 :])):
-                pop(found)
+            places = open_.get(name)
+            if places and (name in BLOCK or not blocks or blocks[-1] <= places[-1]):
+                pop(places[-1])
             continue
         if name in BLOCK:
-            for i in range(len(stack) - 1, -1, -1):
-                if name in IMPLIED.get(stack[i][0], ()):
-                    pop(i)
-                elif stack[i][0] in BLOCK:
-                    break
+            while blocks and name in IMPLIED.get(stack[blocks[-1]][0], ()):
+                pop(blocks[-1])
         if name in VOID or m["attrs"].endswith("/") and name not in BLOCK:
             continue
         number += 1
-        gone, holder = (stack[-1][2], stack[-1][3]) if stack else (0, 0)
+        gone, holder, outer = stack[-1][2:] if stack else (0, 0, 0)
         part = False
         if gone < 2:
             if dropped(name, m["attrs"]):
@@ -225,23 +240,28 @@ def lines_of(html: str, kept: frozenset[int] | set[int] = frozenset(), seen: See
             inside.append((len(stack), Named(number, whole, holder)))
             seen.named.append(inside[-1][1])
         if name in ("article", "main"):
-            holder = number
+            holder, outer = number, outer or number
             if seen is not None and gone < 2:
                 seen.holders[number] = 0, [x for _, x in inside]
-        stack.append((name, number, gone, holder))
+        open_.setdefault(name, []).append(len(stack))
+        if name in BLOCK:
+            blocks.append(len(stack))
+            if name != "p":
+                holding.append(len(stack))
+        stack.append((name, number, gone, holder, outer))
     flush()
     return lines
 
 
-def core(lines: list[Line], window: int = WINDOW) -> tuple[int, int]:
-    """First and last line of the stretch between a surge and the next dive that holds the most text."""
+def stretches(lines: list[Line], window: int = WINDOW) -> list[tuple[int, int]]:
+    """First and last lines between a surge and the next dive."""
     lengths = [x.own for x in lines]
     sums, total = [], sum(lengths[:window])
     for i in range(len(lines)):
         sums.append(total)
         total += (lengths[i + window] if i + window < len(lines) else 0) - lengths[i]
     least = SURGE * sum(sums) / len(sums)
-    best, at = (-1, 0, len(lines) - 1), 0
+    out, at = [], 0
     while at < len(lines):
         if sums[at] <= least or not lengths[at]:
             at += 1
@@ -249,9 +269,14 @@ def core(lines: list[Line], window: int = WINDOW) -> tuple[int, int]:
         dive = at
         while dive + 1 < len(lines) and lengths[dive + 1] and sums[dive + 1] > 0:
             dive += 1
-        best = max(best, (sum(lengths[at : dive + 1]), -at, dive))
+        out.append((at, dive))
         at = dive + 1
-    return (-best[1], best[2])
+    return out or [(0, len(lines) - 1)]
+
+
+def core(lines: list[Line], window: int = WINDOW) -> tuple[int, int]:
+    """The stretch that holds the most text."""
+    return max(stretches(lines, window), key=lambda s: (sum(x.own for x in lines[s[0] : s[1] + 1]), -s[0]))
 
 
 def kept_lines(html: str) -> list[Line]:
@@ -274,18 +299,41 @@ def main_text(html: str | None) -> str:
     for x in stretch:
         holders[x.holder] = holders.get(x.holder, 0) + x.own
     holder = max(holders, key=lambda h: (holders[h], -h))
-    if holder:
-        kept = [x for x in lines if x.holder == holder]
-    else:
-        parents = {x.parent for x in stretch}
-        while surge and lines[surge - 1].parent in parents:
-            surge -= 1
-        while dive + 1 < len(lines) and lines[dive + 1].parent in parents:
-            dive += 1
-        kept = lines[surge : dive + 1]
+    kept = in_holder(lines, surge, dive, holder) if holder else without_holder(lines, surge, dive)
     return "\n".join(x.text for x in kept)
 
 
+def in_holder(lines: list[Line], surge: int, dive: int, holder: int) -> list[Line]:
+    """All lines of the holder, and those of the stretch that another element around it holds."""
+    outer = next(x.outer for x in lines if x.holder == holder)
+    own = [i for i, x in enumerate(lines) if x.holder == holder]
+    more = [i for i in range(surge, dive + 1) if lines[i].outer == outer]
+    while more and more[-1] > own[-1] and lines[more[-1]].heading:
+        more.pop()
+    return [lines[i] for i in sorted({*own, *more})]
+
+
+def without_holder(lines: list[Line], surge: int, dive: int) -> list[Line]:
+    """The stretch, with what its lines' parents hold next to it, and near stretches with enough text."""
+    size = lambda s: sum(x.own for x in lines[s[0] : s[1] + 1])
+    found, least = stretches(lines), ENOUGH * size((surge, dive))
+    at = found.index((surge, dive))
+    low = high = at
+    while low and size(found[low - 1]) >= least and found[low][0] - found[low - 1][1] - 1 <= APART:
+        low -= 1
+    while high + 1 < len(found) and size(found[high + 1]) >= least and found[high + 1][0] - found[high][1] - 1 <= APART:
+        high += 1
+    kept: set[int] = set()
+    for first, last in found[low : high + 1]:
+        parents = {x.parent for x in lines[first : last + 1]}
+        while first and lines[first - 1].parent in parents:
+            first -= 1
+        while last + 1 < len(lines) and lines[last + 1].parent in parents:
+            last += 1
+        kept.update(range(first, last + 1))
+    return [lines[i] for i in sorted(kept)]
+
+
 def extract(pages: DataFrame) -> DataFrame:
     """``page_id``, ``url``, ``text`` and its length in code points for every row of ``pages``."""
 

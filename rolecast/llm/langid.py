@@ -8,7 +8,8 @@ Fitting takes at most ``SAMPLE`` labelled rows, those with the smallest hashes o
 their feature rows.  Prediction covers all rows.  ``lang_pred`` is ``und``, with score 0, where a text is null or has no letter.
 
 Edge cases: rows with a null text or language are not learned from; with one learned language all texts with letters
-are of that language; with none, all are ``und``; repeated rows are predicted each; other columns are ignored.
+are of that language; with none, all are ``und``; repeated rows are predicted each; very long texts are read in pieces;
+other columns are kept, and those named like the results are replaced, unless these get other names.
 """
 
 from __future__ import annotations
@@ -40,31 +41,62 @@ FAMILIES = {
 FAMILY = {code: family for family, codes in FAMILIES.items() for code in codes.split()}
 
 
-def features(texts: list[str], buckets: int = BUCKETS) -> np.ndarray:
-    """A row of feature values for each text."""
+def codes(cp: np.ndarray, letter_before: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Lower-case letters, a run of all else as one blank; and which of the characters stay."""
     kinds, lower = tables()
-    cps = [points(t + " ") for t in texts]
-    doc = np.repeat(np.arange(len(texts), dtype=np.int64), [len(c) for c in cps])
-    cp = np.concatenate(cps)
     kind = kinds[cp]
     letter = (kind == UPPER) | (kind == LOWER)
-    cp = np.where(letter, lower[cp], 32)
-    keep = letter | np.concatenate([[True], letter[:-1]])  # a run of blanks is one
-    cp, doc = cp[keep].astype(np.uint64), doc[keep]
+    keep = letter | np.concatenate([[letter_before], letter[:-1]])
+    return np.where(letter, lower[cp], 32)[keep].astype(np.uint64), keep
+
+
+def grams(code: np.ndarray, n: int) -> np.ndarray:
+    """A hash for each run of ``n`` codes."""
+    mixed = code * np.uint64(0x9E3779B97F4A7C15)
+    h = mixed[: len(code) - n + 1].copy()
+    for k in range(1, n):
+        h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + mixed[k : len(code) - n + 1 + k]
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
+    return (h >> np.uint64(40)).astype(np.int64)
+
+
+def long_counts(text: str, buckets: int, chars: int) -> np.ndarray:
+    """Counts of one text, a piece of it at a time; runs across the pieces' ends are counted once."""
+    out, tail, letter = np.zeros(buckets), np.empty(0, dtype=np.uint64), True
+    for at in range(0, len(text) + 1, chars):
+        piece = text[at : at + chars] + (" " if at + chars > len(text) else "")
+        cp = points(piece)
+        code, _ = codes(cp, letter)
+        letter = bool(np.isin(tables()[0][cp[-1]], (UPPER, LOWER)))
+        both = np.concatenate([tail, code])
+        for n in (1, 2, 3):
+            new = both[max(0, len(tail) - n + 1) :]
+            if len(new) >= n:
+                out += np.bincount(grams(new, n) % buckets, minlength=buckets)
+        tail = both[-2:]
+    return out
+
+
+def features(texts: list[str], buckets: int = BUCKETS, chars: int = CHARS) -> np.ndarray:
+    """A row of feature values for each text; a text of more than ``chars`` characters is read in pieces."""
+    short = [t if len(t) <= chars else "" for t in texts]
+    cps = [points(t + " ") for t in short]
+    doc = np.repeat(np.arange(len(texts), dtype=np.int64), [len(c) for c in cps])
+    cp, keep = codes(np.concatenate(cps), True)
+    doc = doc[keep]
     out = np.zeros(len(texts) * buckets, dtype=np.float64)
-    mixed = cp * np.uint64(0x9E3779B97F4A7C15)
     for n in (1, 2, 3):
         if len(cp) < n:
             break
-        h = mixed[: len(cp) - n + 1].copy()
-        for k in range(1, n):
-            h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + mixed[k : len(cp) - n + 1 + k]
-        h = (h ^ (h >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
-        at = doc[: len(h)] * buckets + (h >> np.uint64(40)).astype(np.int64) % buckets
+        at = doc[: len(cp) - n + 1] * buckets + grams(cp, n) % buckets
         if n > 1:
-            at = at[doc[: len(h)] == doc[n - 1 :]]
+            at = at[doc[: len(at)] == doc[n - 1 :]]
         out += np.bincount(at, minlength=len(out))
-    out = np.sqrt(out.reshape(len(texts), buckets))
+    out = out.reshape(len(texts), buckets)
+    for i, t in enumerate(texts):
+        if len(t) > chars:
+            out[i] = long_counts(t, buckets, chars)
+    out = np.sqrt(out)
     return (out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)).astype(np.float32)
 
 
@@ -175,9 +207,9 @@ def has_letter(text: str | None) -> bool:
     return bool(text) and any(map(str.isalpha, text))
 
 
-def identify(df: DataFrame, model: Model) -> DataFrame:
-    """``df`` with ``lang_pred`` and ``score``; columns of these names are replaced."""
-    df = df.drop("lang_pred", "score")
+def identify(df: DataFrame, model: Model, lang: str = "lang_pred", score: str = "score") -> DataFrame:
+    """``df`` with the predicted language and its score; columns of these names are replaced."""
+    df = df.drop(lang, score)
     names = df.columns
     place = names.index("text")
 
@@ -188,9 +220,9 @@ def identify(df: DataFrame, model: Model) -> DataFrame:
             own = [i for i, t in enumerate(texts) if model.families and has_letter(t)]
             held = [texts[i] for i in own]
             for i, j in runs(held, CHARS):
-                for n, lang, p in zip(own[i:j], *predict(model, features(held[i:j])), strict=True):
-                    langs[n], scores[n] = lang, p
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=[*names, "lang_pred", "score"])
+                for n, code, p in zip(own[i:j], *predict(model, features(held[i:j])), strict=True):
+                    langs[n], scores[n] = code, p
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=[*names, lang, score])
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    return df.mapInArrow(run, f"{kinds}, lang_pred string, score double")
+    return df.mapInArrow(run, f"{kinds}, `{lang}` string, `{score}` double")

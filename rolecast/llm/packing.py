@@ -5,6 +5,7 @@ randomised groups of documents.  A group takes about ``group_bytes`` of text, so
 the corpus, and groups are dealt by a seeded hash, so no order of the input can spoil one.
 
 * Documents longer than the capacity are first cut into full sequences and a rest; rests are the items of FFD.
+* Rows that repeat very often are numbered, and the number is part of the hash, so they spread over the groups, too.
 * FFD leaves gaps at the end of a few bins.  Because pieces may be cut, the emptiest bins are then dissolved into
   the gaps of the fuller ones; at most one bin a group stays partly filled, and it is split into sequences whose
   lengths are powers of two, which need no padding.
@@ -24,9 +25,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held, tasks
+from .common import held, numbered_copies, tasks
 
 CAPACITY, END_ID, SEED = 2048, 1, 20240229
+#: Bits of a sequence's number within its group; the others, 35 of them, number the groups.
+WITHIN = 28
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 PIECES = pa.schema([(x.split()[0], pa.int64()) for x in SCHEMA.split(", ")])
 
@@ -161,20 +164,26 @@ def encoder(path: str) -> Encoder:
     return held(f"encoder {path}", lambda: Encoder(path))
 
 
+def first_sequence(group: int) -> int:
+    """The number of a group's first sequence.  A group of a few MiB, or of one text of the 2 GiB that a row can hold, has fewer than 2 ** 28."""
+    return group << WITHIN
+
+
 def pack_documents(df: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, seed: int = SEED, group_bytes: int = 4 << 20) -> DataFrame:
     """One row a piece (:data:`SCHEMA`) for ``df`` with ``doc_id`` and ``text``."""
     spark = df.sparkSession
     size = F.octet_length(F.coalesce("text", F.lit(""))) + 64
     total = df.agg(F.sum(size).alias("n")).first()["n"] or 0
     groups = int(total // group_bytes) + 1
-    dealt = df.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.pmod(F.xxhash64(F.lit(seed), "doc_id", "text"), F.lit(groups)).alias("grp"))
+    rows = numbered_copies(df.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    dealt = rows.select("doc_id", "text", F.pmod(F.xxhash64(F.lit(seed), "doc_id", "text", "_copy"), F.lit(groups)).alias("grp"))
 
     def group(table: pa.Table) -> pa.Table:
         encode, end = encoder(tokenizer_path), np.array([END_ID], dtype="<u4").tobytes()
         # The order in which rows arrive depends on the shuffle; packing must not.
         rows = sorted(zip(table["doc_id"].to_pylist(), table["text"].to_pylist(), strict=True), key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""))
         ids = [encode(text) + end for _, text in rows]
-        first, out = (table["grp"][0].as_py() << 40), []
+        first, out = first_sequence(table["grp"][0].as_py()), []
         for s, pieces in enumerate(pack([len(x) // 4 for x in ids], capacity)):
             offset = 0
             for doc, start, n in pieces:

@@ -10,11 +10,14 @@ Fitting takes at most ``SAMPLE`` labelled documents, those with the smallest has
 observations.  Scoring covers whole texts of all rows.
 
 Edge cases: a text that is null, empty or blank scores 0; with no labelled rows every other text scores 0.5; repeated
-rows are scored each; a ``doc_id`` that is labelled twice counts once, with the smaller label; other columns are kept.
+rows are scored each; a ``doc_id`` that is labelled twice counts once, with the smaller label; very long texts are read in
+pieces, and a word of more than two million characters counts as several; other columns are kept, and one named like the
+score is replaced, unless that gets another name.  For fitting, chains of more than ``CHUNK`` lines are cut into such.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -33,8 +36,49 @@ OWN, LEVELS = SHARES + 3, len(CUTS) + 1
 WIDTH = OWN * LEVELS + 2 * SHARES * LEVELS + 2
 
 
-def observations(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For every non-blank line of the texts: the text's number, the line's length and its active features, a row a line."""
+#: Sums over the words and characters of a line, and whether its last word ends a sentence.
+CHARS_IN, LETTERS, SIGNS, CAPITALS, DIGITS, WORDS, SAME, RUN, BARE, ENDS, FINAL = range(11)
+
+
+def pieces(text: str, chars: int = CHARS) -> list[str]:
+    """A text in pieces of about so many characters, cut behind white space; a word of more than four times that is cut, too."""
+    out, at = [], 0
+    blank = re.compile(r"\s")
+    while len(text) - at > chars:
+        m = blank.search(text, at + chars, at + 4 * chars)
+        end = m.end() if m else min(len(text), at + 4 * chars)
+        out.append(text[at:end])
+        at = end
+    out.append(text[at:])
+    return out
+
+
+def line_sums(texts: list[str], chars: int = CHARS) -> tuple[np.ndarray, np.ndarray]:
+    """For every line of the texts: the text's number, and its sums.  Texts beyond ``chars`` are read in pieces."""
+    if all(len(t) <= chars for t in texts):
+        return _sums(texts)
+    owners, sums = [], []
+    for i, text in enumerate(texts):
+        parts, found, before = pieces(text, chars), [], ""
+        for part in parts:
+            own = _sums([part])[1]
+            if before and before[-1] != "\n":  # the line goes on
+                last, first = before.split("\n")[-1].split()[-1:], part.split("\n")[0].split()[:1]
+                own[0, SAME] += bool(last) and last == first
+                if not own[0, WORDS]:
+                    own[0, FINAL] = found[-1][-1, FINAL]
+                own[0, :FINAL] += found[-1][-1, :FINAL]
+                found[-1] = found[-1][:-1]
+            elif before:  # the empty line that the end of the piece before stands for
+                found[-1] = found[-1][:-1]
+            found.append(own)
+            before = part
+        sums += found
+        owners.append(np.full(sum(map(len, found)), i))
+    return np.concatenate(owners), np.concatenate(sums)
+
+
+def _sums(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     kinds, _ = tables()
     cps = [points(t + "\n") for t in texts]
     owner = np.repeat(np.arange(len(texts)), [len(c) for c in cps])
@@ -45,7 +89,7 @@ def observations(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     space = kind == SPACE
 
     def total(mask: np.ndarray) -> np.ndarray:
-        sums = np.concatenate([[0], np.cumsum(mask)])
+        sums = np.concatenate([[0], np.cumsum(mask, dtype=np.int32)])
         return (sums[ends] - sums[starts]).astype(np.float64)
 
     before = np.concatenate([[True], space[:-1]])
@@ -53,10 +97,7 @@ def observations(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     past = np.flatnonzero(space & ~before)  # and end
     line = np.searchsorted(ends, first)
     n_lines = len(ends)
-    words = np.bincount(line, minlength=n_lines).astype(np.float64)
     sign = kind == SIGN
-    chars = total(~space)
-    letters = total((kind == UPPER) | (kind == LOWER))
     # Words by two sums of their code points; equal neighbours repeat.
     csum = np.concatenate([[0], np.cumsum(cp.astype(np.uint64))])
     qsum = np.concatenate([[0], np.cumsum(cp.astype(np.uint64) * (np.arange(len(cp), dtype=np.uint64) + np.uint64(1)))])
@@ -66,30 +107,37 @@ def observations(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     same[1:] = (plain[1:] == plain[:-1]) & (placed[1:] == placed[:-1]) & (line[1:] == line[:-1]) & ((past - first)[1:] == (past - first)[:-1])
     last = past - 1
     run = sign[last] & sign[last - 1] & (last > first)
-    sums = np.concatenate([[0], np.cumsum(sign)])
+    sums = np.concatenate([[0], np.cumsum(sign, dtype=np.int32)])
     bare = (sums[past] - sums[first]) == (past - first)
     ends_sentence = np.isin(cp[last], [ord(c) for c in ".!?…:;"])
 
     def by_line(mask: np.ndarray) -> np.ndarray:
         return np.bincount(line, weights=mask, minlength=n_lines)
 
-    n_words, n_chars, n_letters = np.maximum(words, 1), np.maximum(chars, 1), np.maximum(letters, 1)
-    shares = np.stack([total(sign) / n_chars, total(kind == UPPER) / n_letters, total(kind == DIGIT) / n_chars, by_line(same) / n_words, by_line(run) / n_words, by_line(bare) / n_words, by_line(ends_sentence) / n_words], axis=1)
-    live = words > 0
-    doc, shares = owner[ends][live], shares[live]
-    levels = np.where(shares <= 0, 0, np.searchsorted(CUTS, shares, side="left"))
-    length = np.minimum(np.log2(chars[live] + 1).astype(int) // 2, LEVELS - 1)
-    mean = np.minimum((chars[live] / words[live] / 2).astype(int), LEVELS - 1)
     final = np.zeros(n_lines)
     final[line] = ends_sentence  # the last word of a line is the last to be written
-    own = np.concatenate([levels, length[:, None], mean[:, None], final[live].astype(int)[:, None]], axis=1) + np.arange(OWN) * LEVELS
+    out = [total(~space), total((kind == UPPER) | (kind == LOWER)), total(sign), total(kind == UPPER), total(kind == DIGIT), np.bincount(line, minlength=n_lines), by_line(same), by_line(run), by_line(bare), by_line(ends_sentence), final]
+    return owner[ends], np.stack(out, axis=1).astype(np.float64)
+
+
+def observations(texts: list[str], most: int = CHARS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For every non-blank line of the texts: the text's number, the line's length and its active features, a row a line."""
+    owner, sums = line_sums(texts, most)
+    live = sums[:, WORDS] > 0
+    doc, sums = owner[live], sums[live]
+    chars, letters, words = sums[:, CHARS_IN], np.maximum(sums[:, LETTERS], 1), sums[:, WORDS]
+    shares = np.stack([sums[:, SIGNS] / chars, sums[:, CAPITALS] / letters, sums[:, DIGITS] / chars, *(sums[:, k] / words for k in (SAME, RUN, BARE, ENDS))], axis=1)
+    levels = np.where(shares <= 0, 0, np.searchsorted(CUTS, shares, side="left"))
+    length = np.minimum(np.log2(chars + 1).astype(int) // 2, LEVELS - 1)
+    mean = np.minimum((chars / words / 2).astype(int), LEVELS - 1)
+    own = np.concatenate([levels, length[:, None], mean[:, None], sums[:, FINAL].astype(int)[:, None]], axis=1) + np.arange(OWN) * LEVELS
     head, tail = np.ones(len(doc), dtype=bool), np.ones(len(doc), dtype=bool)
     head[1:], tail[:-1] = doc[1:] != doc[:-1], doc[1:] != doc[:-1]
     base = OWN * LEVELS
     outside = base + 2 * SHARES * LEVELS
     prev = np.where(head[:, None], outside, np.roll(levels, 1, axis=0) + base + np.arange(SHARES) * LEVELS)
     succ = np.where(tail[:, None], outside + 1, np.roll(levels, -1, axis=0) + base + (SHARES + np.arange(SHARES)) * LEVELS)
-    return doc, chars[live], np.concatenate([own, prev, succ], axis=1).astype(np.int16)
+    return doc, chars, np.concatenate([own, prev, succ], axis=1).astype(np.int16)
 
 
 @dataclass
@@ -224,15 +272,15 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Chain | N
     return m
 
 
-def score(df: DataFrame, model: Chain | None) -> DataFrame:
-    """``df`` with ``score``; a column of that name is replaced."""
-    df = df.drop("score")
+def score(df: DataFrame, model: Chain | None, name: str = "score") -> DataFrame:
+    """``df`` with the score; a column of its name is replaced."""
+    df = df.drop(name)
     names = df.columns
     place = names.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(document_scores(model, b.column(place).to_pylist()))], names=[*names, "score"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(document_scores(model, b.column(place).to_pylist()))], names=[*names, name])
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    return df.mapInArrow(run, f"{kinds}, score double")
+    return df.mapInArrow(run, f"{kinds}, `{name}` double")
