@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fuzzy, html, language, quality, skills
@@ -13,27 +11,17 @@ from ..operators import ai, companies, dedupe, gate, liveness, prefilter, resolv
 from ..streaming import postings as streaming
 from . import adapters as a
 from .adapters import AS_OF, AS_OF_ORDERS, CLASSIFIED, HASHED, NORM, RAW_JOBS, RUNS, STORED
-
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None) -> Callable[[Query], Query]:
-    def register(f: Query) -> Query:
-        QUERIES[f.__name__] = f
-        if sql:
-            SQL[f.__name__] = sql
-        return f
-
-    return register
-
+from .registered import QUERIES, SQL, Query, query
 
 def queries() -> dict[str, Query]:
+    from . import catalogue_sources, catalogue_tables  # noqa: F401 - they register theirs
+
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    from . import catalogue_sources, catalogue_tables  # noqa: F401
+
     return dict(SQL)
 
 

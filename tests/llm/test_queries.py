@@ -122,7 +122,7 @@ def test_main_text_and_benchmark_queries(spark, small):
 def test_repeated_rows_are_spread(spark):
     df = spark.range(5000).selectExpr("7L doc_id", "'the same text' text").unionByName(spark.range(300).selectExpr("id doc_id", "cast(id % 3 as string) text"))
     numbered = common.numbered_copies(df, most=100)
-    assert numbered.groupBy("doc_id", "text").count().orderBy("doc_id").collect() == df.groupBy("doc_id", "text").count().orderBy("doc_id").collect()
+    assert numbered.groupBy("doc_id", "text").count().orderBy("doc_id", "text").collect() == df.groupBy("doc_id", "text").count().orderBy("doc_id", "text").collect()
     hot = numbered.filter("doc_id = 7 and text = 'the same text'")
     assert hot.agg(F.count_distinct("_copy")).first()[0] == 5000 and hot.agg(F.max("_copy")).first()[0] == 4999
     assert numbered.filter("text <> 'the same text' and _copy <> 0").count() == 0
