@@ -2,15 +2,22 @@
 
 Stages, in order: quality classifier, language identification, n-gram Jaccard join, benchmark decontamination,
 packing.  Every stage is written as Parquet to the shared folder and read again by the next.
+
+Edge cases: a document whose text is null, empty or blank goes in the first stage, one without a letter in the second; of
+repeated rows one stays, and rows that share an id but not the text are documents of their own, which go or stay together in
+the third stage; documents with a null id are compared with nothing and stay; further columns are handed on whatever their names
+are; an empty table passes through all stages.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rolecast.llm import quality_crf
-from rolecast.llm.common import read, store
+from rolecast.llm.common import MOST_BROADCAST, read, store
 from rolecast.llm.decontaminate import contamination
 from rolecast.llm.jaccard_join import jaccard_join
 from rolecast.llm.langid import floors, identify
@@ -25,10 +32,16 @@ LEAST_QUALITY, CLEAR_LANGUAGE = 0.3, 0.25
 SHINGLE_WORDS, SIMILAR_PERCENT = 5, 80
 
 
+def own_columns(docs: DataFrame, work: Callable[[DataFrame], DataFrame], *names: str) -> DataFrame:
+    """What ``work`` keeps of ``docs``, with all of its columns as they were, also those named like results of ``work``."""
+    aside = {c: f"_own_{c}" for c in docs.columns if c.lower() in names}
+    return work(docs.withColumnsRenamed(aside)).select(*(F.col(f"`{aside.get(c, c)}`").alias(c) for c in docs.columns))
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the line classifier scores below ``LEAST_QUALITY`` go, and so do empty ones."""
     model = quality_crf.learn(docs, read(spark, sf_dir, "labels").select("doc_id", "quality").filter(fold(5) != 0))
-    return quality_crf.score(docs, model).filter(F.col("score") >= LEAST_QUALITY).select(*docs.columns)
+    return own_columns(docs, lambda d: quality_crf.score(d, model).filter(F.col("score") >= LEAST_QUALITY), "score")
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,19 +50,30 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     least = F.lit(0.0)
     for lang, floor in floors(model).items():
         least = F.when(F.col("lang_pred") == lang, floor + CLEAR_LANGUAGE * (1 - floor)).otherwise(least)
-    return identify(docs, model).filter((F.col("lang_pred") != "und") & (F.col("score") >= least)).select(*docs.columns)
+    return own_columns(docs, lambda d: identify(d, model).filter((F.col("lang_pred") != "und") & (F.col("score") >= least)), "lang_pred", "score")
+
+
+def small(df: DataFrame) -> DataFrame:
+    """A stored table of ids, for broadcast if it is small."""
+    return F.broadcast(df) if df.count() <= MOST_BROADCAST else df
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document with the smallest id stays; documents without an id all do."""
-    groups = jaccard_join(docs, SHINGLE_WORDS, SIMILAR_PERCENT)
-    gone = groups.filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    groups, _ = store(jaccard_join(docs, SHINGLE_WORDS, SIMILAR_PERCENT).filter("doc_id is not null"), "groups")
+    gone, _ = store(groups.filter("doc_id <> component_id").select("doc_id").distinct(), "gone")
+    kept = docs.join(small(gone), "doc_id", "left_anti").select(*docs.columns)
+    again, _ = store(groups.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id"), "repeated")
+    if again.isEmpty():
+        return kept
+    again = small(again)
+    rows = kept.join(again, "doc_id", "left_semi").groupBy("doc_id", "text").agg(F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("row"))
+    return kept.join(again, "doc_id", "left_anti").select(*docs.columns).unionByName(rows.select("row.*"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
-    return contamination(docs, read(spark, sf_dir, "benchmark")).filter("size(item_ids) = 0").select(*docs.columns)
+    return own_columns(docs, lambda d: contamination(d, read(spark, sf_dir, "benchmark")).filter("size(item_ids) = 0"), "item_ids", "covered")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
