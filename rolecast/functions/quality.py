@@ -38,12 +38,17 @@ def description_score(description: Column) -> Column:
 
 def description_meaningful(description: Column) -> Column:
     """Long enough, properly ended, not mostly boilerplate, and with three sentences of four words."""
-    d = strip(text(description))
+    return F.get(F.transform(F.array(strip(text(description))), _meaningful), F.lit(0))
+
+
+def _meaningful(d: Column) -> Column:
+    """Of a stripped text, which a lambda binds, so that it is stripped once."""
     tagged = d.endswith(">") & F.contains(F.substring(d, -50, 50), F.lit("</"))
-    ended = d.rlike("[.!?）」』>]$") | tagged
+    ended = F.substring(d, -1, 1).rlike("[.!?）」』>]") | tagged
     low = F.lower(d)
     filler = reduce(lambda a, b: a + b, (F.when(F.contains(low, F.lit(p)), len(p)).otherwise(0) for p in BOILERPLATE))
     sentences = F.filter(F.split(d, "[.!?]+"), lambda s: F.size(F.filter(F.split(s, r"(?U)[\s\x1C-\x1F]+"), lambda w: w != "")) >= LEAST_WORDS)
+    # The cheap tests come first: what fails them is not split.
     return (F.length(d) >= LEAST_CHARS) & ~d.endswith("...") & ended & (filler / F.greatest(F.length(d), F.lit(1)) <= MOST_BOILERPLATE) & (F.size(sentences) >= LEAST_SENTENCES)
 
 

@@ -21,8 +21,11 @@ def text(c: Column | str) -> Column:
 
 
 def strip(c: Column) -> Column:
-    """Without white space at the ends, in the sense of Unicode."""
-    return F.regexp_replace(c, r"(?U)^[\s\x1C-\x1F]+|[\s\x1C-\x1F]+$", "")
+    """Without white space at the ends, in the sense of Unicode.  The expression, which tries every blank, sees only texts
+    that have some there."""
+    blank = lambda x: x.rlike(r"(?U)[\s\x1C-\x1F]")
+    at_ends = blank(F.substring(c, 1, 1)) | blank(F.substring(c, -1, 1))
+    return F.when(at_ends, F.regexp_replace(c, r"(?U)^[\s\x1C-\x1F]+|[\s\x1C-\x1F]+$", "")).otherwise(c)
 
 
 def first_text(*cs: Column) -> Column:

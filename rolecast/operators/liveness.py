@@ -36,6 +36,11 @@ def dns_error(message: Column) -> Column:
     return F.coalesce(F.lower(message).rlike("name or service|nodename nor servname|getaddrinfo"), F.lit(False))
 
 
+def retryable(status: Column) -> Column:
+    """Whether a call may be tried again: too many calls, or an error of the server."""
+    return F.coalesce((status == 429) | status.between(500, 599), F.lit(False))
+
+
 def redirect_expired(location: Column) -> Column:
     return F.coalesce(location.rlike("(?i)" + "|".join(REDIRECTS)), F.lit(False))
 

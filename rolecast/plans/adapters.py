@@ -8,6 +8,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import dedupe
+
+#: A text in a language that is not supported, which some postings have.
+FOREIGN = "日本語の求人です。"
 AS_OF, AS_OF_ORDERS = "2024-03-05 00:00:00", "1998-08-02 00:00:00"
 
 
@@ -21,13 +25,14 @@ def as_of(text: str = AS_OF) -> F.Column:
 
 def raw_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     d, i = read(spark, sf_dir, "documents"), F.col("doc_id")
+    foreign = i % 70 == 9
     t0 = F.substring(F.split_part("text", F.lit("\n"), F.lit(1)), 1, 60)
     return d.select(
         i.alias("arrival_idx"),
         F.concat(F.lit("https://"), "source", F.lit(".example.com/job/"), i.cast("string"), F.when(i % 40 == 7, "?closedJob=True").otherwise("")).alias("url"),
         F.when(i % 50 == 3, F.upper(F.replace(t0, F.lit("ß"), F.lit("ss")))).otherwise(t0).alias("title"),
         F.when(i % 60 == 11, "N/A").otherwise(F.concat(F.lit("Company "), F.substring(F.sha1(F.substring(t0, 1, 12)), 1, 2))).alias("company_name"),
-        F.col("text").alias("description"), "source", F.col("lang").alias("original_language"),
+        F.when(foreign, F.repeat(F.lit(FOREIGN), 40)).otherwise(F.col("text")).alias("description"), "source", F.when(foreign, "ja").otherwise(F.col("lang")).alias("original_language"),
         (F.lit("2024-01-01").cast("timestamp") + F.make_dt_interval(F.lit(0), (i % 1000).cast("int"))).alias("posted_at"),
         (30000 + (i % 50) * 1000).cast("long").alias("salary_min"), (30000 + (i % 50) * 1000 + (i % 7) * 1000).cast("long").alias("salary_max"),
     )
@@ -35,7 +40,7 @@ def raw_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 RAW_JOBS = """raw_jobs AS (SELECT doc_id AS arrival_idx, 'https://' || source || '.example.com/job/' || doc_id || CASE WHEN doc_id % 40 = 7 THEN '?closedJob=True' ELSE '' END AS url,
  CASE WHEN doc_id % 50 = 3 THEN upper(replace(t0, 'ß', 'ss')) ELSE t0 END AS title, CASE WHEN doc_id % 60 = 11 THEN 'N/A' ELSE 'Company ' || substr(sha1(substr(t0, 1, 12)), 1, 2) END AS company_name,
- text AS description, source, lang AS original_language, TIMESTAMP '2024-01-01' + to_hours(CAST(doc_id % 1000 AS INT)) AS posted_at,
+ CASE WHEN doc_id % 70 = 9 THEN repeat('日本語の求人です。', 40) ELSE text END AS description, source, CASE WHEN doc_id % 70 = 9 THEN 'ja' ELSE lang END AS original_language, TIMESTAMP '2024-01-01' + to_hours(CAST(doc_id % 1000 AS INT)) AS posted_at,
  30000 + (doc_id % 50) * 1000 AS salary_min, 30000 + (doc_id % 50) * 1000 + (doc_id % 7) * 1000 AS salary_max
  FROM (SELECT *, substr(split_part(text, chr(10), 1), 1, 60) AS t0 FROM documents))"""
 
@@ -44,6 +49,21 @@ HASHED = RAW_JOBS + f""", hashed AS (SELECT *, sha1(title_normalized || '|' || n
  FROM (SELECT *, {NORM.format('title')} AS title_normalized, {NORM.format('company_name')} AS name_normalized FROM raw_jobs))"""
 
 
+#: Rows of the first weeks count as stored, later ones as the batch.
+BETWEEN = "2024-01-21 00:00:00"
+PARTS = f"b AS (SELECT * FROM hashed WHERE posted_at >= TIMESTAMP '{BETWEEN}'), s AS (SELECT * FROM hashed WHERE posted_at < TIMESTAMP '{BETWEEN}')"
+
+
+def hashed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedupe.with_hashes(raw_jobs(spark, sf_dir))
+
+
+def parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The batch and what is stored."""
+    rows, day = hashed(spark, sf_dir), F.lit(BETWEEN).cast("timestamp")
+    return rows.filter(F.col("posted_at") >= day), rows.filter(F.col("posted_at") < day)
+
+
 def classified_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Postings with a made-up classification from their id."""
     i = F.col("arrival_idx")

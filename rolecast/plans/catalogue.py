@@ -10,7 +10,7 @@ from ..functions import text as t
 from ..operators import ai, companies, dedupe, gate, liveness, prefilter, resolve, runs, stats
 from ..streaming import postings as streaming
 from . import adapters as a
-from .adapters import AS_OF, AS_OF_ORDERS, CLASSIFIED, HASHED, NORM, RAW_JOBS, RUNS, STORED
+from .adapters import AS_OF, AS_OF_ORDERS, CLASSIFIED, HASHED, NORM, PARTS, RAW_JOBS, RUNS, STORED, hashed, parts
 from .registered import QUERIES, SQL, Query, query
 
 def queries() -> dict[str, Query]:
@@ -29,7 +29,7 @@ def oracle_sql() -> dict[str, str]:
 
 PREFILTER = RAW_JOBS + f""", checked AS (SELECT *, CASE WHEN trim(title) = '' OR lower(trim(company_name)) IN ('', 'unknown', 'n/a', 'none') OR NOT regexp_matches(url, '^(?i:https?)://[^/?#]+') THEN 'MISSING_REQUIRED_FIELDS'
  WHEN url LIKE '%?closedJob=True' THEN 'CLOSED_LISTING' WHEN posted_at IS NULL THEN 'MISSING_REQUIRED_FIELDS' WHEN posted_at < TIMESTAMP '{AS_OF}' - INTERVAL 60 DAYS THEN 'EXPIRED_LISTING'
- WHEN length(description) < 200 THEN 'DESCRIPTION_TOO_SHORT' WHEN len(regexp_split_to_array(trim(title), '\\s+')) >= 5 AND title = upper(title) AND regexp_matches(title, '\\pL') THEN 'SUSPECTED_SPAM' END AS reason FROM raw_jobs)"""
+ WHEN length(description) < 200 THEN 'DESCRIPTION_TOO_SHORT' WHEN original_language NOT IN ('en', 'it', 'es', 'de', 'fr', 'pt') THEN 'LANGUAGE_NOT_SUPPORTED' WHEN len(regexp_split_to_array(trim(title), '\\s+')) >= 5 AND title = upper(title) AND regexp_matches(title, '\\pL') THEN 'SUSPECTED_SPAM' END AS reason FROM raw_jobs)"""
 
 
 @query(f"WITH {RAW_JOBS} SELECT arrival_idx, url, title, company_name, source, original_language, salary_min, salary_max, length(description) AS n_chars FROM raw_jobs WHERE url <> '' AND title <> '' AND company_name <> '' AND source <> ''")
@@ -103,17 +103,17 @@ def mojibake_detect(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.read(spark, sf_dir, "documents").select("doc_id", t.has_mojibake(text).alias("damaged"))
 
 
-@query("SELECT doc_id, CASE WHEN doc_id % 10 = 0 THEN 'développeur' ELSE split_part(text, ' ', 1) END AS fixed FROM documents")
+@query(r"SELECT doc_id, CASE WHEN doc_id % 10 <> 0 THEN text WHEN regexp_matches(text, '^[\x00-\x7F]*$') THEN text || ' développeur' ELSE text || ' dÃ©veloppeur' END AS fixed FROM documents")
 def mojibake_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole text, repaired; the SQL still takes the first word only."""
+    """The whole text, repaired where all of it can be read as UTF-8: letters with accents that are right already cannot."""
     text = F.when(F.col("doc_id") % 10 == 0, F.concat("text", F.lit(" dÃ©veloppeur"))).otherwise(F.col("text"))
     return a.read(spark, sf_dir, "documents").select("doc_id", t.fix_mojibake(text).alias("fixed"))
 
 
-@query("SELECT event_id, CAST(date_trunc('second', ts) AS TIMESTAMP) AS iso, CAST(CAST(ts AS DATE) AS TIMESTAMP) AS day, CAST(NULL AS TIMESTAMP) AS other FROM events")
+@query("SELECT event_id, CAST(date_trunc('second', ts) AS TIMESTAMP) AS iso, CAST(CAST(ts AS DATE) AS TIMESTAMP) AS day, CAST(NULL AS TIMESTAMP) AS other, CAST(date_trunc('second', ts) AS TIMESTAMP) AS local FROM events")
 def posted_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     ts, parse = F.col("ts").cast("timestamp"), lambda c: t.parse_posted(c).cast("timestamp_ntz")
-    return a.read(spark, sf_dir, "events").select("event_id", parse(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'")).alias("iso"), parse(F.date_format(ts, "yyyy-MM-dd")).alias("day"), parse(F.date_format(ts, "dd/MM/yyyy")).alias("other"))
+    return a.read(spark, sf_dir, "events").select("event_id", parse(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'")).alias("iso"), parse(F.date_format(ts, "yyyy-MM-dd")).alias("day"), parse(F.date_format(ts, "dd/MM/yyyy")).alias("other"), parse(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")).alias("local"))
 
 
 @query("SELECT event_id, CAST(date_trunc('second', ts) AS TIMESTAMP) AS rfc, CAST(floor(epoch(ts)) AS BIGINT) AS seconds FROM events WHERE ts IS NOT NULL")
@@ -124,9 +124,11 @@ def legacy_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.read(spark, sf_dir, "events").filter("ts is not null").select("event_id", t.parse_legacy(rfc, a.as_of()).cast("timestamp_ntz").alias("rfc"), t.epoch_auto(ms).cast("long").alias("seconds"))
 
 
-@query("SELECT event_id, CASE WHEN event_type IN ('error') THEN 'RATE_LIMIT_429' WHEN event_type IN ('view') THEN 'TIMEOUT' ELSE 'CONNECTOR_CRASH' END AS bucket FROM events")
+@query("SELECT event_id, list_extract(['RATE_LIMIT_429', 'TIMEOUT', 'AUTH_ERROR', 'NOT_FOUND', 'NETWORK_ERROR', 'CONNECTOR_CRASH', 'RATE_LIMIT_429'], CAST(event_id % 7 AS INT) + 1) AS bucket FROM events")
 def failure_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    message = F.when(F.col("event_type") == "error", "HTTP 429: Too Many Requests").when(F.col("event_type") == "view", "read timed out").otherwise("boom")
+    """All buckets; a text that fits several falls into the first."""
+    texts = ("HTTP 429: Too Many Requests", "read timed out", "403 Forbidden", "Not Found", "DNS failure", "boom", "connection closed: rate limit")
+    message = F.element_at(F.array(*map(F.lit, texts)), (F.col("event_id") % 7 + 1).cast("int"))
     return a.read(spark, sf_dir, "events").select("event_id", t.failure_class(message).alias("bucket"))
 
 
@@ -196,12 +198,14 @@ def per_source_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 TERMS = "[" + ", ".join(f"'{x}'" for x in ("the", "und", "de", "and", "of", "la")) + "]"
-TOKENS = "list_filter(regexp_split_to_array(list_extract(regexp_split_to_array(text, '\\n'), 1), ' '), lambda w: w <> '')"
+#: White space in the sense of Unicode, and the four separators.
+BLANK = r"[\t-\r\x1c-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
+TOKENS = f"list_filter(regexp_split_to_array(text, '{BLANK}'), lambda w: w <> '')"
 LEXICON = ("the", "und", "de", "and", "of", "la")
 
 
 def token_skills(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The words of the whole text; TOKENS in the SQL still takes those of the first line only."""
+    """The words of the whole text."""
     return a.read(spark, sf_dir, "documents").select("doc_id", F.filter(F.split("text", r"(?U)[\s\x1C-\x1F]+"), lambda w: w != "").alias("skills"))
 
 
@@ -222,10 +226,6 @@ def skill_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Duplicates
 
 
-def hashed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedupe.with_hashes(a.raw_jobs(spark, sf_dir))
-
-
 @query(f"WITH {HASHED} SELECT dedup_hash, min(arrival_idx) AS arrival_idx FROM hashed GROUP BY 1")
 def exact_dedupe_keep_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = hashed(spark, sf_dir).select("dedup_hash", "arrival_idx")
@@ -242,18 +242,9 @@ def duplicate_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedupe.duplicate_groups(a.raw_jobs(spark, sf_dir), ["title", "company_name"])
 
 
-HALVES = "b AS (SELECT * FROM hashed WHERE arrival_idx % 2 = 1), s AS (SELECT * FROM hashed WHERE arrival_idx % 2 = 0)"
-
-
-def halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Odd arrivals as the batch and even ones as what is stored."""
-    rows = hashed(spark, sf_dir)
-    return rows.filter("arrival_idx % 2 = 1"), rows.filter("arrival_idx % 2 = 0")
-
-
-@query(f"WITH {HASHED}, {HALVES} SELECT b.arrival_idx, arg_min(s.dedup_hash, s.arrival_idx) AS target_hash, min(s.arrival_idx) AS target_idx FROM b JOIN s ON b.cross_source_hash = s.cross_source_hash AND b.source <> s.source GROUP BY 1")
+@query(f"WITH {HASHED}, {PARTS} SELECT b.arrival_idx, arg_min(s.dedup_hash, s.arrival_idx) AS target_hash, min(s.arrival_idx) AS target_idx FROM b JOIN s ON b.cross_source_hash = s.cross_source_hash AND b.source <> s.source GROUP BY 1")
 def cross_source_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedupe.cross_source_hits(*halves(spark, sf_dir))
+    return dedupe.cross_source_hits(*parts(spark, sf_dir))
 
 
 @query()
@@ -263,19 +254,19 @@ def fuzzy_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedupe.fuzzy_pairs(rows, rows, a.as_of("2024-01-15 00:00:00"), earlier=True)
 
 
-@query(f"WITH {HASHED}, {HALVES} SELECT s.arrival_idx, least(s.posted_at, coalesce(min(b.posted_at), s.posted_at)) AS posted_at, count(b.arrival_idx) AS seen_count FROM s LEFT JOIN b ON b.cross_source_hash = s.cross_source_hash AND s.arrival_idx = (SELECT min(x.arrival_idx) FROM s x WHERE x.cross_source_hash = s.cross_source_hash) GROUP BY s.arrival_idx, s.posted_at")
+@query(f"WITH {HASHED}, {PARTS} SELECT s.arrival_idx, least(s.posted_at, coalesce(min(b.posted_at), s.posted_at)) AS posted_at, count(b.arrival_idx) AS seen_count FROM s LEFT JOIN b ON b.cross_source_hash = s.cross_source_hash AND s.arrival_idx = (SELECT min(x.arrival_idx) FROM s x WHERE x.cross_source_hash = s.cross_source_hash) GROUP BY s.arrival_idx, s.posted_at")
 def merge_same_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    batch, stored = halves(spark, sf_dir)
+    batch, stored = parts(spark, sf_dir)
     hits = batch.join(stored.groupBy("cross_source_hash").agg(F.min("arrival_idx").alias("target_idx")), "cross_source_hash")
     return dedupe.merge_same_source(stored, hits).select("arrival_idx", F.col("posted_at").cast("timestamp_ntz").alias("posted_at"), "seen_count")
 
 
-@query(f"""WITH {HASHED}, {HALVES}, f AS (SELECT cross_source_hash, min(arrival_idx) AS target_idx FROM s GROUP BY 1), h AS (SELECT b.*, f.target_idx FROM b JOIN f USING (cross_source_hash)),
+@query(f"""WITH {HASHED}, {PARTS}, f AS (SELECT cross_source_hash, min(arrival_idx) AS target_idx FROM s GROUP BY 1), h AS (SELECT b.*, f.target_idx FROM b JOIN f USING (cross_source_hash)),
  d AS (SELECT target_idx, min(posted_at) AS p, count(*) AS c, min(salary_min) AS lo, max(salary_max) AS hi, arg_max(description, length(description) * 1000000000 - arrival_idx) AS t FROM h GROUP BY 1)
  SELECT s.arrival_idx, least(s.posted_at, coalesce(p, s.posted_at)) AS posted_at, least(s.salary_min, coalesce(lo, s.salary_min)) AS salary_min, greatest(s.salary_max, coalesce(hi, s.salary_max)) AS salary_max, coalesce(c, 0) AS seen_count,
  md5(CASE WHEN length(t) > length(s.description) THEN t ELSE s.description END) AS description_md5 FROM s LEFT JOIN d ON d.target_idx = s.arrival_idx""")
 def merge_cross_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    batch, stored = halves(spark, sf_dir)
+    batch, stored = parts(spark, sf_dir)
     hits = batch.join(stored.groupBy("cross_source_hash").agg(F.min("arrival_idx").alias("target_idx")), "cross_source_hash")
     out = dedupe.merge_cross_source(stored, hits)
     return out.select("arrival_idx", F.col("posted_at").cast("timestamp_ntz").alias("posted_at"), "salary_min", "salary_max", "seen_count", F.md5("description").alias("description_md5"))
