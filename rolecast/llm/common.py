@@ -58,16 +58,20 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.R
             yield b.slice(at, rows)
 
 
-HELD: dict[str, Any] = {}
+HELD: dict[tuple[str, str], Any] = {}
 
 
-def held(name: str, make: Callable[[], Any], most: int = 2) -> Any:
-    """An object that a Python worker keeps from task to task; of so many, the oldest goes."""
-    if name not in HELD:
+def held(name: str, make: Callable[[], Any], group: str = "", most: int = 2) -> Any:
+    """An object that a Python worker keeps from task to task.  Those of other groups, which an earlier stage has left, go
+    first, and of so many of a group the oldest."""
+    key = group, name
+    if key not in HELD:
+        for other in [k for k in HELD if k[0] != group]:
+            del HELD[other]
         while len(HELD) >= most:
-            HELD.pop(next(iter(HELD)))
-        HELD[name] = make()
-    return HELD[name]
+            del HELD[next(iter(HELD))]
+        HELD[key] = make()
+    return HELD[key]
 
 
 def tasks(spark: SparkSession, units: float, each: float) -> int:

@@ -48,7 +48,7 @@ PRIME = np.uint64(0x9E3779B97F4A7C15)
 class Canon:
     """Words of texts as arrays: hash, kind, and whether a sentence starts."""
 
-    MOST = 150_000
+    MOST = 500_000
 
     def __init__(self) -> None:
         self.known: dict[str, bytes] = {}
@@ -236,7 +236,7 @@ def _pass(df: DataFrame, items: list[tuple[int, str]], width: int) -> DataFrame:
     shared, name = df.sparkSession.sparkContext.broadcast(items), f"index {uuid.uuid4().hex}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index, canon = held(name, lambda: Index(shared.value, width)), held("canon", Canon)
+        index, canon = held(name, lambda: Index(shared.value, width), "templates"), held("canon", Canon, "templates")
         for b in slices(batches):
             texts, ids, most = b.column(place).to_pylist(), b.column(len(names) - 2).to_pylist(), b.column(len(names) - 1).to_pylist()
             for i, j in runs(texts, CHARS):

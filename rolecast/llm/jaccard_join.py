@@ -57,7 +57,7 @@ MULTIPLIERS = np.random.default_rng(7).integers(1, 1 << 63, 2 * MINIMA, dtype=np
 class Shingler:
     """Sorted distinct hashes of a text's word shingles; A-Z are lower-cased, words end at ASCII white space."""
 
-    MOST = 100_000
+    MOST = 300_000
 
     def __init__(self, n: int) -> None:
         self.n, self.known = n, {}
@@ -83,7 +83,7 @@ class Shingler:
 
 
 def shingler(n: int) -> Shingler:
-    return kept(f"shingler {n}", lambda: Shingler(n))
+    return kept(str(n), lambda: Shingler(n), "shingles")
 
 
 @dataclass(frozen=True)

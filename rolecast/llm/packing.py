@@ -116,7 +116,7 @@ class Encoder:
 
     PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
     ODD = re.compile("[\x1c-\x1f]|<\\|")
-    MOST = 100_000
+    MOST = 500_000
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
@@ -161,7 +161,7 @@ class Encoder:
 
 
 def encoder(path: str) -> Encoder:
-    return held(f"encoder {path}", lambda: Encoder(path))
+    return held(path, lambda: Encoder(path), "encoder")
 
 
 def first_sequence(group: int) -> int:
