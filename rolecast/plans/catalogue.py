@@ -247,7 +247,16 @@ def cross_source_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedupe.cross_source_hits(*parts(spark, sf_dir))
 
 
-@query()
+#: The words of a title in order; and the similarity of two such texts, by a longest common subsequence a row of the table at a time.
+IN_ORDER = r"array_to_string(list_sort(list_filter(regexp_split_to_array({0}, '\s+'), lambda w: w <> '')), ' ')"
+RATIO = """CASE WHEN x = y THEN 100.0 WHEN x = '' OR y = '' THEN 0.0 ELSE 200.0 * list_last(list_reduce(list_transform(string_split(y, ''), lambda c: [unicode(c)]),
+ lambda r, c: list_reduce(list_transform(range(1, length(x)::BIGINT + 1), lambda j: [j::INT]), lambda n, j: list_append(n, greatest(list_last(n), r[j[1] + 1], r[j[1]] + (unicode(substr(x, j[1], 1)) = c[1])::INT)), [0]),
+ list_transform(range(0, length(x)::BIGINT + 1), lambda j: 0::INT))) / (length(x) + length(y)) END"""
+
+
+@query(f"""WITH {HASHED}, k AS (SELECT arrival_idx, source, lower(trim(company_name)) AS company, name_normalized, posted_at, {IN_ORDER.format("lower(trim(title))")} AS t, {IN_ORDER.format("title_normalized")} AS s FROM hashed),
+ p AS MATERIALIZED (SELECT b.arrival_idx, s.arrival_idx AS target_idx, b.t AS x, s.s AS y FROM k b JOIN k s ON b.company = s.name_normalized AND b.source <> s.source AND s.arrival_idx < b.arrival_idx AND s.posted_at >= TIMESTAMP '2024-01-15' - INTERVAL 14 DAYS
+ WHERE 200.0 * least(length(b.t), length(s.s)) >= 92.0 * (length(b.t) + length(s.s))) SELECT arrival_idx, target_idx FROM p WHERE {RATIO} >= 92""")
 def fuzzy_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every row against all earlier arrivals."""
     rows = hashed(spark, sf_dir)
