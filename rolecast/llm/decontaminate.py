@@ -8,7 +8,8 @@ that equal values of the item stand for equal ones of the document and different
 chance fits of placeholders are not.  Windows of plain words are looked up as well, for copies whose
 capitals were changed.  A document is contaminated by an item if matches cover ``min(ENOUGH, 80 % of the item's words)``.
 
-The benchmark is held in tasks in blocks of at most ``BLOCK_BYTES`` of text, a pass over the documents each.
+The benchmark comes in blocks of at most ``BLOCK_BYTES`` of text (one item at least), which a task holds; more than one are
+searched one after the other, a pass over the documents each, and what they find is joined by text.
 
 Edge cases: null, empty and wordless texts match nothing, and items of fewer than ``WINDOW`` words have one window of all their words; repeated
 items are all listed; null item ids are ignored; an empty benchmark leaves all documents clean; other columns are kept,
@@ -21,15 +22,18 @@ import re
 import uuid
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .codepoints import runs
-from .common import held, slices
+from .common import held, slices, store
 
 WINDOW, ENOUGH, BLOCK_BYTES, CHARS = 8, 13, 16 << 20, 1_000_000
 WORD, NUMBER, NAME, UNIT, STOP = 0, 1, 2, 3, 4
@@ -225,12 +229,24 @@ def blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[int, s
 def contamination(df: DataFrame, benchmark: DataFrame, width: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``df`` with ``item_ids``, the items that its text holds, and ``covered``, the most words any of them covers."""
     out = df.drop("item_ids", "covered").withColumns({"item_ids": F.array().cast("array<long>"), "covered": F.lit(0).cast("long")})
-    for block in blocks(benchmark, block_bytes):
-        out = _pass(out, block, width)
-    return out
-
-
-def _pass(df: DataFrame, items: list[tuple[int, str]], width: int) -> DataFrame:
+    parts = blocks(benchmark, block_bytes)
+    first, second = next(parts, None), next(parts, None)
+    if first is None:
+        return out
+    if second is None:
+        return _pass(out, first, width)[0]
+    # A pass a block over the texts, each on its own, so that a task holds one block; what they find is a table by text.
+    texts, found = out.filter("text is not null").select("text", "item_ids", "covered"), []
+    for block in chain((first, second), parts):
+        hits, shared = _pass(texts, block, width)
+        found.append(store(hits.filter("covered > 0").select(F.md5("text").alias("_text"), "item_ids", "covered").distinct(), "block")[0])
+        shared.destroy()
+    merged = reduce(DataFrame.unionByName, found).groupBy("_text").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("item_ids")))).alias("_ids"), F.max("covered").alias("_most"))
+    joined = out.withColumn("_text", F.md5("text")).join(merged, "_text", "left")
+    return joined.withColumns({"item_ids": F.coalesce("_ids", "item_ids"), "covered": F.coalesce("_most", "covered")}).select(*out.columns)
+
+
+def _pass(df: DataFrame, items: list[tuple[int, str]], width: int) -> tuple[DataFrame, Broadcast]:
     names = df.columns
     place = names.index("text")
     shared, name = df.sparkSession.sparkContext.broadcast(items), f"index {uuid.uuid4().hex}"
@@ -245,4 +261,4 @@ def _pass(df: DataFrame, items: list[tuple[int, str]], width: int) -> DataFrame:
                     most[i + d] = max(most[i + d], *hits.values())
             yield pa.RecordBatch.from_arrays([*b.columns[:-2], pa.array(ids, pa.list_(pa.int64())), pa.array(most, pa.int64())], names=names)
 
-    return df.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields))
+    return df.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)), shared

@@ -1,5 +1,6 @@
 """Stretches of a benchmark item: their ends, and slots that do not fit far from them."""
 
+from rolecast.llm import decontaminate
 from rolecast.llm.decontaminate import Canon, Index
 
 ITEM = "the quick brown fox jumps over some fences 3 km 4 kg 5 then seven other little words follow here"
@@ -39,3 +40,15 @@ def test_stretches_that_contradict_each_other_are_not_added_up():
     text = "old boats carry Maria along the wide river ka kb kc kd ke kf kg kh ki kj and there hears Zoe sing of the sea"
     same = text.replace("Zoe", "Maria")
     assert 0 in found(item, same) and not found(item, text)
+
+
+def test_many_blocks_find_what_one_does(spark):
+    items = [(i, f"Question number {i}: if Anna has {i + 3} red apples and gives away two of them, how many apples of the {['old', 'new', 'tall'][i % 3]} tree are left?") for i in range(12)]
+    docs = [(i, f"some words before. {items[i % 12][1]} and after") for i in range(20)] + [(50, None), (51, "nothing of the kind"), (50, items[0][1]), (52, items[0][1] + " " + items[5][1])]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame([*items, (99, None), (None, "x")], "item_id long, text string")
+    one = decontaminate.contamination(df, bench)
+    for size in (1, 300):
+        many = decontaminate.contamination(df, bench, block_bytes=size)
+        assert many.columns == one.columns and sorted(map(str, many.collect())) == sorted(map(str, one.collect()))
+    assert one.filter("size(item_ids) > 0").count() == 22
