@@ -11,11 +11,28 @@ from ..schemas import LIVE_STATUSES
 DEAD_PATHS = ("", "/", "/jobs", "/careers", "/search", "/home")
 REDIRECTS = (r"/expired", r"/job-not-found", r"/offre-expiree", r"/annuncio-scaduto", r"/oferta-cerrada", r"/stelle-nicht-mehr-verfuegbar", r"/(job|position|stelle|oferta|offre|annuncio)/(expired|closed|filled|scaduto|chiusa|abgelaufen)")
 PHRASES = {
-    "it": "annuncio scaduto; posizione non più disponibile; offerta chiusa; annuncio rimosso; candidature chiuse; selezione chiusa; posizione coperta; annuncio non più attivo; ricerca terminata; offerta non disponibile; ricerca conclusa",
-    "en": "this position is no longer available; job has been filled; no longer accepting applications; this vacancy is closed; posting has expired; role has been filled; we are no longer hiring for this role; application window closed; this listing has been removed; opportunity is closed; position has been closed",
-    "es": "oferta cerrada; oferta expirada; puesto cubierto; oferta no disponible; vacante cerrada; proceso de selección cerrado; ya no aceptamos candidaturas; oferta eliminada; anuncio caducado; posición ya no disponible; vacante ya no disponible",
-    "de": "stelle nicht mehr verfügbar; stellenanzeige abgelaufen; position besetzt; bewerbungen geschlossen; anzeige wurde entfernt; stelle ist geschlossen; vakanz beendet; auswahlverfahren abgeschlossen; anzeige nicht mehr aktiv; stellenausschreibung gelöscht; stelle wurde besetzt",
-    "fr": "offre expirée; poste pourvu; annonce supprimée; candidatures clôturées; offre fermée; recrutement terminé; poste non disponible; annonce non publiée; offre clôturée; ce poste n'est plus disponible; offre non disponible",
+    "it": (
+        "annuncio scaduto", "posizione non più disponibile", "offerta chiusa", "annuncio rimosso", "candidature chiuse", "selezione chiusa",
+        "posizione coperta", "annuncio non più attivo", "ricerca terminata", "offerta non disponibile", "ricerca conclusa",
+    ),
+    "en": (
+        "this position is no longer available", "job has been filled", "no longer accepting applications", "this vacancy is closed",
+        "posting has expired", "role has been filled", "we are no longer hiring for this role", "application window closed",
+        "this listing has been removed", "opportunity is closed", "position has been closed",
+    ),
+    "es": (
+        "oferta cerrada", "oferta expirada", "puesto cubierto", "oferta no disponible", "vacante cerrada", "proceso de selección cerrado",
+        "ya no aceptamos candidaturas", "oferta eliminada", "anuncio caducado", "posición ya no disponible", "vacante ya no disponible",
+    ),
+    "de": (
+        "stelle nicht mehr verfügbar", "stellenanzeige abgelaufen", "position besetzt", "bewerbungen geschlossen", "anzeige wurde entfernt",
+        "stelle ist geschlossen", "vakanz beendet", "auswahlverfahren abgeschlossen", "anzeige nicht mehr aktiv", "stellenausschreibung gelöscht",
+        "stelle wurde besetzt",
+    ),
+    "fr": (
+        "offre expirée", "poste pourvu", "annonce supprimée", "candidatures clôturées", "offre fermée", "recrutement terminé", "poste non disponible",
+        "annonce non publiée", "offre clôturée", "ce poste n'est plus disponible", "offre non disponible",
+    ),
 }
 SHORT_BODY, BATCH, PROBE_HOURS, MOST_DAYS = 500, 500, 24, 60
 
@@ -51,7 +68,7 @@ def quoted(phrases: list[str]) -> str:
 
 def soft_404(body: Column, source: Column | None = None, by_source: dict[str, list[str]] | None = None) -> Column:
     """Whether a body says that the listing is gone: by its source's phrases, else by those of all languages if it is short."""
-    generic = (F.length(body) < SHORT_BODY) & body.rlike(quoted([p for ps in PHRASES.values() for p in ps.split("; ")]))
+    generic = (F.length(body) < SHORT_BODY) & body.rlike(quoted([p for ps in PHRASES.values() for p in ps]))
     own = [F.when(source == s, body.rlike(quoted(ps))) for s, ps in (by_source or {}).items()]
     return F.coalesce(*own, generic, F.lit(False))
 

@@ -6,8 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as t
-from ..functions.language import detect_language
-from ..schemas import SUPPORTED_LANGUAGES
+from ..functions.language import supported
 
 # Sentinels and bounds of the rules.
 NO_COMPANY = ("", "unknown", "n/a", "none")
@@ -16,7 +15,7 @@ LEAST_CHARS, MOST_DAYS = 200, 60
 
 def prefilter(df: DataFrame, as_of: Column) -> DataFrame:
     """Built-in rules come first; the language of a text is detected only where they passed and none is declared."""
-    missing, declared = F.lit("MISSING_REQUIRED_FIELDS"), F.coalesce(F.lower("original_language").isin(*SUPPORTED_LANGUAGES), F.lit(False))
+    missing = F.lit("MISSING_REQUIRED_FIELDS")
     cheap = F.coalesce(
         F.when(t.strip(t.text("title")) == "", missing),
         F.when(F.lower(t.strip(t.text("company_name"))).isin(*NO_COMPANY), missing),
@@ -26,8 +25,8 @@ def prefilter(df: DataFrame, as_of: Column) -> DataFrame:
         F.when(F.col("posted_at") < as_of - F.expr(f"INTERVAL {MOST_DAYS} DAYS"), F.lit("EXPIRED_LISTING")),
         F.when(F.length(t.text("description")) < LEAST_CHARS, F.lit("DESCRIPTION_TOO_SHORT")),
     )
-    asked = F.when(F.col("_cheap").isNull() & ~declared, t.text("description"))
-    foreign = F.when(asked.isNotNull() & ~detect_language(asked)["lang"].isin(*SUPPORTED_LANGUAGES), F.lit("LANGUAGE_NOT_SUPPORTED"))
+    left = F.col("_cheap").isNull()
+    foreign = F.when(left & ~supported(F.col("original_language"), F.when(left, t.text("description"))), F.lit("LANGUAGE_NOT_SUPPORTED"))
     spam = F.when(t.spam_title(F.col("title")), F.lit("SUSPECTED_SPAM"))
     return df.withColumn("_cheap", cheap).withColumn("prefilter_reason", F.coalesce("_cheap", foreign, spam)).drop("_cheap")
 

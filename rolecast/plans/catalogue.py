@@ -363,7 +363,7 @@ def url_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return seen.select("event_id", liveness.url_verdict().alias("v")).select("event_id", "v.reason", "v.is_valid")
 
 
-PHRASE_LIST = ", ".join("'" + p.replace("'", "''") + "'" for ps in liveness.PHRASES.values() for p in ps.split("; "))
+PHRASE_LIST = ", ".join("'" + p.replace("'", "''") + "'" for ps in liveness.PHRASES.values() for p in ps)
 
 
 @query(f"SELECT doc_id, length(b) < 500 AND list_aggregate(list_transform([{PHRASE_LIST}], lambda p: contains(lower(b), p)), 'bool_or') AS gone FROM (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN text || ' Offre EXPIRÉE' ELSE text END AS b FROM documents)")

@@ -181,6 +181,7 @@ def _personio(r):
     return {"title": r("name"), "company_name": F.col("_company"), "description": text, "url": F.concat(F.lit("https://"), slug, F.lit(".jobs.personio.de/job/"), r("id")), "published_at": dated, "location_raw": r("office"), "external_id": r("id")}
 
 
+#: The keys under which these sources give the same thing, in order of preference.
 def _rapid(title=("title", "job_title", "position"), company=("organization", "company", "company_name"), url=("url", "job_url", "apply_url"), place=("location", "city", "location_raw"), date=("date_posted", "posted_at", "published_at"), pay=True, ids=("id", "job_id"), text=("description", "description_text")):
     """Sources that name the same things in several ways: of each group of keys the first with a value counts."""
 
@@ -198,6 +199,7 @@ def _keys(*groups: tuple[str, ...]) -> str:
     return ", ".join(f"{k} string" for k in dict.fromkeys(k for g in groups for k in g))
 
 
+#: All keys of such a record.
 RAPID = _keys(("id", "job_id", "title", "job_title", "position", "role", "organization", "company", "company_name", "employer_name", "startup", "url", "job_url", "apply_url", "application_url", "external_url", "location", "city", "location_raw", "description", "description_text", "date_posted", "posted_at", "published_at", "created_at", "salary_min", "salary_max", "currency", "salary_currency"))
 
 
