@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
+from contextlib import suppress
 from typing import Any
 
 import pyarrow as pa
@@ -51,11 +53,19 @@ def numbered_copies(df: DataFrame, most: int = COPIES) -> DataFrame:
     return single.unionByName(copies)
 
 
+def release() -> None:
+    """Give freed memory back to the system, where that can be asked for; a worker lives on after its task."""
+    pa.default_memory_pool().release_unused()
+    with suppress(AttributeError, OSError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
     """Batches in slices of so many rows, so that few texts at a time become Python's."""
     for b in batches:
         for at in range(0, len(b), rows):
             yield b.slice(at, rows)
+    release()
 
 
 HELD: dict[tuple[str, str], Any] = {}
@@ -66,8 +76,10 @@ def held(name: str, make: Callable[[], Any], group: str = "", most: int = 2) ->
     first, and of so many of a group the oldest."""
     key = group, name
     if key not in HELD:
-        for other in [k for k in HELD if k[0] != group]:
-            del HELD[other]
+        if left := [k for k in HELD if k[0] != group]:
+            for other in left:
+                del HELD[other]
+            release()
         while len(HELD) >= most:
             del HELD[next(iter(HELD))]
         HELD[key] = make()
