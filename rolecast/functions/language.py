@@ -22,7 +22,20 @@ WORDS = {
 }
 ENDINGS = {"en": ("ing", "tion", "ed", "ly"), "it": ("zione", "mente", "are", "ità"), "es": ("ción", "mente", "ado", "dad"), "de": ("ung", "keit", "lich", "heit"), "fr": ("tion", "ment", "eux", "aux"), "pt": ("ção", "mente", "dade", "ões")}
 LETTERS = {"en": "", "it": "ìòùàè", "es": "ñóíáú", "de": "äöüß", "fr": "êçèéœ", "pt": "ãõçâ"}
+#: The same of languages that are not supported; a text that is closer to one of these is ``other``.
+OTHERS = {
+    "nl": "de het een en van ik te dat die in is niet op met voor zijn er aan ook wij naar om wordt bij",
+    "sv": "och att det i en som på är av för med till den har inte om ett vi du från",
+    "da": "og at det i en som på er af for med til den har ikke om et vi du fra",
+    "pl": "i w na z do nie że się jest to o jak po dla od za przez są oraz który",
+    "cs": "a v na se je že s z do o k i za pro ale jako po jsou nebo který",
+    "ro": "și de la în a cu pe nu să este din care un o pentru ce mai sau sunt",
+    "tr": "ve bir bu için ile da olarak çok daha en gibi ne var olan veya",
+    "fi": "ja on ei että se oli hän mutta ovat kun niin myös joka tai sekä",
+    "hu": "a az és hogy nem egy is van ez meg de csak mint volt vagy",
+}
 SETS = {k: frozenset(v.split()) for k, v in WORDS.items()}
+OTHER_SETS = {k: frozenset(v.split()) for k, v in OTHERS.items()}
 
 
 def detect(text: str | None) -> tuple[str, float]:
@@ -32,7 +45,8 @@ def detect(text: str | None) -> tuple[str, float]:
         return "other", 0.0
     votes = {k: sum(w in SETS[k] for w in words) + 0.5 * sum(w.endswith(ENDINGS[k]) for w in words) + 0.5 * sum(low.count(c) for c in LETTERS[k]) for k in SETS}
     best, total = max(votes, key=votes.get), sum(votes.values())
-    return (best, round(votes[best] / total, 4)) if total else ("other", 0.0)
+    foreign = max(sum(w in s for w in words) for s in OTHER_SETS.values())
+    return (best, round(votes[best] / total, 4)) if total and foreign <= votes[best] else ("other", 0.0)
 
 
 @F.pandas_udf(T.StructType().add("lang", "string").add("confidence", "double"))

@@ -141,3 +141,8 @@ def test_language_votes():
     for lang, text in (("en", "the work of the team is in the office"), ("it", "il lavoro è per la squadra della città"), ("de", "die Arbeit ist für das Team und nicht im Büro"), ("fr", "le travail est pour une équipe dans la ville"), ("es", "el trabajo es para una persona con la formación"), ("pt", "o trabalho é para uma pessoa com a formação não")):
         assert language.detect(text)[0] == lang
     assert language.detect("日本語の求人です") == ("other", 0.0) and language.detect(None) == ("other", 0.0)
+
+
+@pytest.mark.parametrize("text", ["Wij zoeken een ontwikkelaar die met ons het team van de afdeling versterkt en niet bang is voor werk", "Szukamy programisty do pracy w zespole, który nie boi się wyzwań i jest otwarty", "Vi söker en utvecklare som är van att arbeta med data och som inte är rädd för det"])
+def test_languages_that_are_not_supported(text):
+    assert language.detect(text) == ("other", 0.0)
