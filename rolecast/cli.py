@@ -54,7 +54,12 @@ def do_import(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
     stored = tables.read("jobs") if tables.exists("jobs") else None
     # Stored rows come before the batch in the order of arrival.
     top = stored.agg(F.coalesce(F.max("arrival_idx"), F.lit(-1))).first()[0] + 1 if stored is not None else 0
-    parts, fetched = registry.isolated(sorted(names, key=list(paths).index), lambda n: payloads.to_raw_jobs(payloads.canonical(payloads.read_payload(spark, n, paths[n]), n)), spark)
+    budget = tables.read("budget") if tables.exists("budget") else spark.createDataFrame([], "provider string, ts timestamp, n long")
+
+    def read(n: str) -> DataFrame:
+        return payloads.to_raw_jobs(registry.metered(payloads.canonical(payloads.read_payload(spark, n, paths[n]), n), n, budget, a.as_of))
+
+    parts, fetched = registry.isolated(sorted(names, key=list(paths).index), read, spark)
     labels = {n: payloads.SOURCES[n].extra.get("source", n) for n in names}
     fetched = fetched.replace(labels, subset=["source"])
     batch = payloads.union_all(list(parts.values()), a.limit_each, a.limit, top) if parts else spark.createDataFrame([], RAW_JOB)
@@ -65,6 +70,10 @@ def do_import(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
     given = optional(spark, a.results, AI_RESULT)
     done = importing.run(batch, stored, optional(spark, a.observations, URL_OBSERVATION), given if results is None else given.unionByName(results), a.as_of, dry_run=a.dry_run)
     if not a.dry_run:
+        spent = fetched.filter(F.col("source").isin(*(labels[n] for n in names if n in registry.METERED)))
+        if not spent.isEmpty():
+            back = {v: k for k, v in labels.items()}
+            tables.append("budget", spent.select(F.col("source").alias("provider"), F.lit(a.as_of).cast("timestamp").alias("ts"), F.col("jobs_fetched").alias("n")).replace(back, subset=["provider"]))
         importing.record(tables, done, fetched, uuid.uuid4().hex, a.as_of, languages=SUPPORTED_LANGUAGES)
     if a.report:
         facts = {"as of": a.as_of, "dry run": a.dry_run, "sources": len(names)}

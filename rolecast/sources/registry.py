@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..functions import text as t
+from ..operators import runs
 from ..operators.links import one_of
 from . import payloads
 
@@ -64,6 +65,23 @@ def isolated(names: list[str], read: Callable[[str], DataFrame], spark: SparkSes
     return parts, log.withColumn("failure_reason", F.when(F.col("crash_reason").isNotNull(), t.failure_class(F.col("crash_reason"))))
 
 
+#: Sources whose jobs a month are limited.
+METERED = ("active_jobs_db", "workday_jobs", "startup_jobs")
+
+
+def metered(postings: DataFrame, name: str, budget: DataFrame, as_of: str) -> DataFrame:
+    """The first postings of a source, as many as its budget of the month has left; other sources are not limited.
+
+    ``budget`` has the increments (provider, ts, n) so far.
+    """
+    if name not in METERED:
+        return postings
+    month = F.date_trunc("month", F.lit(as_of).cast("timestamp"))
+    used = runs.budget_used(budget.filter(F.date_trunc("month", "ts") == month), "month").select("provider", "used")
+    rows = postings.withColumns({"provider": F.lit(name), "seq": F.col("arrival_idx")})
+    return runs.within_budget(rows, used).select(*postings.columns)
+
+
 class Pages(InputPartition):
     def __init__(self, request: dict) -> None:
         self.request = request

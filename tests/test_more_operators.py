@@ -194,6 +194,17 @@ def test_command_line_import_writes_all_tables(spark, tmp_path, capsys, monkeypa
     assert '"run_id"' in capsys.readouterr().err
 
 
+def test_metered_sources_stop_at_their_budget(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(spark, "stop", lambda: None)
+    rows = [{"id": str(i), "title": f"Job {i}", "company": f"C{i}", "url": f"https://x.example.com/{i}", "description": TEXT, "date_posted": "2024-03-04T10:00:00Z"} for i in range(200)]
+    (tmp_path / "w.json").write_text(json.dumps({"data": rows}))
+    counts = []
+    for day in ("2024-03-05", "2024-03-06", "2024-04-01"):
+        assert cli.main(["import", "--root", f"file://{tmp_path}/root", "--payload", f"workday_jobs=file://{tmp_path}/w.json", "--as-of", f"{day} 00:00:00"]) == 0
+        counts.append(store.Store(spark, f"file://{tmp_path}/root").read("import_runs").agg(F.sum("jobs_fetched")).first()[0])
+    assert counts == [200, 250, 450]
+
+
 def test_observations_are_taken_in_a_known_order(spark):
     rows = spark.createDataFrame([posting(1)], RAW)
     seen = spark.createDataFrame([("https://x.example.com/1", 500, None, 0, None), ("https://x.example.com/1", 404, None, 0, None)], "url string, status_code int, final_url string, n_redirects int, error_kind string")
