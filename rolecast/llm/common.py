@@ -60,8 +60,10 @@ def release() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
-def slices(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
-    """Batches in slices of so many rows, so that few texts at a time become Python's."""
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 1024, group: str = "") -> Iterator[pa.RecordBatch]:
+    """Batches in slices of so many rows, so that few texts at a time become Python's.  What a worker has kept from stages
+    of other groups goes before."""
+    forget(group)
     for b in batches:
         for at in range(0, len(b), rows):
             yield b.slice(at, rows)
@@ -71,15 +73,20 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.R
 HELD: dict[tuple[str, str], Any] = {}
 
 
+def forget(group: str) -> None:
+    """Drop what is kept for other groups."""
+    if left := [k for k in HELD if k[0] != group]:
+        for key in left:
+            del HELD[key]
+        release()
+
+
 def held(name: str, make: Callable[[], Any], group: str = "", most: int = 2) -> Any:
     """An object that a Python worker keeps from task to task.  Those of other groups, which an earlier stage has left, go
     first, and of so many of a group the oldest."""
     key = group, name
     if key not in HELD:
-        if left := [k for k in HELD if k[0] != group]:
-            for other in left:
-                del HELD[other]
-            release()
+        forget(group)
         while len(HELD) >= most:
             del HELD[next(iter(HELD))]
         HELD[key] = make()

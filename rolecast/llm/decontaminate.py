@@ -52,7 +52,7 @@ PRIME = np.uint64(0x9E3779B97F4A7C15)
 class Canon:
     """Words of texts as arrays: hash, kind, and whether a sentence starts."""
 
-    MOST = 500_000
+    MOST = 300_000
 
     def __init__(self) -> None:
         self.known: dict[str, bytes] = {}
@@ -253,7 +253,7 @@ def _pass(df: DataFrame, items: list[tuple[int, str]], width: int) -> tuple[Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index, canon = held(name, lambda: Index(shared.value, width), "templates"), held("canon", Canon, "templates")
-        for b in slices(batches):
+        for b in slices(batches, group="templates"):
             texts, ids, most = b.column(place).to_pylist(), b.column(len(names) - 2).to_pylist(), b.column(len(names) - 1).to_pylist()
             for i, j in runs(texts, CHARS):
                 for d, hits in index.search(canon, texts[i:j]).items():

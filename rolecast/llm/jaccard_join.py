@@ -166,7 +166,7 @@ def frequent_shingles(docs: DataFrame, n: int) -> Frequent:
             often = counts > 1
             return pa.RecordBatch.from_arrays([pa.array(values[often].view(np.int64)), pa.array(counts[often])], names=["h", "c"])
 
-        for b in slices(batches):
+        for b in slices(batches, group="shingles"):
             for text in b.column(1).to_pylist():
                 h = shingle(text)
                 if not len(h) or (key := xxhash.xxh3_128_digest(h.tobytes())) in seen:
@@ -194,7 +194,7 @@ SIGNED = "doc_id long, n long, rare long, d1 long, d2 long, minima array<long>,
 def signatures(docs: DataFrame, n: int, percent: int, shared: Broadcast) -> DataFrame:
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle, table = shingler(n), shared.value
-        for b in slices(batches):
+        for b in slices(batches, group="shingles"):
             ids, sizes, rare, digests, minima, needed, prefixes = b.column(0), [], [], [], [], [], []
             for text in b.column(1).to_pylist():
                 h = shingle(text)
@@ -233,14 +233,14 @@ def compared(pairs: DataFrame, docs: DataFrame, n: int, percent: int, shared: Br
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle = shingler(n)
-        for b in slices(batches):
+        for b in slices(batches, group="shingles"):
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([shingle(t).tobytes() for t in b.column(1).to_pylist()], pa.binary())], names=["doc_id", "h"])
 
     sets, _ = store(docs.join(needed, "doc_id", "left_semi").mapInArrow(make, "doc_id long, h binary"), f"{tag}-sets")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shared.value
-        for b in slices(batches):
+        for b in slices(batches, group="shingles"):
             out = []
             for one, two, head, x, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(3), b.column(4), strict=True):
                 x, y = (np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in (x, y))

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held, numbered_copies, tasks
+from .common import held, numbered_copies, release, tasks
 
 CAPACITY, END_ID, SEED = 2048, 1, 20240229
 #: Bits of a sequence's number within its group; the others, 35 of them, number the groups.
@@ -116,7 +116,7 @@ class Encoder:
 
     PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
     ODD = re.compile("[\x1c-\x1f]|<\\|")
-    MOST = 500_000
+    MOST = 300_000
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
@@ -189,7 +189,10 @@ def pack_documents(df: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
             for doc, start, n in pieces:
                 out.append((rows[doc][0], start, n, zlib.crc32(ids[doc][4 * start : 4 * (start + n)]), len(ids[doc]) // 4, first + s, offset))
                 offset += n
-        return pa.table([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], schema=PIECES)
+        found = pa.table([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], schema=PIECES)
+        del rows, ids, out
+        release()
+        return found
 
     return dealt.repartition(tasks(spark, total, 16 << 20), "grp").groupBy("grp").applyInArrow(group, SCHEMA)
 
