@@ -39,11 +39,11 @@ def numbered_copies(df: DataFrame, most: int = COPIES) -> DataFrame:
     """
     spark, columns = df.sparkSession, df.columns
     h = F.xxhash64(*columns)
-    hot, _ = store(df.groupBy(h.alias("_h")).agg(F.count("*").alias("_n")).filter(F.col("_n") > most).select("_h"), "repeated-rows")
-    n = hot.count()
-    if not n:
+    hot = df.groupBy(h.alias("_h")).agg(F.count("*").alias("_n")).filter(F.col("_n") > most).select("_h")
+    if hot.isEmpty():
         return df.withColumn("_copy", F.lit(0).cast("long"))
-    side = F.broadcast(hot) if n <= MOST_BROADCAST else hot
+    hot, _ = store(hot, "repeated-rows")
+    side = F.broadcast(hot) if hot.count() <= MOST_BROADCAST else hot
     marked = df.withColumn("_h", h)
     single = marked.join(side, "_h", "left_anti").drop("_h").withColumn("_copy", F.lit(0).cast("long"))
     groups, _ = store(marked.join(side, "_h", "left_semi").groupBy(*columns).agg(F.count("*").alias("_n")), "repeated-groups")

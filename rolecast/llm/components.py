@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 from .common import drop, store
 
 
+FILE_LINKS = 200_000
+
+
 def _print(df: DataFrame) -> tuple:
     """Row count and an order-free checksum."""
     return tuple(df.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.lit(0))).first())
@@ -38,7 +41,8 @@ def connected_components(links: DataFrame) -> DataFrame:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         large = _star(both, True).distinct()
         small = _star(large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), False)
-        new, new_path = store(small.filter("a <> b").distinct(), "links")
+        # A round has no more links than the one before, so its files need not be more than these take.
+        new, new_path = store(small.filter("a <> b").distinct().coalesce(seen[0] // FILE_LINKS + 2), "links")
         now = _print(new)
         drop(edges.sparkSession, path)
         edges, path = new, new_path
