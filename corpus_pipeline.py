@@ -32,6 +32,17 @@ LEAST_QUALITY, CLEAR_LANGUAGE = 0.3, 0.25
 SHINGLE_WORDS, SIMILAR_PERCENT = 5, 80
 
 
+#: Rows of a batch between Spark and Python.  A task holds batches of whole documents outside the heap, one on the way there and one back.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound what tasks of this session hand to Python at once, unless the session has a smaller bound."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def own_columns(docs: DataFrame, work: Callable[[DataFrame], DataFrame], *names: str) -> DataFrame:
     """What ``work`` keeps of ``docs``, with all of its columns as they were, also those named like results of ``work``."""
     aside = {c: f"_own_{c}" for c in docs.columns if c.lower() in names}
@@ -40,12 +51,14 @@ def own_columns(docs: DataFrame, work: Callable[[DataFrame], DataFrame], *names:
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the line classifier scores below ``LEAST_QUALITY`` go, and so do empty ones."""
+    small_batches(spark)
     model = quality_crf.learn(docs, read(spark, sf_dir, "labels").select("doc_id", "quality").filter(fold(5) != 0))
     return own_columns(docs, lambda d: quality_crf.score(d, model).filter(F.col("score") >= LEAST_QUALITY), "score")
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a letter or of no clear language go."""
+    small_batches(spark)
     model = learn_languages(docs.select("doc_id", "text", "lang").filter(fold(4) != 2))
     least = F.lit(0.0)
     for lang, floor in floors(model).items():
@@ -60,6 +73,7 @@ def small(df: DataFrame) -> DataFrame:
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document with the smallest id stays; documents without an id all do."""
+    small_batches(spark)
     groups, _ = store(jaccard_join(docs, SHINGLE_WORDS, SIMILAR_PERCENT).filter("doc_id is not null"), "groups")
     gone, _ = store(groups.filter("doc_id <> component_id").select("doc_id").distinct(), "gone")
     kept = docs.join(small(gone), "doc_id", "left_anti").select(*docs.columns)
@@ -73,10 +87,12 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
+    small_batches(spark)
     return own_columns(docs, lambda d: contamination(d, read(spark, sf_dir, "benchmark")).filter("size(item_ids) = 0"), "item_ids", "covered")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return pack_documents(docs, tokenizer_path(spark))
 
 
