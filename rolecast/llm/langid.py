@@ -20,11 +20,12 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .codepoints import LOWER, UPPER, points, runs, tables
-from .common import slices
+from .common import release, slices
 
 SAMPLE, BUCKETS, CHARS, BLOCK = 4000, 4096, 400_000, 256
 #: Families of languages by code.  A code that is not listed is a family of its own.
@@ -192,15 +193,22 @@ def learn(labelled: DataFrame, sample: int = SAMPLE) -> Model:
                 yield pa.RecordBatch.from_arrays([pa.array(langs[i:j]), pa.array([r.astype("<f2").tobytes() for r in x])], names=["lang", "x"])
 
     found = taken.mapInArrow(run, "lang string, x binary").toArrow()
-    order = found.sort_by([("lang", "ascending"), ("x", "ascending")]) if len(found) else found
+    # Rows come in any order; a known one gives the same model.
+    order = pc.sort_indices(found, [("lang", "ascending"), ("x", "ascending")]).to_numpy() if len(found) else np.empty(0, dtype=int)
+    place = np.empty(len(order), dtype=int)
+    place[order] = np.arange(len(order))
     x, at = np.empty((len(order), BUCKETS), dtype=np.float32), 0
-    for part in order["x"].chunks:
+    for part in found["x"].chunks:
         for row in part:
-            x[at] = np.frombuffer(row.as_buffer(), dtype="<f2")
+            x[place[at]] = np.frombuffer(row.as_buffer(), dtype="<f2")
             at += 1
-    langs = order["lang"].to_pylist()
-    del found, order
-    return fit(x, langs)
+    langs = found["lang"].take(pa.array(order)).to_pylist() if len(order) else []
+    del found
+    release()
+    model = fit(x, langs)
+    del x
+    release()
+    return model
 
 
 def has_letter(text: str | None) -> bool:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .codepoints import DIGIT, LOWER, SIGN, SPACE, UPPER, points, runs, tables
-from .common import slices
+from .common import release, slices
 
 SAMPLE, CHARS, STEPS, CHUNK = 5000, 500_000, 250, 64
 CUTS = np.array([0.0, 0.01, 0.03, 0.06, 0.1, 0.2, 0.35, 0.6])  # bucket 0: none at all
@@ -269,6 +269,8 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Chain | N
     good = forward_backward(m, emitted(m, feats), *padded(doc))[0][:, 1]
     length = np.frombuffer(b"".join(z for *_, z in found), dtype="<f4")
     m.scale = calibrate(np.bincount(doc, weights=good * length) / np.bincount(doc, weights=length), y)
+    del found, feats, doc, good, length
+    release()
     return m
 
 
