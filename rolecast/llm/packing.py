@@ -116,7 +116,7 @@ class Encoder:
 
     PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
     ODD = re.compile("[\x1c-\x1f]|<\\|")
-    MOST = 250_000
+    MOST = 500_000
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
