@@ -25,3 +25,22 @@ OP4 = r"""WITH rows AS (SELECT conv_id, turn, coalesce(role, '') AS role, coales
 
 OP6 = """WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS digest FROM pages), f AS (SELECT *, CASE WHEN n >= 100 THEN min(page_id) OVER (PARTITION BY digest) END AS first_id FROM p)
  SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest, CASE WHEN page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN page_id <> first_id THEN first_id END AS refers_to FROM f"""
+
+
+def _op12(k: int = 16, rounds: int = 3, width: int = 64) -> str:
+    """Lloyd's rounds as one CTE each: all distances, the nearest, floored means."""
+    nearest = "SELECT vec_id, min(struct_pack(d := d, c := c)) AS best FROM (SELECT v.vec_id, m.c, list_sum(list_transform(range(1, {w}), lambda i: (v.x[i] - m.x[i]) * (v.x[i] - m.x[i]))) AS d FROM v, m{r} m) GROUP BY vec_id"
+    parts = [
+        f"v AS MATERIALIZED (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS x FROM embeddings WHERE len(embedding) = {width} AND list_aggregate(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)), 'bool_and'))",
+        f"m0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id)) - 1 AS c, x FROM v QUALIFY c < {k})",
+    ]
+    for r in range(rounds + 1):
+        parts.append(f"a{r} AS MATERIALIZED ({nearest.format(w=width + 1, r=r)})")
+        if r < rounds:
+            means = f"SELECT c, list(CASE WHEN s % n < 0 THEN (s - s % n - n) // n ELSE (s - s % n) // n END ORDER BY i) AS x FROM (SELECT best.c AS c, i, sum(v.x[i]) AS s, count(*) AS n FROM a{r} JOIN v USING (vec_id), range(1, {width + 1}) t(i) GROUP BY 1, 2) GROUP BY c"
+            parts.append(f"m{r + 1} AS MATERIALIZED (SELECT m{r}.c, coalesce(u.x, m{r}.x) AS x FROM m{r} LEFT JOIN ({means}) u USING (c))")
+    return f"""WITH {', '.join(parts)} SELECT vec_id, CAST(best.c AS INT) AS cluster, CAST(best.d AS BIGINT) AS distance, CAST(sum(best.d) OVER (PARTITION BY best.c) AS BIGINT) AS cluster_inertia, CAST(sum(best.d) OVER () AS BIGINT) AS inertia,
+ sha256(array_to_string(m{rounds}.x, ',')) AS centroid_sha256 FROM a{rounds} JOIN m{rounds} ON m{rounds}.c = best.c"""
+
+
+OP12 = _op12()

@@ -24,7 +24,7 @@ def docs(spark, *texts, schema="doc_id long, text string"):
 
 
 def test_all_queries_are_registered():
-    assert sorted(int(k[2:].split("_")[0]) for k in queries.queries()) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in queries.queries()) == list(range(1, 14))
 
 
 # 1 HTML
