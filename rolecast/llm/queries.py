@@ -98,6 +98,12 @@ def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drake_kmeans(read(spark, sf_dir, "embeddings"))
 
 
+def op13_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .order_minhash import with_edits
+
+    return with_edits(read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and k[2:3].isdigit()}
 
