@@ -26,6 +26,21 @@ OP4 = r"""WITH rows AS (SELECT conv_id, turn, coalesce(role, '') AS role, coales
 OP6 = """WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS digest FROM pages), f AS (SELECT *, CASE WHEN n >= 100 THEN min(page_id) OVER (PARTITION BY digest) END AS first_id FROM p)
  SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest, CASE WHEN page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN page_id <> first_id THEN first_id END AS refers_to FROM f"""
 
+#: All phrases of 1 to 4 words with their counts, cuts by joins, and phrases inside longer ones.
+OP11 = r"""WITH pieces AS (SELECT coalesce(CAST(lang AS VARCHAR), 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+ split AS MATERIALIZED (SELECT lang, row_number() OVER () AS piece, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+ words AS (SELECT lang, piece, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS w FROM split),
+ ahead AS MATERIALIZED (SELECT lang, w, lead(w, 1) OVER (PARTITION BY piece ORDER BY i) AS w2, lead(w, 2) OVER (PARTITION BY piece ORDER BY i) AS w3, lead(w, 3) OVER (PARTITION BY piece ORDER BY i) AS w4 FROM words),
+ grams AS (SELECT lang, 1 AS k, w AS phrase FROM ahead UNION ALL SELECT lang, 2, w || ' ' || w2 FROM ahead WHERE w2 IS NOT NULL UNION ALL SELECT lang, 3, w || ' ' || w2 || ' ' || w3 FROM ahead WHERE w3 IS NOT NULL UNION ALL SELECT lang, 4, w || ' ' || w2 || ' ' || w3 || ' ' || w4 FROM ahead WHERE w4 IS NOT NULL),
+ f AS MATERIALIZED (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 30), total AS (SELECT lang, count(*) AS n FROM ahead GROUP BY 1),
+ candidates AS MATERIALIZED (SELECT lang, k, phrase, string_split(phrase, ' ') AS w, f AS a FROM f WHERE k >= 2),
+ cuts AS (SELECT c.lang, c.phrase, c.a, cut, l.f AS l, r.f AS r, CAST(CAST(2000000 AS HUGEINT) * c.a // (CAST(l.f AS HUGEINT) + r.f) AS BIGINT) AS score FROM candidates c, range(1, 4) t(cut), f l, f r
+  WHERE cut < c.k AND l.lang = c.lang AND r.lang = c.lang AND l.k = cut AND r.k = c.k - cut AND l.phrase = array_to_string(c.w[1:cut], ' ') AND r.phrase = array_to_string(c.w[cut + 1:], ' ')),
+ best AS (SELECT lang, phrase, any_value(a) AS a, arg_min(l, struct_pack(s := score, c := cut)) AS l, arg_min(r, struct_pack(s := score, c := cut)) AS r, min(score) AS score FROM cuts GROUP BY 1, 2),
+ longer AS (SELECT lang, part, max(a) AS a FROM (SELECT lang, a, unnest(list_transform(range(1, k - m + 2), lambda i: array_to_string(w[i:i + m - 1], ' '))) AS part FROM candidates, range(2, 4) t(m) WHERE m < k) GROUP BY 1, 2),
+ kept AS (SELECT b.* FROM best b LEFT JOIN longer g ON g.lang = b.lang AND g.part = b.phrase WHERE g.a IS NULL OR CAST(100 AS HUGEINT) * g.a < CAST(80 AS HUGEINT) * b.a)
+ SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM kept JOIN total USING (lang) QUALIFY rank <= 2000"""
+
 
 def _op12(k: int = 16, rounds: int = 3, width: int = 64) -> str:
     """Lloyd's rounds as one CTE each: all distances, the nearest, floored means."""

@@ -92,6 +92,12 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read(spark, sf_dir, "documents"), tokenizer_path(spark))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .collocations import collocations
+
+    return collocations(read(spark, sf_dir, "documents"))
+
+
 def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .drake_kmeans import drake_kmeans
 
@@ -112,4 +118,4 @@ def oracle_sql() -> dict[str, str]:
     """SQL where it can state the result; models, hashed orders and packing are tested against brute force."""
     from . import oracle
 
-    return {"op2_embedding_dedup": oracle.OP2, "op3_jaccard_join": oracle.OP3, "op4_chat_format": oracle.OP4, "op6_warc": oracle.OP6, "op12_centroid_clustering": oracle.OP12}
+    return {"op2_embedding_dedup": oracle.OP2, "op3_jaccard_join": oracle.OP3, "op4_chat_format": oracle.OP4, "op6_warc": oracle.OP6, "op11_collocations": oracle.OP11, "op12_centroid_clustering": oracle.OP12}
