@@ -4,15 +4,16 @@
    white space turned into single spaces.  Subtrees that are never main text (scripts, styles, navigation, headers,
    footers, sidebars, forms, and elements whose class, id or role names an advert, notice, menu or comments) yield
    no lines.  A wrapper whose class or id merely has such a word (``content with-sidebar``) stays if it holds the page's
-   main article, or most of the text.
+   main article, or most of the text; and within the article an element stays whose name may mean part of a text as well
+   (``discussion``, ``share-price``) if it holds text like the paragraphs around it, mostly outside links.
 2. Text lengths (without link text) are summed over sliding windows of ``WINDOW`` lines.  A surge point is where the
    sum rises above ``SURGE`` times the mean and stays there; a dive point is where it falls to a line without text of
    its own.  The stretch between them with the most text is the core of the page.
 3. Line counts alone would cut short paragraphs at the ends of an article.  So surge and dive are moved out to the
    bounds of the element that holds the core: its ``article`` or ``main`` if it has one, else the parent of the core's
    lines.  Lines of the stretch that lie in a ``main`` around it, or in other articles of that ``main``, stay as well, but for
-   headings at its end.  Without such elements, stretches that only few lines of links or so part, and that
-   hold enough of the text, are one.
+   headings at its end, and so do articles beside it that hold enough text.  Without such elements, stretches that hold enough of
+   the text are one where they share a parent, or where little but links parts them.
 
 Edge cases: null, empty and tag-only pages give the empty text; unclosed and stray tags are tolerated; pages of any
 length are read whole; repeated rows are extracted each; other columns of the input are ignored.
@@ -29,14 +30,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 WINDOW, SURGE = 3, 0.5
-#: Without an article: stretches with this share of the longest one's text, this many lines apart, belong together.
-ENOUGH, APART = 0.2, 3
+#: A stretch or an article with this share of the main one's text belongs to it; what parts them has no more than this share of the smaller.
+ENOUGH = 0.2
 #: Elements that hold text rather than others: one word of several in their class (``notice-period``) says nothing.
 TEXTUAL = frozenset("p h1 h2 h3 h4 h5 h6 li td th dd dt span b strong em i u a q cite code pre blockquote figcaption caption".split())
 HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(?P<end>/?)(?P<name>[A-Za-z][^\s/>]*)(?P<attrs>(?:[^>"']|"[^"]*"|'[^']*')*)>""", re.S)
 ATTR = re.compile(r"""([A-Za-z_:][-\w:.]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
+UNQUOTED = re.compile(r"""=\s*[^\s"'=]*/$""")  # a slash at the end of a tag that is part of a value
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset("address article aside blockquote body br caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead title tr ul".split())
@@ -49,6 +51,8 @@ NAMES = frozenset(
     " discussion replies respond reply share sharing social related recommended recommendations newsletter subscribe subscription signup login popup modal overlay widget widgets"
     " search contentinfo complementary skip".split()
 )
+#: Of these, words that also name parts of an article; by themselves they say nothing about an element with paragraphs.
+OPEN_NAMES = frozenset("discussion respond share sharing social related recommended recommendations search widget widgets subscription promotion rail toolbar banner".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar alert alertdialog dialog toolbar".split())
 CLOSES_P = BLOCK - {"br"}
 #: An open element of the first name ends where one of the second group begins.
@@ -72,7 +76,9 @@ class Named:
     number: int
     whole: bool  # all of its class, or its id, are such words
     holder: int  # the innermost article or main around it, 0 if none
+    sure: bool = True  # it has a word beyond :data:`OPEN_NAMES`
     own: int = 0  # characters outside links
+    links: int = 0  # characters in links
 
 
 @dataclass
@@ -81,6 +87,7 @@ class Seen:
 
     named: list[Named] = field(default_factory=list)
     holders: dict[int, tuple[int, list[Named]]] = field(default_factory=dict)  # by article or main: characters, and the named elements around it
+    parents: dict[int, int] = field(default_factory=dict)  # of articles and mains, the element around
     total: int = 0
     free: int = 0  # outside whole named elements
 
@@ -114,9 +121,10 @@ def dropped(name: str, attrs: str) -> bool:
     return False
 
 
-def names(name: str, attrs: str) -> tuple[bool, bool]:
-    """Whether a class or id has a word of :data:`NAMES`, and whether all of the class or the id are such words."""
-    part = whole = False
+def names(name: str, attrs: str) -> tuple[bool, bool, bool]:
+    """Whether a class or id has a word of :data:`NAMES`, whether all of the class or the id are such words, and whether
+    one of them is not of :data:`OPEN_NAMES`."""
+    part = whole = sure = False
     if name not in WHOLE and "=" in attrs:
         for m in ATTR.finditer(attrs):
             if m[1].lower() in ("class", "id"):
@@ -124,8 +132,9 @@ def names(name: str, attrs: str) -> tuple[bool, bool]:
                 words = [w for w in re.split(r"[^a-z]+", value) if w]
                 if not NAMES.isdisjoint(words) and (name not in TEXTUAL or NAMES.issuperset(words)):
                     part = True
+                    sure = sure or not OPEN_NAMES.issuperset(NAMES.intersection(words))
                     whole = whole or NAMES.issuperset(value.split())
-    return part, whole
+    return part, whole, sure
 
 
 def lines_of(html: str, kept: frozenset[int] | set[int] = frozenset(), seen: Seen | None = None) -> list[Line]:
@@ -154,7 +163,7 @@ def lines_of(html: str, kept: frozenset[int] | set[int] = frozenset(), seen: See
         if not text or gone == 2:
             return
         text = unescape(text)
-        if seen is not None and not links:
+        if seen is not None:
             count(len(text.strip()))
         if not gone:
             parts.append(text)
@@ -162,6 +171,10 @@ def lines_of(html: str, kept: frozenset[int] | set[int] = frozenset(), seen: See
                 own += len(text)
 
     def count(n: int) -> None:
+        if links:
+            for _, x in inside:
+                x.links += n
+            return
         holder, out = stack[-1][3] if stack else 0, False  # whether a whole named element comes between
         for _, x in reversed(inside):
             x.own += 0 if out else n
@@ -217,7 +230,7 @@ def lines_of(html: str, kept: frozenset[int] | set[int] = frozenset(), seen: See
         if name in BLOCK:
             while blocks and name in IMPLIED.get(stack[blocks[-1]][0], ()):
                 pop(blocks[-1])
-        if name in VOID or m["attrs"].endswith("/") and name not in BLOCK:
+        if name in VOID or m["attrs"].endswith("/") and name not in BLOCK and not UNQUOTED.search(m["attrs"]):
             continue
         number += 1
         gone, holder, outer = stack[-1][2:] if stack else (0, 0, 0)
@@ -226,7 +239,7 @@ def lines_of(html: str, kept: frozenset[int] | set[int] = frozenset(), seen: See
             if dropped(name, m["attrs"]):
                 gone = 2
             else:
-                part, whole = names(name, m["attrs"])
+                part, whole, sure = names(name, m["attrs"])
                 if part and number not in kept:
                     gone = 1
         if name in RAW:
@@ -237,12 +250,13 @@ def lines_of(html: str, kept: frozenset[int] | set[int] = frozenset(), seen: See
             continue
         links += name == "a"
         if part and seen is not None:
-            inside.append((len(stack), Named(number, whole, holder)))
+            inside.append((len(stack), Named(number, whole, holder, sure)))
             seen.named.append(inside[-1][1])
         if name in ("article", "main"):
             holder, outer = number, outer or number
             if seen is not None and gone < 2:
                 seen.holders[number] = 0, [x for _, x in inside]
+                seen.parents[number] = stack[-1][1] if stack else 0
         open_.setdefault(name, []).append(len(stack))
         if name in BLOCK:
             blocks.append(len(stack))
@@ -279,34 +293,49 @@ def core(lines: list[Line], window: int = WINDOW) -> tuple[int, int]:
     return max(stretches(lines, window), key=lambda s: (sum(x.own for x in lines[s[0] : s[1] + 1]), -s[0]))
 
 
-def kept_lines(html: str) -> list[Line]:
-    """The lines of a page, with those of wrappers around its main text."""
-    lines = lines_of(html, seen=(seen := Seen()))
+def main_holder(stretch: list[Line]) -> int:
+    """The innermost article or main that holds most of a stretch's text, 0 if that is in none."""
+    holders: dict[int, int] = {}
+    for x in stretch:
+        holders[x.holder] = holders.get(x.holder, 0) + x.own
+    return max(holders, key=lambda h: (holders[h], -h))
+
+
+def kept_lines(html: str) -> tuple[list[Line], Seen]:
+    """The lines of a page, with those of wrappers around its main text, and of parts of it that merely have such a name."""
+    lines, kept = lines_of(html, seen=(seen := Seen())), set()
     for whole in (False, True):
         if seen.named and (not whole or not any(x.own for x in lines)):
             if kept := seen.wrappers(whole):
                 lines = lines_of(html, kept)
-    return lines
+    if any(not x.sure and x.holder for x in seen.named) and lines:
+        surge, dive = core(lines)
+        holder = main_holder(lines[surge : dive + 1])
+        like = sorted(x.own for x in lines if x.holder == holder and x.own and not x.heading)
+        parts = {x.number for x in seen.named if holder and like and x.holder == holder and not x.sure and x.own >= ENOUGH * like[len(like) // 2] and x.own >= 3 * x.links}
+        if parts - kept:
+            lines = lines_of(html, kept | parts)
+    return lines, seen
 
 
 def main_text(html: str | None) -> str:
-    lines = kept_lines(html or "")
+    lines, seen = kept_lines(html or "")
     if not lines:
         return ""
     surge, dive = core(lines)
-    stretch = lines[surge : dive + 1]
-    holders: dict[int, int] = {}
-    for x in stretch:
-        holders[x.holder] = holders.get(x.holder, 0) + x.own
-    holder = max(holders, key=lambda h: (holders[h], -h))
-    kept = in_holder(lines, surge, dive, holder) if holder else without_holder(lines, surge, dive)
+    holder = main_holder(lines[surge : dive + 1])
+    kept = in_holder(lines, surge, dive, holder, seen.parents) if holder else without_holder(lines, surge, dive)
     return "\n".join(x.text for x in kept)
 
 
-def in_holder(lines: list[Line], surge: int, dive: int, holder: int) -> list[Line]:
-    """All lines of the holder, and those of the stretch that another element around it holds."""
+def in_holder(lines: list[Line], surge: int, dive: int, holder: int, parents: dict[int, int]) -> list[Line]:
+    """All lines of the holder, those of the stretch that another element around it holds, and those of articles beside it."""
     outer = next(x.outer for x in lines if x.holder == holder)
-    own = [i for i, x in enumerate(lines) if x.holder == holder]
+    size: dict[int, int] = {}
+    for x in lines:
+        size[x.holder] = size.get(x.holder, 0) + x.own
+    beside = {h for h, n in size.items() if h and parents.get(h) == parents.get(holder) and n >= ENOUGH * size[holder]}
+    own = [i for i, x in enumerate(lines) if x.holder in beside]
     more = [i for i in range(surge, dive + 1) if lines[i].outer == outer]
     while more and more[-1] > own[-1] and lines[more[-1]].heading:
         more.pop()
@@ -318,10 +347,15 @@ def without_holder(lines: list[Line], surge: int, dive: int) -> list[Line]:
     size = lambda s: sum(x.own for x in lines[s[0] : s[1] + 1])
     found, least = stretches(lines), ENOUGH * size((surge, dive))
     at = found.index((surge, dive))
+
+    def joined(a: tuple[int, int], b: tuple[int, int]) -> bool:
+        parents = [{x.parent for x in lines[i : j + 1]} for i, j in (a, b)]
+        return not parents[0].isdisjoint(parents[1]) or size((a[1] + 1, b[0] - 1)) <= ENOUGH * min(size(a), size(b))
+
     low = high = at
-    while low and size(found[low - 1]) >= least and found[low][0] - found[low - 1][1] - 1 <= APART:
+    while low and size(found[low - 1]) >= least and joined(found[low - 1], found[low]):
         low -= 1
-    while high + 1 < len(found) and size(found[high + 1]) >= least and found[high + 1][0] - found[high][1] - 1 <= APART:
+    while high + 1 < len(found) and size(found[high + 1]) >= least and joined(found[high], found[high + 1]):
         high += 1
     kept: set[int] = set()
     for first, last in found[low : high + 1]:
