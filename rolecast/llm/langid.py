@@ -4,8 +4,7 @@ First the language family is predicted (one-versus-rest linear support vector ma
 machines separate the languages within it.  Features are hashed counts of one to three characters over the whole
 text, lower-cased, with all that is not a letter as one blank; they are damped by a square root and scaled to length one.
 
-Fitting takes at most ``SAMPLE`` labelled rows, those with the smallest hashes of ``doc_id``; it runs on the driver on
-their feature rows.  Prediction covers all rows.  ``lang_pred`` is ``und``, with score 0, where a text is null or has no letter.
+Fitting takes at most ``SAMPLE`` labelled rows, those with the smallest hashes; it runs in one task on their feature rows.  Prediction covers all rows.  ``lang_pred`` is ``und``, with score 0, where a text is null or has no letter.
 
 Edge cases: rows with a null text or language are not learned from; with one learned language all texts with letters
 are of that language; with none, all are ``und``; repeated rows are predicted each; very long texts are read in pieces;
@@ -14,6 +13,7 @@ other columns are kept, and those named like the results are replaced, unless th
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from itertools import combinations
@@ -177,24 +177,9 @@ def floors(m: Model) -> dict[str, float]:
     return {code: family * (0.5 if len(codes) > 1 else 1.0) for codes in m.langs.values() for code in codes}
 
 
-def learn(labelled: DataFrame, sample: int = SAMPLE) -> Model:
-    """Fit on at most ``sample`` rows of ``doc_id``, ``text`` and ``lang``."""
-    rows = labelled.filter("text is not null and lang is not null").select(F.xxhash64("doc_id", "text").alias("h"), F.col("lang").cast("string").alias("lang"), "text")
-    ids = rows.select("h").orderBy("h").limit(sample).agg(F.max("h").alias("h")).first()["h"]
-    if ids is None:
-        return Model()
-    taken = rows.filter(F.col("h") <= ids).limit(2 * sample)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, BLOCK):
-            langs, texts = b.column(1).to_pylist(), b.column(2).to_pylist()
-            for i, j in runs(texts, CHARS):
-                x = features(texts[i:j])
-                yield pa.RecordBatch.from_arrays([pa.array(langs[i:j]), pa.array([r.astype("<f2").tobytes() for r in x])], names=["lang", "x"])
-
-    found = taken.mapInArrow(run, "lang string, x binary").toArrow()
-    # Rows come in any order; a known one gives the same model.
-    order = pc.sort_indices(found, [("lang", "ascending"), ("x", "ascending")]).to_numpy() if len(found) else np.empty(0, dtype=int)
+def fitted(found: pa.Table) -> Model:
+    """The model of rows of ``lang`` and ``x``."""
+    order = pc.sort_indices(found, [("lang", "ascending"), ("x", "ascending")]).to_numpy()  # rows come in any order; a known one gives the same model
     place = np.empty(len(order), dtype=int)
     place[order] = np.arange(len(order))
     x, at = np.empty((len(order), BUCKETS), dtype=np.float32), 0
@@ -202,13 +187,37 @@ def learn(labelled: DataFrame, sample: int = SAMPLE) -> Model:
         for row in part:
             x[place[at]] = np.frombuffer(row.as_buffer(), dtype="<f2")
             at += 1
-    langs = found["lang"].take(pa.array(order)).to_pylist() if len(order) else []
-    del found
-    release()
-    model = fit(x, langs)
-    del x
-    release()
-    return model
+    return fit(x, found["lang"].take(pa.array(order)).to_pylist())
+
+
+def learn(labelled: DataFrame, sample: int = SAMPLE) -> Model:
+    """Fit on at most ``sample`` distinct rows of ``doc_id``, ``text`` and ``lang``, those with the smallest hashes.
+
+    Features come from all tasks, the machines are fitted in one, and only their weights reach the driver.
+    """
+    rows = labelled.filter("text is not null and lang is not null").select(F.xxhash64("doc_id", "text", "lang").alias("h"), F.col("lang").cast("string").alias("lang"), "text")
+    most = rows.select("h").distinct().orderBy("h").limit(sample).agg(F.max("h").alias("h")).first()["h"]
+    if most is None:
+        return Model()
+    taken = rows.filter(F.col("h") <= most)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, BLOCK):
+            h, langs, texts = (b.column(i).to_pylist() for i in range(3))
+            for i, j in runs(texts, CHARS):
+                x = features(texts[i:j])
+                yield pa.RecordBatch.from_arrays([pa.array(h[i:j], pa.int64()), pa.array(langs[i:j], pa.string()), pa.array([r.astype("<f2").tobytes() for r in x], pa.binary())], names=["h", "lang", "x"])
+
+    def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = pa.Table.from_batches(list(batches), pa.schema([("lang", pa.string()), ("x", pa.binary())]))
+        if len(found):
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fitted(found))], pa.binary())], names=["model"])
+        del found
+        release()
+
+    once = taken.mapInArrow(run, "h long, lang string, x binary").groupBy("h").agg(F.first("lang").alias("lang"), F.first("x").alias("x"))  # rows of a hash are equal
+    model = once.orderBy("h").limit(sample).select("lang", "x").mapInArrow(train, "model binary").collect()
+    return pickle.loads(model[0]["model"]) if model else Model()
 
 
 def has_letter(text: str | None) -> bool:

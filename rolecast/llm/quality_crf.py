@@ -6,7 +6,7 @@ length and ending; and the same of its neighbours.  Two labels, a transition mat
 It is fitted by maximum likelihood; the lines of a labelled document take its label.  The score of a document is the mean of its lines' forward-backward marginals of *good*,
 weighted by their lengths, put through a logistic curve that is fitted on the same sample (it keeps the order).
 
-Fitting takes at most ``SAMPLE`` labelled documents, those with the smallest hashes, and runs on the driver on their
+Fitting takes at most ``SAMPLE`` labelled documents, those with the smallest hashes, and runs in one task on their
 observations.  Scoring covers whole texts of all rows.
 
 Edge cases: a text that is null, empty or blank scores 0; with no labelled rows every other text scores 0.5; repeated
@@ -17,6 +17,7 @@ score is replaced, unless that gets another name.  For fitting, chains of more t
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -243,35 +244,50 @@ def calibrate(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> tuple[float,
     return float(w[0]), float(w[1])
 
 
+PER_LINE = (OWN + 2 * SHARES) * 2  # bytes of a line's features
+
+
+def fitted(found: list[tuple[int, int, bytes, bytes]]) -> Chain:
+    """The chain of documents (id, quality, features, line lengths)."""
+    counts = [len(x) // PER_LINE for _, _, x, _ in found]
+    feats = np.frombuffer(b"".join(x for *_, x, _ in found), dtype=np.int16).reshape(-1, PER_LINE // 2)
+    doc, y = np.repeat(np.arange(len(found)), counts), np.array([int(q > 0) for _, q, *_ in found])
+    m = fit(doc, feats, y[doc])
+    good = forward_backward(m, emitted(m, feats), *padded(doc))[0][:, 1]
+    length = np.frombuffer(b"".join(z for *_, z in found), dtype="<f4")
+    m.scale = calibrate(np.bincount(doc, weights=good * length) / np.bincount(doc, weights=length), y)
+    return m
+
+
 def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Chain | None:
-    """Fit on at most ``sample`` of the documents that ``labels`` has a quality for."""
+    """Fit on at most ``sample`` distinct rows among the ``sample`` labelled documents with the smallest hashes.
+
+    Features come from all tasks, the chain is fitted in one, and only its weights reach the driver.
+    """
     known = labels.filter("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    taken = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").limit(2 * sample)
+    taken = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").selectExpr("cast(doc_id as long) doc_id", "text", "cast(quality as int) quality", "xxhash64(doc_id, text) h")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
-            ids, texts, quality = (b.column(i).to_pylist() for i in range(3))
+            ids, texts, quality, h = (b.column(i).to_pylist() for i in range(4))
             for i, j in runs(texts, CHARS):
                 doc, length, feats = observations([t or "" for t in texts[i:j]])
                 cut = np.searchsorted(doc, np.arange(j - i + 1))
-                rows = [(ids[i + k], quality[i + k], feats[cut[k] : cut[k + 1]].tobytes(), length[cut[k] : cut[k + 1]].astype("<f4").tobytes()) for k in range(j - i) if cut[k] < cut[k + 1]]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * 4, (pa.int64(), pa.int32(), pa.binary(), pa.binary()), strict=True)], names=["doc_id", "quality", "x", "length"])
-
-    found = sorted((r["doc_id"], r["quality"], bytes(r["x"]), bytes(r["length"])) for r in taken.selectExpr("cast(doc_id as long) doc_id", "text", "cast(quality as int) quality").mapInArrow(run, "doc_id long, quality int, x binary, length binary").collect())
-    if not found:
-        return None
-    per = (OWN + 2 * SHARES) * 2
-    counts = [len(x) // per for _, _, x, _ in found]
-    feats = np.frombuffer(b"".join(x for *_, x, _ in found), dtype=np.int16).reshape(-1, per // 2)
-    doc, y = np.repeat(np.arange(len(found)), counts), np.array([int(q > 0) for _, q, *_ in found])
-    m = fit(doc, feats, y[doc])
-    good = forward_backward(m, emitted(m, feats), *padded(doc))[0][:, 1]
-    length = np.frombuffer(b"".join(z for *_, z in found), dtype="<f4")
-    m.scale = calibrate(np.bincount(doc, weights=good * length) / np.bincount(doc, weights=length), y)
-    del found, feats, doc, good, length
-    release()
-    return m
+                rows = [(h[i + k], ids[i + k], quality[i + k], feats[cut[k] : cut[k + 1]].tobytes(), length[cut[k] : cut[k + 1]].astype("<f4").tobytes()) for k in range(j - i) if cut[k] < cut[k + 1]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * 5, (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary()), strict=True)], names=["h", "doc_id", "quality", "x", "length"])
+
+    def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = sorted(r for b in batches for r in zip(*(c.to_pylist() for c in b.columns), strict=True))
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fitted(found))], pa.binary())], names=["model"])
+        del found
+        release()
+
+    rows = taken.mapInArrow(run, "h long, doc_id long, quality int, x binary, length binary")
+    once = rows.groupBy("h").agg(*(F.first(c).alias(c) for c in ("doc_id", "quality", "x", "length")))  # rows of a hash are equal
+    model = once.orderBy("h").limit(sample).select("doc_id", "quality", "x", "length").mapInArrow(train, "model binary").collect()
+    return pickle.loads(model[0]["model"]) if model else None
 
 
 def score(df: DataFrame, model: Chain | None, name: str = "score") -> DataFrame:
