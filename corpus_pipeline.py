@@ -4,8 +4,7 @@ Stages, in order: quality classifier, language identification, n-gram Jaccard jo
 packing.  Every stage is written as Parquet to the shared folder and read again by the next.
 
 Edge cases: a document whose text is null, empty or blank goes in the first stage, one without a letter in the second; of
-repeated rows one stays, and rows that share an id but not the text are documents of their own, which go or stay together in
-the third stage; documents with a null id are compared with nothing and stay; further columns are handed on whatever their names
+repeated rows one stays, and rows that share an id but not the text are documents of their own, which go or stay each by its text; documents with a null id are compared with nothing and stay; further columns are handed on whatever their names
 are; an empty table passes through all stages.
 """
 
@@ -71,18 +70,29 @@ def small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= MOST_BROADCAST else df
 
 
+def once(docs: DataFrame) -> DataFrame:
+    """Each distinct (``doc_id``, ``text``) as ``row``, with a ``number`` in the order of ids; stored, as the numbers depend on the
+    ranges that Spark draws."""
+    rows = docs.filter("doc_id is not null").groupBy("doc_id", "text").agg(F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("row"))
+    ordered = rows.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", "text")
+    return store(ordered.select(F.monotonically_increasing_id().alias("number"), "row"), "numbered")[0]
+
+
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id stays; documents without an id all do."""
+    """Of each group of near copies the document with the smallest id stays; documents without an id all do.
+
+    The join tells documents by their ids; where ids repeat, it is given numbers of the distinct pairs of id and text.
+    """
     small_batches(spark)
-    groups, _ = store(jaccard_join(docs, SHINGLE_WORDS, SIMILAR_PERCENT).filter("doc_id is not null"), "groups")
-    gone, _ = store(groups.filter("doc_id <> component_id").select("doc_id").distinct(), "gone")
-    kept = docs.join(small(gone), "doc_id", "left_anti").select(*docs.columns)
-    again, _ = store(groups.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id"), "repeated")
+    again = docs.filter("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1")
     if again.isEmpty():
-        return kept
-    again = small(again)
-    rows = kept.join(again, "doc_id", "left_semi").groupBy("doc_id", "text").agg(F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("row"))
-    return kept.join(again, "doc_id", "left_anti").select(*docs.columns).unionByName(rows.select("row.*"))
+        groups = jaccard_join(docs, SHINGLE_WORDS, SIMILAR_PERCENT).filter("doc_id is not null and doc_id <> component_id")
+        gone, _ = store(groups.select("doc_id"), "gone")
+        return docs.join(small(gone), "doc_id", "left_anti").select(*docs.columns)
+    numbered = once(docs)
+    groups = jaccard_join(numbered.select(F.col("number").alias("doc_id"), F.col("row.text").alias("text")), SHINGLE_WORDS, SIMILAR_PERCENT)
+    gone, _ = store(groups.filter("doc_id <> component_id").select(F.col("doc_id").alias("number")), "gone")
+    return numbered.join(small(gone), "number", "left_anti").select("row.*").unionByName(docs.filter("doc_id is null"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
