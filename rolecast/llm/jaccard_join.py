@@ -25,8 +25,9 @@ the head), and the rarer ones come first again: added ones by their frequency, m
 pairs within a family join by multi-match prefixes of their differences, all other pairs by those of their whole sets.
 
 Edge cases: a null, empty or blank text has an empty set and links with nothing; fewer than ``n`` words make one
-shingle; rows with a null ``doc_id`` link with nothing; where a ``doc_id`` is repeated with
-other texts, each row takes the component of its own text; an empty table gives an empty result; other columns are ignored.
+shingle; rows with a null ``doc_id`` link with nothing; the nodes of the graph are
+ids, so rows that share a ``doc_id`` have one component, which any of their texts may link with others (give distinct
+ids to texts that are to be told apart); an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations

@@ -34,6 +34,17 @@ def test_each_stage_keeps_columns_and_rows(spark):
     assert found == sorted(want)
 
 
+def test_unique_text_of_a_shared_id_stays(spark):
+    """An id with a near copy of another document and a text of its own: only the copy goes."""
+    rng = np.random.default_rng(6)
+    words = [f"word{i}" for i in range(400)]
+    a, b, c = (list(rng.choice(words, 80)) for _ in range(3))
+    docs = [(1, " ".join(a)), (5, " ".join([*a, "x"])), (5, " ".join(b)), (9, " ".join(c)), (7, " ".join([*b, "y"])), (3, " ".join([*c, "z"])), (9, " ".join(c)), (None, " ".join(a))]
+    df = spark.createDataFrame([(i, t, "en", "s", 1, "", "", 0, "") for i, t in docs], SCHEMA)
+    found = sorted((r["doc_id"] or 0, r["text"]) for r in p.near_copies(spark, df, SF).collect())
+    assert found == sorted([(0, docs[7][1]), docs[0], docs[2], docs[5]])
+
+
 def test_empty_tables_pass_through(spark):
     docs = spark.createDataFrame([], SCHEMA)
     for _, stage in p.STAGES:
