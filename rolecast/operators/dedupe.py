@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as t
-from ..functions.fuzzy import ratio_at_least
+from ..shared import cut
+from .similarity import alike, in_order
 
 # The window and the similarity of fuzzy duplicates.
 FUZZY_DAYS, FUZZY_LEAST = 14, 92.0
@@ -43,35 +44,57 @@ def duplicate_groups(df: DataFrame, key: list[str]) -> DataFrame:
 
 
 def set_resolution(df: DataFrame) -> DataFrame:
-    """Outcome of every row where none is rejected: of a cross-source hash the first arrival is new, later rows of its
-    source hit it, and those of other sources hit across sources, unless their own source came there before.
+    """Outcome of every row (``arrival_idx``, ``source``) where none is rejected: of a cross-source hash the first arrival is new,
+    later rows of its source hit it, and those of other sources hit across sources, unless their own source came there before.
 
-    First arrivals are aggregates, which are combined before the shuffle, and are joined back.
+    First arrivals are aggregates, which are combined before the shuffle, and are joined back.  Hashes are computed once, in Python
+    for some titles, and written; only they, ids and sources are read again.
     """
-    first = df.groupBy("cross_source_hash").agg(F.min_by(F.struct("arrival_idx", "source"), "arrival_idx").alias("f"))
-    joined = df.join(first, "cross_source_hash")
+    rows = cut(df.select("arrival_idx", "source", "cross_source_hash"), "hashes")
+    first = rows.groupBy("cross_source_hash").agg(F.min(F.struct("arrival_idx", "source")).alias("f"))
+    joined = rows.join(first, "cross_source_hash")
     outcome = F.when(F.col("arrival_idx") == F.col("f.arrival_idx"), "new").when(F.lower("source") == F.lower("f.source"), "dedupe_hit").otherwise("cross_source_hit")
     return joined.withColumn("outcome", outcome).withColumn("target_idx", F.col("f.arrival_idx")).drop("f")
 
 
 def cross_source_hits(batch: DataFrame, stored: DataFrame) -> DataFrame:
-    """Rows of ``batch`` with the first stored row of the same hash and another source."""
-    s = stored.select("cross_source_hash", F.col("source").alias("s_source"), F.col("dedup_hash").alias("target_hash"), F.col("arrival_idx").alias("target_idx"))
-    met = batch.join(s, "cross_source_hash").filter(F.col("source") != F.col("s_source"))
-    return met.groupBy("arrival_idx").agg(F.min_by("target_hash", "target_idx").alias("target_hash"), F.min("target_idx").alias("target_idx"))
+    """Rows of ``batch`` with the first stored row of the same hash and another source.
+
+    Of a hash only its first arrival, and the first of another source than that one's, can be it: two aggregates that combine before
+    the shuffle, by source first, so a hash with very many rows is one row of the join.
+    """
+    each = stored.filter("cross_source_hash is not null and source is not null").groupBy("cross_source_hash", "source").agg(F.min(F.struct("arrival_idx", "dedup_hash")).alias("m"))
+    entry = F.struct(F.col("m.arrival_idx").alias("idx"), F.col("m.dedup_hash").alias("hash"), "source")
+    two = each.groupBy("cross_source_hash").agg(F.slice(F.array_sort(F.collect_list(entry)), 1, 2).alias("t"))  # an entry a source
+    other = F.when(F.col("t")[0]["source"] != F.col("source"), F.col("t")[0]).otherwise(F.get("t", F.lit(1)))
+    met = batch.select("arrival_idx", "cross_source_hash", "source").join(two, "cross_source_hash").withColumn("hit", other).filter("hit is not null and source is not null")
+    return met.select("arrival_idx", F.col("hit.hash").alias("target_hash"), F.col("hit.idx").alias("target_idx"))
+
+
+def fuzzy_keys(df: DataFrame, company: Column, title: Column, **more: Column) -> DataFrame:
+    """What a fuzzy comparison needs of a row: ``block``, its company, ``key``, the words of its title in order, and ``more``."""
+    return df.select(company.alias("block"), in_order(title).alias("key"), *(c.alias(name) for name, c in more.items()))
+
+
+def asked(df: DataFrame, **more: Column) -> DataFrame:
+    """Rows as they look for others: company and title in lower case."""
+    return fuzzy_keys(df, F.lower(t.strip(t.text("company_name"))), F.lower(t.strip(t.text("title"))), **more)
 
 
 def fuzzy_pairs(batch: DataFrame, stored: DataFrame, as_of: Column, days: int = FUZZY_DAYS, least: float = FUZZY_LEAST, earlier: bool = False) -> DataFrame:
-    """Pairs of the same company and different sources whose titles are alike; blocked by company, bounded in time.
+    """Pairs of the same company and different sources whose titles are alike; bounded in time.
 
+    Distinct titles are joined by what alike ones must share (:mod:`similarity`), and pairs of them then with their rows.
     With ``earlier``, only stored rows that arrived before a row are its targets.
     """
-    s = stored.filter(F.col("posted_at") >= as_of - F.expr(f"INTERVAL {days} DAYS")).select(F.col("name_normalized").alias("company"), F.col("title_normalized").alias("s_title"), F.col("source").alias("s_source"), F.col("arrival_idx").alias("target_idx"))
-    b = batch.withColumn("company", F.lower(t.strip(t.text("company_name")))).withColumn("title_l", F.lower(t.strip(t.text("title"))))
-    met = b.join(s, "company").filter(F.col("source") != F.col("s_source"))
+    recent = stored.filter(F.col("posted_at") >= as_of - F.expr(f"INTERVAL {days} DAYS"))
+    b = cut(asked(batch, source=F.col("source"), arrival_idx=F.col("arrival_idx")), "asked")
+    s = cut(fuzzy_keys(recent, F.col("name_normalized"), F.col("title_normalized"), s_source=F.col("source"), target_idx=F.col("arrival_idx")), "recent")
+    pairs = cut(alike(b, s, least), "alike")
+    met = b.join(pairs.withColumnRenamed("a", "key"), ["block", "key"]).drop("key").join(s.withColumnRenamed("key", "b"), ["block", "b"]).filter(F.col("source") != F.col("s_source"))
     if earlier:
         met = met.filter(F.col("target_idx") < F.col("arrival_idx"))
-    return met.filter(ratio_at_least(F.col("title_l"), F.col("s_title"), least)).select("arrival_idx", "target_idx")
+    return met.select("arrival_idx", "target_idx")
 
 
 def merge_same_source(target: DataFrame, hits: DataFrame) -> DataFrame:

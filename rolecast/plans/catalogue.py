@@ -287,10 +287,26 @@ def resolution_outcome_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.outcome_counters(dedupe.set_resolution(hashed(spark, sf_dir)))
 
 
-@query()
+#: Resolution a row at a time: ``ins`` holds what has been inserted, in order, with dates as hits have lowered them.
+RESOLUTION = f"""WITH RECURSIVE {HASHED}{PREFILTER[len(RAW_JOBS):]},
+ k AS MATERIALIZED (SELECT row_number() OVER (ORDER BY arrival_idx) AS i, arrival_idx, h.source, lower(trim(h.company_name)) AS company, name_normalized, h.posted_at, dedup_hash AS d, cross_source_hash AS c, reason IS NOT NULL AS rejected, arrival_idx % 97 = 5 AS invalid,
+  {IN_ORDER.format("lower(trim(h.title))")} AS t, {IN_ORDER.format("title_normalized")} AS s FROM hashed h JOIN checked USING (arrival_idx)),
+ p AS (SELECT b.i, s.arrival_idx AS target, b.t AS x, s.s AS y FROM k b JOIN k s ON b.company = s.name_normalized AND b.source <> s.source AND s.i < b.i WHERE 200.0 * least(length(b.t), length(s.s)) >= 92.0 * (length(b.t) + length(s.s))),
+ alike AS MATERIALIZED (SELECT i, list(target) AS a FROM p WHERE {RATIO} >= 92 GROUP BY 1), n AS MATERIALIZED (SELECT k.*, coalesce(a, []) AS a FROM k LEFT JOIN alike USING (i)),
+ r AS (SELECT 0::BIGINT AS i, NULL::BIGINT AS arrival_idx, NULL::VARCHAR AS outcome, NULL::BIGINT AS target_idx, false AS inserted, []::STRUCT(x BIGINT, d VARCHAR, c VARCHAR, source VARCHAR, seen TIMESTAMP)[] AS ins
+  UNION ALL SELECT i, arrival_idx, outcome, target_idx, added, CASE WHEN added THEN list_append(ins, struct_pack(x := arrival_idx, d := d, c := c, source := source, seen := posted_at))
+   ELSE list_transform(ins, lambda z: struct_pack(x := z.x, d := z.d, c := z.c, source := z.source, seen := CASE WHEN z.x = target_idx AND posted_at < z.seen THEN posted_at ELSE z.seen END)) END
+  FROM (SELECT *, CASE WHEN rejected THEN 'rejected_prefilter' WHEN invalid THEN 'url_invalid' WHEN hd IS NOT NULL THEN 'dedupe_hit' WHEN hc IS NOT NULL THEN 'cross_source_hit' WHEN hf IS NOT NULL THEN 'fuzzy_hit' ELSE 'new' END AS outcome,
+    CASE WHEN NOT rejected AND NOT invalid THEN coalesce(hd, hc, hf) END AS target_idx, CASE WHEN rejected OR invalid THEN hd IS NULL ELSE coalesce(hd, hc, hf) IS NULL END AS added
+   FROM (SELECT n.*, r.ins, list_filter(r.ins, lambda z: z.d = n.d)[1].x AS hd, list_filter(r.ins, lambda z: z.c = n.c AND z.source <> n.source)[1].x AS hc,
+     list_filter(r.ins, lambda z: list_contains(n.a, z.x) AND z.seen >= TIMESTAMP '2024-01-15')[1].x AS hf FROM r JOIN n ON n.i = r.i + 1)))
+ SELECT arrival_idx, outcome, target_idx, inserted FROM r WHERE i > 0"""
+
+
+@query(RESOLUTION)
 def resolution_with_fuzzy(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = dedupe.with_hashes(prefilter.prefilter(a.raw_jobs(spark, sf_dir), a.as_of())).withColumn("url_invalid", F.col("arrival_idx") % 97 == 5)
-    return resolve.resolve(rows, rows.limit(0), AS_OF)
+    return resolve.resolve(rows, rows.limit(0), "2024-01-29 00:00:00")
 
 
 # Stored jobs, sweeps

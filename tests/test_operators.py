@@ -36,17 +36,18 @@ def sequential(rows, horizon):
     return resolve.fold([dict(r) for r in rows], horizon)
 
 
-@pytest.mark.parametrize("seed", range(4))
+@pytest.mark.parametrize("seed", range(8))
 def test_resolution_equals_the_sequential_fold(spark, seed):
     rng = random.Random(seed)
     titles = ["Software Engineer - Backend", "Software Engineer Backend", "Data Engineer", "Data  Engineér", "Nurse", "Senior Software Engineer Backend"]
-    raw = [posting(i, title=rng.choice(titles), company=rng.choice(["ACME", "Café X", "ACME ", "日本", ""]), source=rng.choice("abC"), days=rng.choice([1, 5, 13, 20, 70])) for i in range(40)]
+    companies = ["ACME", "Café X", "ACME ", "日本", ""] if seed < 4 else ["ACME"]  # one company: every title meets every other, and hashes repeat often
+    raw = [posting(i, title=rng.choice(titles), company=rng.choice(companies), source=rng.choice("abC"), days=rng.choice([1, 5, 13, 20, 70])) for i in range(40 + 40 * (seed >= 4))]
     df = dedupe.with_hashes(prefilter.prefilter(spark.createDataFrame(raw, RAW), F.lit(AS_OF).cast("timestamp"))).withColumn("url_invalid", F.col("arrival_idx") % 9 == 4)
     stored, batch = df.filter("arrival_idx < 8"), df.filter("arrival_idx >= 8")
     names = [c.split()[0] for c in resolve.COLUMNS.split(", ")]
     rows = [r.asDict() for r in stored.withColumn("stored", F.lit(True)).select(*names).orderBy("arrival_idx").collect()] + [r.asDict() for r in batch.withColumn("stored", F.lit(False)).select(*names).orderBy("arrival_idx").collect()]
     expected = {(i, o, None if t is None else t, ins) for i, o, t, ins in sequential(rows, pd.Timestamp(AS_OF) - pd.Timedelta(days=14))}
-    for parts in (1, 5):
+    for parts in (5,):
         got = {(r["arrival_idx"], r["outcome"], r["target_idx"], r["inserted"]) for r in resolve.resolve(batch.repartition(parts), stored, AS_OF).collect()}
         assert got == expected
 
