@@ -139,14 +139,24 @@ class Store:
         self._commit(table, now + 1, m | {"key": None, "folders": m["folders"] | {str(spare): name}})
         return now + 1
 
-    def merge(self, table: str, new: DataFrame, key: str, order: list[Column], absent: bool = False) -> int:
+    def done(self, table: str, mark: tuple[str, int]) -> bool:
+        """Whether the table holds the batch of a stream (its name and the batch's number) or a later one of it."""
+        return self.exists(table) and self.manifest(table).get("marks", {}).get(mark[0], -1) >= mark[1]
+
+    def merge(self, table: str, new: DataFrame, key: str, order: list[Column], absent: bool = False, mark: tuple[str, int] | None = None) -> int:
         """A new version in which rows of ``new`` replace those with their key, or with ``absent`` add only new keys.
 
         Buckets that no row of ``new`` falls into are taken over as they are.  ``new`` is read twice, so it should be stored.
+        With ``mark``, the version says which batch of a stream it holds; one that it holds already changes nothing.
         """
         place = F.pmod(F.xxhash64(key), F.lit(self.buckets)).cast("int")
         now = self.version(table)
         m = self.manifest(table) if now else {"key": key, "schema": new.schema.json(), "folders": {}}
+        marks = m.get("marks", {})
+        if mark:
+            if marks.get(mark[0], -1) >= mark[1]:
+                return now
+            marks = marks | {mark[0]: mark[1]}
         touched = sorted(r[0] for r in new.filter(F.col(key).isNotNull()).select(place).distinct().collect())
         if now and not touched:
             return now
@@ -163,7 +173,7 @@ class Store:
         fs, p = hadoop(self.spark, f"{self.root}/{table}/data/{name}")
         there = [n.partition("=")[2] for n in (f.getPath().getName() for f in fs.listStatus(p)) if n.startswith("_bucket=")]
         folders = {b: f for b, f in m["folders"].items() if int(b) not in touched} | {b: f"{name}/_bucket={b}" for b in there}
-        self._commit(table, now + 1, {"key": key, "schema": rows.schema.json(), "folders": folders})
+        self._commit(table, now + 1, {"key": key, "schema": rows.schema.json(), "folders": folders, "marks": marks})
         return now + 1
 
     def drop(self, table: str, confirm: bool = False) -> None:

@@ -522,3 +522,19 @@ def language_detect_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT CAST(ts AS DATE) AS day, event_type, count(DISTINCT event_id) AS n FROM events WHERE ts IS NOT NULL GROUP BY ALL")
 def stream_dedup_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return streaming.daily_counts_to_completion(spark, f"{sf_dir}/events.parquet")
+
+
+@query(f"""WITH {HASHED}, k AS (SELECT arrival_idx, source, name_normalized, posted_at, {IN_ORDER.format("title_normalized")} AS s FROM hashed),
+ p AS MATERIALIZED (SELECT b.arrival_idx, s.arrival_idx AS target_idx, b.s AS x, s.s AS y FROM k b JOIN k s ON b.name_normalized = s.name_normalized AND b.source <> s.source AND s.arrival_idx < b.arrival_idx AND s.posted_at >= b.posted_at - INTERVAL 14 DAYS
+ WHERE 200.0 * least(length(b.s), length(s.s)) >= 92.0 * (length(b.s) + length(s.s))), h AS (SELECT arrival_idx, min(target_idx) AS target_idx FROM p WHERE {RATIO} >= 92 GROUP BY 1)
+ SELECT arrival_idx, target_idx FROM k LEFT JOIN h USING (arrival_idx)""")
+def stream_similar_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents as postings that come in, in four slices."""
+    return streaming.similar_to_completion(hashed(spark, sf_dir))
+
+
+@query("SELECT event_id, CAST(ts AS TIMESTAMP) AS ts, user_id, event_type, value FROM events QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY ts) = 1")
+def stream_ingested_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events in four slices, and all of them a second time."""
+    rows = a.read(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    return streaming.ingest_to_completion(rows, "event_id").withColumn("ts", F.col("ts").cast("timestamp_ntz"))

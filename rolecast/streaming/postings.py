@@ -1,4 +1,4 @@
-"""Structured Streaming: deduplicated counts by day, and incremental ingestion into versioned tables."""
+"""Structured Streaming: deduplicated counts by day, incremental ingestion into versioned tables, similar postings of two weeks."""
 
 from __future__ import annotations
 
@@ -8,10 +8,11 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from ..functions.fuzzy import token_sort_ratio
-from ..operators.dedupe import FUZZY_DAYS
+from ..functions.fuzzy import lcs
+from ..operators.dedupe import FUZZY_DAYS, FUZZY_LEAST
+from ..operators.similarity import SHORT, in_order, lacking
 from ..operators.store import Store
 from ..shared import cut, shared_dir
 
@@ -65,54 +66,153 @@ def daily_counts_to_completion(spark: SparkSession, path: str, delay: str | None
     return spark.read.schema("day date, event_type string, n long").parquet(out)
 
 
-def ingest(stream: DataFrame, store: Store, table: str, key: str, transform: Callable[[DataFrame], DataFrame], checkpoint: str, trigger: dict | None = None):
-    """Start a query that adds each micro-batch's new keys to a table; a batch that runs twice adds nothing.
+def ingest(stream: DataFrame, store: Store, table: str, key: str, transform: Callable[[DataFrame], DataFrame], checkpoint: str, trigger: dict | None = None, name: str | None = None):
+    """Start a query that adds each micro-batch's new keys to a table.
 
-    Only the buckets that a batch falls into are written.  ``trigger`` is that of ``writeStream``; the default takes what is there and ends.
+    Only the buckets that a batch falls into are written.  The version that a batch makes holds the batch's number under the
+    stream's ``name`` (the table's, if none is given), in one commit with its rows, so a batch that runs again is not even
+    computed, whatever keys it would have.  ``trigger`` is that of ``writeStream``; the default takes what is there and ends.
     """
+    name = name or table
 
-    def add(batch: DataFrame, _: int) -> None:
-        store.merge(table, cut(transform(batch), "batch"), key, [F.col(key)], absent=True)
+    def add(batch: DataFrame, number: int) -> None:
+        if not store.done(table, (name, number)):
+            store.merge(table, cut(transform(batch), "batch"), key, [F.col(key)], absent=True, mark=(name, number))
 
     return stream.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 
 
+def in_slices(df: DataFrame, order: str, slices: int, name: str) -> str:
+    """A folder with the rows of ``df`` as they might come in: that many slices by ``order``, files of a later one written later."""
+    path = shared(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    marks = df.agg(F.percentile_approx(order, [k / slices for k in range(1, slices)], 10_000).alias("m")).first()["m"] or []
+    for low, high in zip([None, *marks], [*marks, None], strict=True):
+        part = df if low is None else df.filter(F.col(order) > low)
+        (part if high is None else part.filter(F.col(order) <= high)).write.mode("append").parquet(path)
+    return path
+
+
 def every(hours: float) -> dict:
     """The trigger of a sweep that runs again and again."""
     return {"processingTime": f"{int(hours * 3600)} seconds"}
 
 
-SEEN = "name_normalized string, title_normalized string, source string, arrival_idx long, target_idx long"
-HELD = "titles array<string>, sources array<string>, ids array<long>, times array<long>"
+DAY = 86_400_000
+#: A company's parts of titles are dealt out to so many groups, which are the units of state.
+SLOTS = 16
+HIT = "arrival_idx long, target_idx long"
+#: Letters that most titles have; pairs with others come first in the order of prefixes, which may be any.
+COMMON = "etaoinsr "
+
 
+def blocks(stream: DataFrame, least: float = FUZZY_LEAST) -> DataFrame:
+    """A row of ``stream`` (``name_normalized``, ``title_normalized``, ``source``, ``arrival_idx``, ``posted_at``) for each numbered
+    pair of neighbouring characters in its title's prefix; two titles that are alike share one (:mod:`similarity`)."""
+    rows = stream.select(F.col("name_normalized").alias("block"), in_order(F.col("title_normalized")).alias("key"), "source", "arrival_idx", F.col("posted_at").cast("timestamp").alias("posted_at"))
+    n = F.length("key")
+    pairs = F.array_sort(F.transform(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), lambda i: F.substr("key", i, F.lit(2))))
+    common = lambda g: F.length(g) - F.length(F.translate(g, COMMON, ""))
+    numbered = F.transform(pairs, lambda g, i: F.struct(common(g).alias("c"), F.xxhash64(g, i - F.array_position(pairs, g).cast("int")).alias("h"), F.concat(g, (i - F.array_position(pairs, g).cast("int")).cast("string")).alias("g")))
+    prefix = F.transform(F.slice(F.array_sort(numbered), F.lit(1), lacking(n, least) + 1), lambda x: x["g"])
+    return rows.filter("posted_at is not null").withColumn("part", F.explode(F.when(n < SHORT, F.array(F.concat(F.lit("="), "key"))).otherwise(prefix)))
 
-def fuzzy_stream(postings: DataFrame, days: int = FUZZY_DAYS, least: float = 92.0) -> DataFrame:
-    """:data:`SEEN` for each posting of a stream: the first similar posting of the same company and another source that came
-    before and was posted in the last ``days`` days, null if there is none.
 
-    A company's state holds what was posted within the horizon of the newest posting; older postings go from it, and a
-    company that is silent for that long goes as a whole.
+class Similar(StatefulProcessor):
+    """Of a company and some of the parts of its titles: the titles that came with a part, by source, each with arrivals and dates.
+
+    Only dates that are later than those of all earlier arrivals are held, as no other can be the first in a window.  What is
+    older than the window of the newest date goes with the next rows or, by a timer on event time, without any.
+    """
+
+    def __init__(self, days: int, least: float) -> None:
+        self.span, self.least = days * DAY, least
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.titles = handle.getMapState("titles", "part string, key string, source string", "ids array<long>, times array<long>")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        held: dict[str, dict[tuple[str, str], list]] = {}
+        for (part, title, source), v in self.titles.iterator():
+            held.setdefault(part, {})[title, source] = list(zip(*v, strict=True))
+        changed, out = set(), []
+        for r in pd.concat(list(rows)).sort_values("arrival_idx").itertuples():
+            now, best = int(r.posted_at.timestamp() * 1000), None
+            mine = held.setdefault(r.part, {})
+            for (title, source), seen in mine.items():
+                n = len(title) + len(r.key)
+                if source == r.source or 200.0 * min(len(title), len(r.key)) < self.least * n:
+                    continue
+                first = next((i for i, at in seen if at >= now - self.span), None)
+                if first is not None and (best is None or first < best) and (title == r.key or 200.0 * lcs(title, r.key) >= self.least * n):
+                    best = first
+            out.append((r.arrival_idx, best))
+            seen = mine.setdefault((r.key, r.source), [])
+            if not seen or now > seen[-1][1]:
+                seen.append((r.arrival_idx, now))
+                changed.add((r.part, r.key, r.source))
+        newest = max(seen[-1][1] for mine in held.values() for seen in mine.values())
+        for k, seen in (((part, *k), seen) for part, mine in held.items() for k, seen in mine.items()):
+            kept = [x for x in seen if x[1] >= newest - 2 * self.span]  # late rows may still look back from the watermark
+            if not kept:
+                self.titles.removeKey(k)
+            elif k in changed or len(kept) < len(seen):
+                self.titles.updateValue(k, tuple(map(list, zip(*kept, strict=True))))
+        # One timer a day at most; one that rings while something newer is held does nothing.
+        self.handle.registerTimer(max(newest + 2 * self.span, timerValues.getCurrentWatermarkInMs()) // DAY * DAY + DAY)
+        yield pd.DataFrame(out, columns=["arrival_idx", "target_idx"]).astype({"target_idx": "Int64"})
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        if all(at[-1] + 2 * self.span < expiredTimerInfo.getExpiryTimeInMs() for _, (_, at) in self.titles.iterator()):
+            self.titles.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
+def similar(stream: DataFrame, days: int = FUZZY_DAYS, least: float = FUZZY_LEAST) -> DataFrame:
+    """:data:`HIT` for each posting of a stream and each part of its title: the first posting of the same company and another source
+    that came before, was posted no more than ``days`` days earlier, and has a similar title; null if there is none.
+
+    A company with very many postings is spread over ``SLOTS`` groups of the parts of their titles.  Needs the RocksDB state store.
     """
-    span = days * 86_400_000
-
-    def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        held = list(zip(*state.get, strict=True)) if state.exists else []
-        rows = pd.concat(list(frames)).sort_values("arrival_idx")
-        out = []
-        for r in rows.itertuples():
-            now = int(r.posted_at.timestamp() * 1000)
-            held = [h for h in held if h[3] >= max(now, *(x[3] for x in held)) - span] if held else held
-            hit = next((h[2] for h in held if h[1] != r.source and h[3] >= now - span and token_sort_ratio(r.title_normalized, h[0]) >= least), None)
-            out.append((key[0], r.title_normalized, r.source, r.arrival_idx, hit))
-            if hit is None:
-                held.append((r.title_normalized, r.source, r.arrival_idx, now))
-        state.update(tuple(map(list, zip(*held, strict=True))) if held else ([], [], [], []))
-        newest = max((h[3] for h in held), default=0)
-        state.setTimeoutTimestamp(max(newest + span, state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame(out, columns=[c.split()[0] for c in SEEN.split(", ")]).astype({"target_idx": "Int64"})
-
-    rows = postings.select("name_normalized", "title_normalized", "source", "arrival_idx", "posted_at").filter("posted_at is not null")
-    return rows.withWatermark("posted_at", f"{days} days").groupBy("name_normalized").applyInPandasWithState(step, SEEN, HELD, "append", GroupStateTimeout.EventTimeTimeout)
+    dealt = blocks(stream, least).withWatermark("posted_at", f"{days} days").groupBy("block", F.pmod(F.xxhash64("part"), F.lit(SLOTS)).alias("slot"))
+    return dealt.transformWithStateInPandas(Similar(days, least), HIT, "append", "eventtime")
+
+
+def write_similar(stream: DataFrame, path: str, checkpoint: str, days: int = FUZZY_DAYS, trigger: dict | None = None):
+    """Start a query that writes :data:`HIT`, a row a posting, a folder a micro-batch; one that runs again replaces its folder."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.groupBy("arrival_idx").agg(F.min("target_idx").alias("target_idx")).write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    spark, name = stream.sparkSession, "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:  # the query has taken its settings when it is started
+        return similar(stream, days).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+    finally:
+        spark.conf.set(name, before) if before else spark.conf.unset(name)
+
+
+def similar_to_completion(postings: DataFrame, slices: int = 4, days: int = FUZZY_DAYS) -> DataFrame:
+    """:data:`HIT` of postings that come in as a stream, in slices by ``arrival_idx``."""
+    spark, name = postings.sparkSession, f"similar-{uuid.uuid4().hex}"
+    rows = postings.select("name_normalized", "title_normalized", "source", "arrival_idx", "posted_at")
+    source, out = in_slices(rows, "arrival_idx", slices, "postings"), shared(spark, f"{name}-out")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", max(1, len(spark.read.parquet(source).inputFiles()) // slices)).parquet(source)
+    spark.createDataFrame([], HIT).write.parquet(f"{out}/batch=none")
+    write_similar(stream, out, shared(spark, name), days).awaitTermination()
+    return spark.read.schema(HIT).parquet(out).select("arrival_idx", "target_idx")
+
+
+def ingest_to_completion(df: DataFrame, key: str, slices: int = 4, again: int = 2) -> DataFrame:
+    """The table of rows that come in as a stream in slices by ``key``; the stream begins ``again`` times from its start."""
+    spark, name = df.sparkSession, f"ingest-{uuid.uuid4().hex}"
+    source, store = in_slices(df, key, slices, "rows"), Store(spark, shared(spark, f"{name}-tables"))
+    files = max(1, len(spark.read.parquet(source).inputFiles()) // slices)
+    for turn in range(again):
+        stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files).parquet(source)
+        ingest(stream, store, "rows", key, lambda batch: batch, shared(spark, f"{name}-{turn}")).awaitTermination()
+    return store.read("rows") if store.exists("rows") else df.limit(0)
