@@ -107,14 +107,18 @@ COMMON = "etaoinsr "
 
 def blocks(stream: DataFrame, least: float = FUZZY_LEAST) -> DataFrame:
     """A row of ``stream`` (``name_normalized``, ``title_normalized``, ``source``, ``arrival_idx``, ``posted_at``) for each numbered
-    pair of neighbouring characters in its title's prefix; two titles that are alike share one (:mod:`similarity`)."""
+    pair of neighbouring characters in its title's prefix; two titles that are alike share one (:mod:`similarity`).  Rows without a
+    date, a company or a title are left out."""
     rows = stream.select(F.col("name_normalized").alias("block"), in_order(F.col("title_normalized")).alias("key"), "source", "arrival_idx", F.col("posted_at").cast("timestamp").alias("posted_at"))
     n = F.length("key")
-    pairs = F.array_sort(F.transform(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), lambda i: F.substr("key", i, F.lit(2))))
+    sorted_pairs = F.array_sort(F.transform(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), lambda i: F.substr("key", i, F.lit(2))))
+    rows = rows.filter("posted_at is not null and block is not null and key is not null").withColumn("pairs", sorted_pairs)
+    turn = lambda g, i: (i - F.array_position("pairs", g)).cast("int")
     common = lambda g: F.length(g) - F.length(F.translate(g, COMMON, ""))
-    numbered = F.transform(pairs, lambda g, i: F.struct(common(g).alias("c"), F.xxhash64(g, i - F.array_position(pairs, g).cast("int")).alias("h"), F.concat(g, (i - F.array_position(pairs, g).cast("int")).cast("string")).alias("g")))
+    numbered = F.transform("pairs", lambda g, i: F.struct(common(g).alias("c"), F.xxhash64(g, turn(g, i)).alias("h"), F.concat(g, turn(g, i).cast("string")).alias("g")))
     prefix = F.transform(F.slice(F.array_sort(numbered), F.lit(1), lacking(n, least) + 1), lambda x: x["g"])
-    return rows.filter("posted_at is not null").withColumn("part", F.explode(F.when(n < SHORT, F.array(F.concat(F.lit("="), "key"))).otherwise(prefix)))
+    parts = rows.withColumn("part", F.explode(F.when(n < SHORT, F.array(F.concat(F.lit("="), "key"))).otherwise(prefix))).drop("pairs")
+    return parts.withColumn("slot", F.pmod(F.xxhash64("part"), F.lit(SLOTS)).cast("int"))
 
 
 class Similar(StatefulProcessor):
@@ -177,7 +181,7 @@ def similar(stream: DataFrame, days: int = FUZZY_DAYS, least: float = FUZZY_LEAS
 
     A company with very many postings is spread over ``SLOTS`` groups of the parts of their titles.  Needs the RocksDB state store.
     """
-    dealt = blocks(stream, least).withWatermark("posted_at", f"{days} days").groupBy("block", F.pmod(F.xxhash64("part"), F.lit(SLOTS)).alias("slot"))
+    dealt = blocks(stream, least).withWatermark("posted_at", f"{days} days").groupBy("block", "slot")
     return dealt.transformWithStateInPandas(Similar(days, least), HIT, "append", "eventtime")
 
 

@@ -258,34 +258,11 @@ def test_registry_and_fixtures(spark, tmp_path):
 # Streams
 
 
-def test_similar_postings_of_a_stream(spark, tmp_path):
-    rows = [("acme", "data engineer", "a", 1, NOW), ("acme", "data engineer", "b", 2, NOW + timedelta(days=1)), ("acme", "data engineer", "a", 3, NOW + timedelta(days=30)), ("acme", "nurse", "b", 4, NOW + timedelta(days=31)), ("other", "data engineer", "b", 5, NOW)]
-    schema = "name_normalized string, title_normalized string, source string, arrival_idx long, posted_at timestamp"
-    for k, part in enumerate((rows[:1], rows[1:2], rows[2:])):
-        spark.createDataFrame(part, schema).coalesce(1).write.parquet(f"file://{tmp_path}/in/{k}.parquet")
-        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(f"file://{tmp_path}/all")
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"file://{tmp_path}/all")
-    out = f"file://{tmp_path}/out"
-    spark.conf.set("spark.sql.streaming.stateStore.stateSchemaCheck", "true")
-    streaming.fuzzy_stream(stream).writeStream.format("parquet").option("path", out).option("checkpointLocation", f"file://{tmp_path}/ck").trigger(availableNow=True).start().awaitTermination()
-    assert {r["arrival_idx"]: r["target_idx"] for r in spark.read.parquet(out).collect()} == {1: None, 2: 1, 3: None, 4: None, 5: None}
-
-
 def test_daily_counts_of_nothing(spark, tmp_path):
     spark.createDataFrame([], "event_id long, event_type string, ts timestamp").write.parquet(f"file://{tmp_path}/e.parquet")
     assert streaming.daily_counts_to_completion(spark, f"file://{tmp_path}/e.parquet").count() == 0
 
 
-def test_ingestion_twice_adds_nothing(spark, tmp_path):
-    s = store.Store(spark, f"file://{tmp_path}/t", 4)
-    spark.createDataFrame([("a", 1), ("b", 2), ("a", 3)], "k string, v int").write.parquet(f"file://{tmp_path}/in")
-    for k in range(2):
-        stream = spark.readStream.schema("k string, v int").parquet(f"file://{tmp_path}/in")
-        streaming.ingest(stream, s, "t", "k", lambda df: df, f"file://{tmp_path}/ck{k}").awaitTermination()
-        assert s.read("t").count() == 2
-    assert streaming.every(4) == {"processingTime": "14400 seconds"}
-
-
 # The rest
 
 
