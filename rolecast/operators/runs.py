@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .running import running
+
 # Failures in a row that disable a provider, rules of the report, caps, and prices per million tokens.
 FAILURES, MOST_ERRORS, DAILY_CALLS, MONTHLY_JOBS = 3, 100, 240, 250
 OWN_TOTALS = {"URL_INVALID": "total_url_invalid", "SOFT_404": "total_expired_detected", "DUPLICATE": "total_skipped_duplicate"}
@@ -66,16 +68,18 @@ def source_quality(jobs: DataFrame) -> DataFrame:
 
 def daily_allowed(calls: DataFrame, cap: int = DAILY_CALLS) -> DataFrame:
     """Adds ``allowed``: whether a call is within its provider's budget of the day; no positive cap is no cap."""
-    w = Window.partitionBy("provider", F.to_date("ts")).orderBy("ts", "id")
-    return calls.withColumn("allowed", F.lit(cap <= 0) | (F.row_number().over(w) <= cap))
+    if cap <= 0:
+        return calls.withColumn("allowed", F.lit(True))
+    numbered = running(calls, [F.col("provider"), F.to_date("ts")], ["ts", "id"], F.lit(1), "_before")
+    return numbered.withColumn("allowed", F.col("_before") < cap).drop("_before")
 
 
 def monthly_budget(pages: DataFrame, cap: int = MONTHLY_JOBS) -> DataFrame:
     """Adds ``taken``: how many of a page's jobs fit into what is left of the month's budget."""
-    w = Window.partitionBy("provider", F.date_trunc("month", "ts")).orderBy("ts", "id").rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum("n").over(w), F.lit(0))
-    taken = F.col("n") if cap <= 0 else F.greatest(F.lit(0), F.least(F.col("n"), F.lit(cap) - before))
-    return pages.withColumn("taken", taken.cast("long"))
+    if cap <= 0:
+        return pages.withColumn("taken", F.col("n").cast("long"))
+    summed = running(pages, [F.col("provider"), F.date_trunc("month", "ts")], ["ts", "id"], F.col("n"), "_before")
+    return summed.withColumn("taken", F.greatest(F.lit(0), F.least(F.col("n"), F.lit(cap) - F.col("_before"))).cast("long")).drop("_before")
 
 
 def price(model: Column) -> tuple[Column, Column]:
@@ -102,6 +106,14 @@ def accuracy(pairs: DataFrame) -> DataFrame:
     return pairs.agg(F.count("*").alias("n"), F.avg((F.col("expected") == F.col("actual")).cast("double")).alias("accuracy"), F.avg(F.abs(F.col("expected_value") - F.col("actual_value"))).alias("mae"))
 
 
+def salary_error(pairs: DataFrame) -> DataFrame:
+    """The mean error over all ends of salaries (``expected_min``, ``actual_min``, ``expected_max``, ``actual_max``): each end that both
+    sides have counts once, null if there is none; with ``n``, how many that are."""
+    ends = pairs.select(*(F.struct(F.col(f"expected_{e}").cast("double").alias("e"), F.col(f"actual_{e}").cast("double").alias("a")).alias(e) for e in ("min", "max"))).unpivot([], ["min", "max"], "end", "pair")
+    known = ends.filter("pair.e is not null and pair.a is not null")
+    return known.agg(F.count("*").alias("n"), F.avg(F.abs(F.col("pair.e") - F.col("pair.a"))).alias("mae"))
+
+
 def budget_used(events: DataFrame, by: str = "day") -> DataFrame:
     """What a provider has used of its budget: the sum of its events, a row an increment, by ``day`` or ``month``."""
     period = F.to_date("ts") if by == "day" else F.to_date(F.date_trunc("month", "ts"))
@@ -113,10 +125,10 @@ def within_budget(records: DataFrame, used: DataFrame, cap: int = MONTHLY_JOBS,
 
     A page is never asked for more than is left, so the last one may be short; no positive cap is no cap.
     """
-    w = Window.partitionBy("provider").orderBy("seq")
-    left = records.join(used.groupBy("provider").agg(F.sum("used").alias("_used")), "provider", "left").withColumn("_rn", F.row_number().over(w))
-    allowed = F.lit(cap <= 0) | (F.col("_rn") <= F.lit(cap) - F.coalesce("_used", F.lit(0)))
-    return left.filter(allowed).withColumn("page_no", F.floor((F.col("_rn") - 1) / page).cast("int")).drop("_used", "_rn")
+    numbered = running(records, [F.col("provider")], ["seq"], F.lit(1), "_before")
+    left = numbered.join(used.groupBy("provider").agg(F.sum("used").alias("_used")), "provider", "left")
+    allowed = F.lit(cap <= 0) | (F.col("_before") < F.lit(cap) - F.coalesce("_used", F.lit(0)))
+    return left.filter(allowed).withColumn("page_no", F.floor(F.col("_before") / page).cast("int")).drop("_used", "_before").select(*records.columns, "page_no")
 
 
 def source_records(fetched: DataFrame, postings: DataFrame, invalid: DataFrame, jobs: DataFrame, started: Column, completed: Column, report_id: str | None = None, languages: str = "", dry_run: bool = False) -> DataFrame:

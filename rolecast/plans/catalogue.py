@@ -453,6 +453,18 @@ def monthly_budget_cutoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.monthly_budget(pages).select(F.col("id").alias("event_id"), "taken")
 
 
+@query(f"""WITH {RAW_JOBS}, e AS (SELECT *, CASE WHEN arrival_idx % 4 <> 1 THEN salary_min END AS emin, CASE WHEN arrival_idx % 5 <> 2 THEN salary_max END AS emax, CASE WHEN arrival_idx % 3 <> 0 THEN length(description) * 10 END AS amin, CASE WHEN arrival_idx % 7 <> 0 THEN length(title) * 1000 END AS amax FROM raw_jobs),
+ d AS (SELECT abs(emin - amin) AS x FROM e WHERE emin IS NOT NULL AND amin IS NOT NULL UNION ALL SELECT abs(emax - amax) FROM e WHERE emax IS NOT NULL AND amax IS NOT NULL) SELECT count(*) AS n, avg(x)::DOUBLE AS mae FROM d""")
+def baseline_salary_error(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both ends of a salary, with nulls on either side; the model's are made of the texts' lengths."""
+    c, i = F.col, F.col("arrival_idx")
+    rows = a.raw_jobs(spark, sf_dir).select(
+        F.when(i % 4 != 1, c("salary_min")).alias("expected_min"), F.when(i % 5 != 2, c("salary_max")).alias("expected_max"),
+        F.when(i % 3 != 0, F.length("description") * 10).alias("actual_min"), F.when(i % 7 != 0, F.length("title") * 1000).alias("actual_max"),
+    )
+    return runs.salary_error(rows)
+
+
 @query("SELECT count(*) AS n, avg((quality = toxic)::INT)::DOUBLE AS accuracy, avg(abs(quality - toxic))::DOUBLE AS mae FROM labels")
 def baseline_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.accuracy(a.read(spark, sf_dir, "labels").select(F.col("quality").alias("expected"), F.col("toxic").alias("actual"), F.col("quality").alias("expected_value"), F.col("toxic").alias("actual_value")))
