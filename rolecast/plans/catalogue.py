@@ -197,30 +197,55 @@ def per_source_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.source_quality(gated(spark, sf_dir))
 
 
-TERMS = "[" + ", ".join(f"'{x}'" for x in ("the", "und", "de", "and", "of", "la")) + "]"
 #: White space in the sense of Unicode, and the four separators.
 BLANK = r"[\t-\r\x1c-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
 TOKENS = f"list_filter(regexp_split_to_array(text, '{BLANK}'), lambda w: w <> '')"
-LEXICON = ("the", "und", "de", "and", "of", "la")
+#: Terms of one to three words: those that the items of the benchmark begin with, and some frequent ones.
+FREQUENT = ("the", "und", "de", "and", "of", "la", "of the", "to the", "The  AND", "in the of")
+LEXICON = rf"""lexicon AS MATERIALIZED (SELECT DISTINCT trim(regexp_replace(lower(term), '{BLANK}', ' ', 'g')) AS term FROM (SELECT unnest([array_to_string(w[1:1], ' '), array_to_string(w[1:2], ' '), array_to_string(w[2:4], ' ')]) AS term FROM (SELECT {TOKENS} AS w FROM benchmark)
+ UNION ALL SELECT unnest([{", ".join(f"'{x}'" for x in FREQUENT)}])) WHERE trim(term) <> '')"""
 
 
 def token_skills(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The words of the whole text."""
-    return a.read(spark, sf_dir, "documents").select("doc_id", F.filter(F.split("text", r"(?U)[\s\x1C-\x1F]+"), lambda w: w != "").alias("skills"))
+    return a.read(spark, sf_dir, "documents").select("doc_id", F.filter(F.split("text", skills.BLANK), lambda w: w != "").alias("skills"))
 
 
-@query(f"SELECT doc_id, array_to_string(list_filter(s, lambda w: list_contains({TERMS}, lower(trim(w)))), ',') AS technical, array_to_string(list_filter(s, lambda w: NOT list_contains({TERMS}, lower(trim(w)))), ',') AS other FROM (SELECT doc_id, {TOKENS} AS s FROM documents)")
+def lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    w = F.filter(F.split("text", skills.BLANK), lambda w: w != "")
+    part = lambda i, n: F.concat_ws(" ", F.slice("w", i, n))
+    own = a.read(spark, sf_dir, "benchmark").select(w.alias("w")).select(F.explode(F.array(part(1, 1), part(1, 2), part(2, 3))).alias("term"))
+    return skills.as_lexicon(own.unionByName(spark.createDataFrame([(x,) for x in FREQUENT], "term string")))
+
+
+@query(f"WITH {LEXICON} SELECT doc_id, coalesce(string_agg(w, ',' ORDER BY i) FILTER (term IS NOT NULL), '') AS technical, md5(coalesce(string_agg(w, ',' ORDER BY i) FILTER (term IS NULL), '')) AS other_md5 FROM (SELECT doc_id, unnest(s) AS w, unnest(range(len(s))) AS i FROM (SELECT doc_id, CASE WHEN len(s) = 0 THEN [NULL] ELSE s END AS s FROM (SELECT doc_id, {TOKENS} AS s FROM documents))) LEFT JOIN lexicon ON term = lower(trim(w)) GROUP BY doc_id")
 def skill_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = F.col("skills")
-    return token_skills(spark, sf_dir).select("doc_id", F.array_join(skills.technical(s, LEXICON), ",").alias("technical"), F.array_join(skills.other(s, LEXICON), ",").alias("other"))
+    """The words of whole texts against a lexicon of hundreds of terms."""
+    found = skills.split(token_skills(spark, sf_dir), "skills", lexicon(spark, sf_dir), "doc_id")
+    return found.select("doc_id", F.array_join("technical", ",").alias("technical"), F.md5(F.array_join("other", ",")).alias("other_md5"))
+
+
+@query(f"""WITH {LEXICON}, t AS (SELECT doc_id, unnest(w) AS a, unnest(range(len(w))) AS i FROM (SELECT doc_id, {TOKENS.replace('text', 'lower(text)')} AS w FROM documents)),
+ w AS MATERIALIZED (SELECT doc_id, a, lead(a, 1) OVER (PARTITION BY doc_id ORDER BY i) AS b, lead(a, 2) OVER (PARTITION BY doc_id ORDER BY i) AS c FROM t),
+ g AS (SELECT doc_id, a AS term FROM w UNION ALL SELECT doc_id, a || ' ' || b FROM w UNION ALL SELECT doc_id, a || ' ' || b || ' ' || c FROM w) SELECT doc_id, term, count(*) AS n FROM g JOIN lexicon USING (term) GROUP BY ALL""")
+def skill_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Terms of one to three words in whole texts."""
+    return skills.mentions(a.read(spark, sf_dir, "documents"), "text", lexicon(spark, sf_dir), "doc_id")
+
+
+FIRST_LINE = f"list_filter(regexp_split_to_array(split_part(text, chr(10), 1), '{BLANK}'), lambda w: w <> '')"
 
 
 @query(f"""SELECT doc_id, CASE WHEN len(list_distinct(list_concat(e, a))) = 0 THEN 1.0 ELSE len(list_intersect(e, a)) / len(list_distinct(list_concat(e, a))) END::DOUBLE AS jaccard,
  CASE WHEN len(a) = 0 THEN 0.0 ELSE len(list_intersect(e, a)) / len(a) END::DOUBLE AS prec, CASE WHEN len(e) = 0 THEN 1.0 ELSE len(list_intersect(e, a)) / len(e) END::DOUBLE AS rec
- FROM (SELECT doc_id, list_distinct(list_transform(s, lambda w: lower(w))) AS e, list_distinct(list_transform(list_slice(s, 1, 5), lambda w: lower(w))) AS a FROM (SELECT doc_id, {TOKENS} AS s FROM documents))""")
+ FROM (SELECT doc_id, list_distinct(list_transform(e, lambda w: lower(w))) AS e, list_distinct(list_transform(a, lambda w: lower(w))) AS a FROM (SELECT doc_id, {FIRST_LINE} AS e, {FIRST_LINE.replace("split_part(text, chr(10), 1)", "substr(text, length(split_part(text, chr(10), 1)) + 1)")} AS a FROM documents))""")
 def skill_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e, b = F.col("skills"), F.slice("skills", 1, 5)
-    return token_skills(spark, sf_dir).select("doc_id", skills.jaccard(e, b).alias("jaccard"), skills.precision(e, b).alias("prec"), skills.recall(e, b).alias("rec"))
+    """The words of the first line against those of all other lines."""
+    first = F.split_part("text", F.lit("\n"), F.lit(1))
+    words = lambda c: F.filter(F.split(c, skills.BLANK), lambda w: w != "")
+    rows = a.read(spark, sf_dir, "documents").select("doc_id", words(first).alias("e"), words(F.substr("text", F.length(first) + 1)).alias("a"))
+    e, b = F.col("e"), F.col("a")
+    return rows.select("doc_id", skills.jaccard(e, b).alias("jaccard"), skills.precision(e, b).alias("prec"), skills.recall(e, b).alias("rec"))
 
 
 # Duplicates
