@@ -1,8 +1,10 @@
-"""Language detection for the prefilter: common words and letters vote; six languages are known, the rest is ``other``."""
+"""Language detection for the prefilter where there are no labelled texts to make profiles of (:mod:`profiles`): common words
+and letters vote; six languages are known, the rest is ``other``."""
 
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column
@@ -59,7 +61,8 @@ def detect_language(c: Column, chars: int = 2000) -> Column:
     return _detect(F.substring(c, 1, chars))
 
 
-def supported(declared: Column, description: Column) -> Column:
-    """A declared language that is known is trusted; only other rows are detected."""
+def supported(declared: Column, description: Column, detect: Callable[[Column], Column] | None = None) -> Column:
+    """A declared language that is known is trusted; only other rows are detected: by ``detect``, which gives a struct with ``lang``
+    (such as that of :mod:`profiles`), or without one by words."""
     trusted = F.coalesce(F.lower(declared).isin(*SUPPORTED_LANGUAGES), F.lit(False))
-    return trusted | F.coalesce(detect_language(F.when(~trusted, description))["lang"].isin(*SUPPORTED_LANGUAGES), F.lit(False))
+    return trusted | F.coalesce((detect or detect_language)(F.when(~trusted, description))["lang"].isin(*SUPPORTED_LANGUAGES), F.lit(False))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,8 +15,9 @@ NO_COMPANY = ("", "unknown", "n/a", "none")
 LEAST_CHARS, MOST_DAYS = 200, 60
 
 
-def prefilter(df: DataFrame, as_of: Column) -> DataFrame:
-    """Built-in rules come first; the language of a text is detected only where they passed and none is declared."""
+def prefilter(df: DataFrame, as_of: Column, detect: Callable[[Column], Column] | None = None) -> DataFrame:
+    """Built-in rules come first; the language of a text is detected only where they passed and none is declared, by ``detect`` (that
+    of :mod:`profiles`, for one)."""
     missing = F.lit("MISSING_REQUIRED_FIELDS")
     cheap = F.coalesce(
         F.when(t.strip(t.text("title")) == "", missing),
@@ -26,7 +29,7 @@ def prefilter(df: DataFrame, as_of: Column) -> DataFrame:
         F.when(F.length(t.text("description")) < LEAST_CHARS, F.lit("DESCRIPTION_TOO_SHORT")),
     )
     left = F.col("_cheap").isNull()
-    foreign = F.when(left & ~supported(F.col("original_language"), F.when(left, t.text("description"))), F.lit("LANGUAGE_NOT_SUPPORTED"))
+    foreign = F.when(left & ~supported(F.col("original_language"), F.when(left, t.text("description")), detect), F.lit("LANGUAGE_NOT_SUPPORTED"))
     spam = F.when(t.spam_title(F.col("title")), F.lit("SUSPECTED_SPAM"))
     return df.withColumn("_cheap", cheap).withColumn("prefilter_reason", F.coalesce("_cheap", foreign, spam)).drop("_cheap")
 
