@@ -52,12 +52,12 @@ def _falling(reason: str, n: str):
 
 
 def duplicate_ids(df: DataFrame, field: str, id_col: str) -> DataFrame:
-    """Values that several rows have, with how many, the newest row's id, and the ids of the others in falling order.
+    """Of values that several rows have, a row for each that is to go: ``field``, its id, ``n`` rows in all, and ``kept``, the newest one's id.
 
-    The ids of a value are collected, as they are the result; ``without_duplicates`` does not need them.
+    Rows of a value are counted before the shuffle and joined back, so no value needs all its ids in one place.  Rows that repeat the newest id stay.
     """
-    groups = df.filter(F.col(field).isNotNull()).groupBy(field).agg(F.count("*").alias("n"), F.sort_array(F.collect_list(id_col), asc=False).alias("_ids")).filter("n > 1")
-    return groups.select(field, "n", F.get("_ids", F.lit(0)).alias("kept"), F.expr("slice(_ids, 2, size(_ids))").alias("deleted"))
+    groups = df.filter(F.col(field).isNotNull()).groupBy(field).agg(F.count("*").alias("n"), F.max(id_col).alias("kept")).filter("n > 1")
+    return df.join(groups, field).filter(F.col(id_col) != F.col("kept")).select(field, id_col, "n", "kept")
 
 
 def without_duplicates(df: DataFrame, field: str, id_col: str) -> tuple[DataFrame, DataFrame]:

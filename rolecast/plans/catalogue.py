@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from ..functions import html, quality, skills
 from ..functions import profiles as language_profiles
 from ..functions import text as t
-from ..operators import ai, companies, dedupe, gate, liveness, prefilter, resolve, runs, stats
+from ..operators import ai, companies, dedupe, gate, layout, liveness, prefilter, resolve, runs, stats
+from ..shared import scratch
 from ..streaming import postings as streaming
 from . import adapters as a
 from .adapters import AS_OF, AS_OF_ORDERS, CLASSIFIED, HASHED, NORM, PARTS, RAW_JOBS, RUNS, STORED, hashed, parts
@@ -370,6 +371,24 @@ def max_age_expire(spark: SparkSession, sf_dir: str) -> DataFrame:
     return liveness.expire_by_age(a.stored_jobs(spark, sf_dir), a.as_of(AS_OF_ORDERS)).select("job_id", "status", "reject_reason")
 
 
+@query(f"WITH {STORED} SELECT job_id, status FROM stored WHERE status IN ('active', 'valid', 'premium') AND (last_probed_at IS NULL OR last_probed_at < TIMESTAMP '1995-10-01 12:00:00')")
+def due_jobs_arranged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All live jobs that were never probed, or last before a time, from a table arranged by that: it reads the months before that."""
+    path = scratch(spark, "arranged")
+    layout.arrange(a.stored_jobs(spark, sf_dir), path, "last_probed_at", ["status"])
+    due = layout.before(layout.read(spark, path), "last_probed_at", "1995-10-01 12:00:00", or_null=True)
+    return due.filter(F.col("status").isin(*liveness.LIVE_STATUSES)).select("job_id", "status")
+
+
+@query(f"WITH {STORED} SELECT job_id, status FROM stored WHERE posted_at < TIMESTAMP '1995-09-15' AND status IN ('active', 'valid', 'premium') AND last_probed_at IS NULL")
+def old_jobs_arranged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Live jobs beyond their age that were never probed, from a table arranged by the date of posting."""
+    path = scratch(spark, "arranged")
+    layout.arrange(a.stored_jobs(spark, sf_dir), path, "posted_at", ["status"])
+    old = layout.before(layout.read(spark, path), "posted_at", "1995-09-15 00:00:00")
+    return old.filter(liveness.max_age_expired(F.lit("1995-11-14").cast("timestamp"))).select("job_id", "status")
+
+
 PROBES = """probes AS (SELECT event_id, list_extract([200, 301, 404, 410, 500, 451, 302], CAST(event_id % 7 AS INT) + 1) AS code, CASE WHEN event_id % 2 = 0 THEN 'https://x.example.com/expired' ELSE 'https://x.example.com/other' END AS loc,
  CASE WHEN event_id % 31 = 0 THEN 'redirect_loop' WHEN event_id % 29 = 0 THEN 'http_error' END AS err FROM events)"""
 

@@ -11,6 +11,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.running import running
 from ..sources import payloads, registry
 from . import adapters as a
 from .registered import query
@@ -136,13 +137,27 @@ def keyword_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return payloads.canonical(records_of(spark, sf_dir, "arbeitnow"), "arbeitnow", keyword="About EN").agg(F.count("*").alias("n"), F.min("url").alias("lo"))
 
 
-@query(f"WITH {VIEW}, p AS (SELECT 'Adzuna' AS source, doc_id, url FROM d WHERE title <> '' UNION ALL SELECT 'Remotive', doc_id, url FROM d WHERE title <> '') SELECT source, url, row_number() OVER (ORDER BY source, doc_id) AS place FROM (SELECT * FROM p QUALIFY row_number() OVER (PARTITION BY source ORDER BY doc_id) <= 40) ORDER BY place LIMIT 60")
+@query(f"WITH {VIEW}, p AS (SELECT 'Adzuna' AS source, doc_id, url FROM d WHERE title <> '' UNION ALL SELECT 'Remotive', doc_id, url FROM d WHERE title <> '') SELECT source, url, row_number() OVER (ORDER BY source, doc_id) AS place FROM p")
 def source_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Postings of two sources as one batch in order of arrival, with the limits of the import command."""
-    from pyspark.sql import Window
+    """All postings of two sources as one batch, numbered in order of arrival."""
+    both = payloads.union_all([postings(spark, sf_dir, "adzuna"), postings(spark, sf_dir, "remotive")])
+    numbered = running(both.select("source", "url", "arrival_idx"), [F.lit(0)], ["arrival_idx"], F.lit(1), "_before")
+    return numbered.select("source", "url", (F.col("_before") + 1).cast("long").alias("place"))
 
-    both = payloads.union_all([postings(spark, sf_dir, "adzuna"), postings(spark, sf_dir, "remotive")], limit_each=40, limit=60)
-    return both.select("source", "url", F.row_number().over(Window.orderBy("arrival_idx")).cast("long").alias("place"))
+
+#: Records as they come: some are torn in the middle, some are no records at all.
+TORN = "CASE WHEN n % 13 = 5 THEN 'torn' WHEN n % 17 = 3 THEN 'none' ELSE 'whole' END"
+
+
+@query(f"WITH {VIEW}, r AS (SELECT source, {TORN} AS kind FROM (SELECT d.*, documents.source FROM d JOIN documents USING (doc_id))) SELECT source, count(*) FILTER (kind = 'whole') AS jobs_fetched, count(*) FILTER (kind <> 'whole') AS n_torn, CASE WHEN count(*) FILTER (kind = 'whole') = 0 THEN 'CONNECTOR_CRASH' END AS failure_reason FROM r GROUP BY 1")
+def torn_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of all sources in one pass; a torn one is counted, and breaks nothing else."""
+    record = F.to_json(F.expr(CASES["remotive"].record), {"ignoreNullFields": "true"})
+    kind = F.expr(TORN)
+    rows = a.read(spark, sf_dir, "documents").selectExpr(*FIELDS, "source").withColumn("record", record)
+    raw = rows.select("source", F.when(kind == "torn", F.substring("record", 1, 40)).when(kind == "none", "<html>busy</html>").otherwise(F.col("record")).alias("record"))
+    _, log = registry.parsed(raw, "remotive")
+    return log.select("source", "jobs_fetched", "n_torn", "failure_reason")
 
 
 @query("SELECT lower(n_name) AS slug FROM nation LEFT JOIN (SELECT n_nationkey AS k, n_nationkey % 2 = 0 AS db FROM nation WHERE n_nationkey % 3 <> 0) p ON p.k = n_nationkey WHERE n_nationkey % 5 <> 0 AND coalesce(db, n_nationkey < 12) AND lower(n_name) NOT IN ('france', 'china')")

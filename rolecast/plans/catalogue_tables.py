@@ -30,7 +30,7 @@ def md5_of(c: str) -> F.Column:
  SELECT dedup_hash, arrival_idx, md5(title) AS title_md5 FROM n UNION ALL SELECT dedup_hash, arrival_idx, md5(title) FROM o WHERE dedup_hash NOT IN (SELECT dedup_hash FROM n)""")
 def upsert_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Through the store: the stored weeks, then the batch, which replaces rows of equal hashes."""
-    batch, stored = (x.select("dedup_hash", "arrival_idx", md5_of("title")) for x in parts(spark, sf_dir))
+    batch, stored = (cut(x.select("dedup_hash", "arrival_idx", md5_of("title")), "rows") for x in parts(spark, sf_dir))
     s, order = tables.Store(spark, scratch(spark, "store"), 8), [F.col("arrival_idx")]
     s.merge("jobs", stored, "dedup_hash", order)
     s.merge("jobs", batch, "dedup_hash", order)
@@ -41,7 +41,7 @@ def upsert_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
  UNION ALL (SELECT dedup_hash, arrival_idx FROM b WHERE dedup_hash NOT IN (SELECT dedup_hash FROM s) QUALIFY row_number() OVER (PARTITION BY dedup_hash ORDER BY arrival_idx) = 1)""")
 def insert_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows that only come in where their hash is not stored; what was added a second time adds nothing."""
-    batch, stored = (x.select("dedup_hash", "arrival_idx") for x in parts(spark, sf_dir))
+    batch, stored = (cut(x.select("dedup_hash", "arrival_idx"), "rows") for x in parts(spark, sf_dir))
     s, order = tables.Store(spark, scratch(spark, "store"), 8), [F.col("arrival_idx")]
     s.merge("jobs", stored, "dedup_hash", order, absent=True)
     for _ in range(2):
@@ -80,10 +80,10 @@ def disabled_providers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.disable(stored, off, a.as_of()).select("slug", "name", "enabled", "disabled_reason")
 
 
-@query("SELECT text_md5, count(*) AS n, max(doc_id) AS kept, array_to_string(list_slice(list_sort(list(doc_id), 'DESC'), 2, count(*)), ',') AS deleted FROM (SELECT doc_id, md5(text) AS text_md5 FROM documents WHERE text IS NOT NULL) GROUP BY 1 HAVING count(*) > 1")
+@query("SELECT text_md5, doc_id, n, kept FROM (SELECT doc_id, md5(text) AS text_md5, count(*) OVER (PARTITION BY text) AS n, max(doc_id) OVER (PARTITION BY text) AS kept FROM documents WHERE text IS NOT NULL) WHERE n > 1 AND doc_id <> kept")
 def duplicate_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = links.duplicate_ids(a.read(spark, sf_dir, "documents").select("doc_id", md5_of("text")), "text_md5", "doc_id")
-    return found.select("text_md5", "n", "kept", F.array_join(F.transform("deleted", lambda x: x.cast("string")), ",").alias("deleted"))
+    """A row for each document to be deleted, with the one that is kept for it."""
+    return links.duplicate_ids(a.read(spark, sf_dir, "documents").select("doc_id", md5_of("text")), "text_md5", "doc_id")
 
 
 @query("SELECT (SELECT count(*) FROM documents) - count(DISTINCT text) - count(*) FILTER (text IS NULL) AS deleted, count(DISTINCT text) + count(*) FILTER (text IS NULL) AS kept FROM documents")
@@ -298,12 +298,12 @@ def small_predicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("SELECT page_id, CASE WHEN page_id % 4 < 2 THEN page_id % 90 + 0.5 END::DOUBLE AS lat, CASE WHEN page_id % 4 < 2 THEN 'Name ' || page_id END AS formatted_address, CASE page_id % 4 WHEN 0 THEN 'Town' WHEN 1 THEN 'City' END AS city, CASE WHEN page_id % 4 < 2 THEN 'IT' END AS country FROM pages WHERE page_id % 90 < 89")
+@query("SELECT page_id, CASE WHEN page_id % 4 < 2 THEN page_id % 90 + 0.5 END::DOUBLE AS lat, CASE WHEN page_id % 4 < 2 THEN 'Name ' || page_id END AS formatted_address, CASE page_id % 4 WHEN 0 THEN 'Town' WHEN 1 THEN 'City' END AS city, CASE WHEN page_id % 4 < 2 THEN 'IT' END AS country FROM pages")
 def geocoded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Points of JSON answers: without a point, or with one off the globe, there is none."""
     i = F.col("page_id")
     text = F.format_string('[{"lat":"%s","lon":"%s","display_name":"Name %s","address":{%s,"country_code":"it"}}]', (i % 90 + 0.5).cast("string"), F.when(i % 4 == 2, "x").otherwise("9.25"), i.cast("string"), F.when(i % 4 == 0, '"town":"Town","village":"V"').otherwise('"city":"City","town":"Town"'))
-    found = a.read(spark, sf_dir, "pages").filter(i % 90 < 89).select("page_id", geocode.answer(F.when(i % 4 == 3, "[]").otherwise(text), F.lit("address")).alias("g"))
+    found = a.read(spark, sf_dir, "pages").select("page_id", geocode.answer(F.when(i % 4 == 3, "[]").otherwise(text), F.lit("address")).alias("g"))
     return found.select("page_id", "g.lat", "g.formatted_address", "g.city", "g.country")
 
 

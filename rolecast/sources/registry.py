@@ -65,6 +65,22 @@ def isolated(names: list[str], read: Callable[[str], DataFrame], spark: SparkSes
     return parts, log.withColumn("failure_reason", F.when(F.col("crash_reason").isNotNull(), t.failure_class(F.col("crash_reason"))))
 
 
+def parsed(raw: DataFrame, kind: str) -> tuple[DataFrame, DataFrame]:
+    """Records (``source``, ``record``, a JSON text) as ``payloads.canonical`` takes them, without those that are torn; and a row a
+    source: how many came whole (``jobs_fetched``) and torn (``n_torn``), and why it failed, if none came whole.
+
+    Both are plans: no source is read to find out whether it breaks, and a torn record is a row like any other.  A null or empty
+    record is torn; a field of another type than it should have is null, and its record torn, too.
+    """
+    shape = payloads.SOURCES[kind].record
+    fields = shape if isinstance(shape, str) else shape.simpleString()[len("struct<") : -1]
+    found = raw.withColumn("_r", F.from_json("record", f"{fields}, _torn string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_torn"}))
+    found = found.withColumn("_whole", F.coalesce(F.col("_r").isNotNull() & F.col("_r._torn").isNull() & (F.trim("record") != ""), F.lit(False)))
+    log = found.groupBy("source").agg(F.count_if("_whole").alias("jobs_fetched"), F.count_if(~F.col("_whole")).alias("n_torn"))
+    log = log.withColumn("crash_reason", F.when(F.col("jobs_fetched") == 0, F.format_string("%d torn records", "n_torn")))
+    return found.filter("_whole").drop("_whole", "record"), log.withColumn("failure_reason", F.when(F.col("crash_reason").isNotNull(), t.failure_class(F.col("crash_reason"))))
+
+
 #: Sources whose jobs a month are limited.
 METERED = ("active_jobs_db", "workday_jobs", "startup_jobs")
 

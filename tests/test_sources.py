@@ -4,6 +4,7 @@ import pytest
 
 from rolecast.schemas import CANONICAL
 from rolecast.sources import payloads as p
+from rolecast.sources import registry
 
 BASE = {"title": "Data Engineer", "company_name": "ACME", "url": "https://a/1"}
 RAPID = [{"id": "7", "job_title": "Data Engineer", "organization": "ACME", "url": "https://a/1", "description": "d", "location": "Rome", "date_posted": "2024-03-05T10:00:00Z", "salary_min": "10.9", "currency": "EUR"}]
@@ -77,3 +78,11 @@ def test_keywords_union_and_gates(spark, tmp_path):
     assert [r["slug"] for r in p.enabled_sources(registry, providers, ["a"], ["d"]).collect()] == ["d"]
     assert p.sweep(registry.select("slug"), providers.select("enabled")).count() == 8
     assert p.validate(one.limit(1).withColumn("url", one["url"].substr(1, 0)).drop("description").withColumn("description", one["currency"])).first()["missing"] == ["description"]
+
+
+def test_torn_records_are_counted_and_break_nothing(spark):
+    rows = [("a", '{"id": "1", "title": "T", "url": "https://x"}'), ("a", '{"id": "2", "title": "T'), ("a", ""), ("a", None), ("b", "<html>"), ("b", "[1"), ("c", '{"id": "3", "title": {"no": "text"}, "url": 5}'), ("c", "{}")]
+    whole, log = registry.parsed(spark.createDataFrame(rows, "source string, record string"), "remotive")
+    got = {r["source"]: (r["jobs_fetched"], r["n_torn"], r["failure_reason"]) for r in log.collect()}
+    assert got["a"] == (1, 3, None) and got["b"] == (0, 2, "CONNECTOR_CRASH") and sum(got["c"][:2]) == 2
+    assert whole.filter("source = 'a'").count() == 1 and whole.filter("source = 'b'").count() == 0
