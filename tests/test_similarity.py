@@ -49,9 +49,8 @@ def test_few_candidates_meet(spark):
         base = " ".join(sorted(word() for _ in range(6)))
         rows += [("acme", base[:k] + "z" + base[k:]) for k in rng.sample(range(len(base)), 10)]
     df = spark.createDataFrame(rows, "block string, key string")
-    keys = df.distinct().withColumns({"on_left": F.lit(True), "on_right": F.lit(True)})
     found = sim.alike(df, df, 92.0).filter("a <> b").count()
-    assert found >= 200 * 50 and sim.candidates(keys, 92.0).count() <= 5 * found
+    assert found >= 200 * 50 and sim.candidates(sim.sides(df, df), 92.0).count() <= 5 * found
 
 
 def test_lengths_that_the_bound_allows():
