@@ -69,18 +69,21 @@ def split(df: DataFrame, skills: str, lexicon: DataFrame, key: str, most: int =
 def mentions(df: DataFrame, text: str, lexicon: DataFrame, key: str) -> DataFrame:
     """``key``, ``term`` and ``n``: how often each term of the lexicon (``term``, ``n_words``) stands in a text, whatever its case.
 
-    Runs of as many words as terms have are joined with the lexicon by the term; terms may overlap.  The runs of a text
-    are made one word after the other, so they take space in proportion to it.
+    Runs of as many words as terms have, from words that begin one, are joined with the lexicon by the term; terms may overlap.
+    The runs of a text are made one word after the other, so they take space in proportion to it.
     """
     longest = lexicon.agg(F.coalesce(F.max("n_words"), F.lit(0)).alias("n")).first()["n"]
     if not longest:
         return df.select(key, F.lit(None).cast("string").alias("term"), F.lit(0).cast("long").alias("n")).limit(0)
     words = F.filter(F.split(F.lower(F.col(text)), BLANK), lambda w: w != "")
-    tokens = df.select(key, words.alias("_w"))
-    run = lambda w, i, n: F.concat_ws(" ", w, *(F.get("_w", i + k) for k in range(1, n)))
-    whole = lambda i, n: i + n <= F.size("_w")
-    runs = F.transform("_w", lambda w, i: F.array(*(F.when(whole(i, n), run(w, i, n)) for n in range(1, longest + 1))))
-    found = tokens.select(key, F.explode(F.flatten(runs)).alias("term")).join(lexicon.select("term"), "term")
+    tokens = df.select(key, F.explode(F.array(words)).alias("_w"))  # a row as before; the words are made once
+    ahead = F.arrays_zip(*(F.slice("_w", k + 1, F.size("_w")) for k in range(longest)))
+    rows = tokens.select(key, F.explode(ahead).alias("z")).select(key, *(F.col("z")[str(k)].alias(f"_{k}") for k in range(longest)))
+    first = [r["w"] for r in lexicon.select(F.split_part("term", F.lit(" "), F.lit(1)).alias("w")).distinct().limit(MOST_TERMS + 1).collect()]
+    if len(first) <= MOST_TERMS:  # most words begin no term
+        rows = rows.filter(F.col("_0").isin(*first))
+    runs = F.array(F.col("_0"), *(F.when(F.col(f"_{n}").isNotNull(), F.concat_ws(" ", *(F.col(f"_{k}") for k in range(n + 1)))) for n in range(1, longest)))
+    found = rows.select(key, F.explode(runs).alias("term")).join(lexicon.select("term"), "term")
     return found.groupBy(key, "term").agg(F.count("*").alias("n"))
 
 

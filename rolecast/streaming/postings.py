@@ -112,7 +112,8 @@ def blocks(stream: DataFrame, least: float = FUZZY_LEAST) -> DataFrame:
     rows = stream.select(F.col("name_normalized").alias("block"), in_order(F.col("title_normalized")).alias("key"), "source", "arrival_idx", F.col("posted_at").cast("timestamp").alias("posted_at"))
     n = F.length("key")
     sorted_pairs = F.array_sort(F.transform(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), lambda i: F.substr("key", i, F.lit(2))))
-    rows = rows.filter("posted_at is not null and block is not null and key is not null").withColumn("pairs", sorted_pairs)
+    rows = rows.filter("posted_at is not null and block is not null and key is not null")
+    rows = rows.withColumn("pairs", F.explode(F.array(sorted_pairs)))  # a row as before; the pairs are made once, not for each of them
     turn = lambda g, i: (i - F.array_position("pairs", g)).cast("int")
     common = lambda g: F.length(g) - F.length(F.translate(g, COMMON, ""))
     numbered = F.transform("pairs", lambda g, i: F.struct(common(g).alias("c"), F.xxhash64(g, turn(g, i)).alias("h"), F.concat(g, turn(g, i).cast("string")).alias("g")))
