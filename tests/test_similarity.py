@@ -5,7 +5,6 @@ from __future__ import annotations
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from rolecast.functions.fuzzy import sorted_tokens, token_sort_ratio
 from rolecast.operators import dedupe
