@@ -62,11 +62,15 @@ def profiles(labelled: DataFrame, top: int = TOP) -> DataFrame:
 
 @dataclass(frozen=True)
 class Profiles:
-    """Profiles as arrays: sorted trigrams, and a row of weights by language for each."""
+    """Profiles as arrays: sorted trigrams, and for each a row of weights by language and of whether the language's profile has it.
+
+    Of much text a profile has trigrams so rare that they weigh ``MISSING`` or less, so weights alone do not tell.
+    """
 
     langs: tuple[str, ...]
     grams: np.ndarray
     weights: np.ndarray
+    held: np.ndarray
 
     @staticmethod
     def of(table: DataFrame) -> Profiles:
@@ -74,8 +78,10 @@ class Profiles:
         pdf = table.select("lang", "gram", "weight").toPandas()
         langs, grams = sorted(pdf["lang"].unique()), np.unique(pdf["gram"].to_numpy(np.int64))
         weights = np.full((len(grams), len(langs)), MISSING, np.int64)
-        weights[np.searchsorted(grams, pdf["gram"].to_numpy(np.int64)), pd.Categorical(pdf["lang"], langs).codes] = pdf["weight"].to_numpy(np.int64)
-        return Profiles(tuple(langs), grams, weights)
+        place = np.searchsorted(grams, pdf["gram"].to_numpy(np.int64)), pd.Categorical(pdf["lang"], langs).codes
+        weights[place], held = pdf["weight"].to_numpy(np.int64), np.zeros(weights.shape, bool)
+        held[place] = True
+        return Profiles(tuple(langs), grams, weights, held)
 
     def detect(self, text: str | None) -> tuple[str, float, int]:
         """Language, share of trigrams that its profile has, and sum; of a text in lower case."""
@@ -84,10 +90,11 @@ class Profiles:
             return "other", 0.0, 0
         at = np.minimum(np.searchsorted(self.grams, grams), len(self.grams) - 1)
         there = self.grams[at] == grams
-        own, times, total = self.weights[at[there]], n[there], int(n.sum())
+        at, times, total = at[there], n[there], int(n.sum())
+        own = self.weights[at]
         sums = times @ own + MISSING * (total - int(times.sum()))
         best = int(sums.argmax())  # the first of equals
-        known = int(times[own[:, best] > MISSING].sum())
+        known = int(times[self.held[at, best]].sum())
         return (self.langs[best] if 100 * known >= KNOWN * total else "other"), known / total, int(sums[best])
 
 

@@ -74,6 +74,18 @@ def test_nothing_to_learn_from(spark):
     assert profiles.Profiles.of(table).detect("some text") == ("other", 0.0, 0)
 
 
+def test_rare_trigrams_of_a_profile_are_known(spark):
+    """Of much text, the last trigrams of a profile weigh as much as missing ones, or less."""
+    code = lambda g: sum(ord(c) << s for c, s in zip(g, (42, 21, 0), strict=True))
+    rows = [("en", code("abc"), profiles.MISSING), ("en", code("bcd"), profiles.MISSING - 500), ("de", code("xyz"), -10)]
+    found = profiles.Profiles.of(spark.createDataFrame(rows, "lang string, gram long, weight long"))
+    assert found.detect("abc") == ("other", 0.0, profiles.MISSING)  # equal sums: the first by name
+    assert found.detect("bcd") == ("other", 0.0, profiles.MISSING)
+    alone = profiles.Profiles.of(spark.createDataFrame(rows[:2], "lang string, gram long, weight long"))
+    assert alone.detect("abc") == ("en", 1.0, profiles.MISSING)
+    assert alone.detect("abcd") == ("en", 1.0, 2 * profiles.MISSING - 500)
+
+
 def test_prefilter_takes_a_detector(spark):
     found = profiles.Profiles.of(profiles.profiles(spark.createDataFrame([(k, t * 9) for k, t in TEXTS.items()], "lang string, text string")))
     rows = [(1, TEXTS["en"] * 4, None), (2, TEXTS["xx"] * 9, None), (3, TEXTS["xx"] * 9, "en")]
