@@ -11,7 +11,6 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.running import running
 from ..sources import payloads, registry
 from . import adapters as a
 from .registered import query
@@ -77,8 +76,8 @@ CASES = {
 
 
 def view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents in order of their id, as what records are made of."""
-    return a.read(spark, sf_dir, "documents").orderBy("doc_id").selectExpr(*FIELDS)
+    """The documents as what records are made of; they arrive by ``doc_id``."""
+    return a.read(spark, sf_dir, "documents").selectExpr(*FIELDS)
 
 
 def listed(spark: SparkSession) -> DataFrame:
@@ -89,13 +88,13 @@ def listed(spark: SparkSession) -> DataFrame:
 def records_of(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     case = CASES[name]
     more = {**case.more, **({"_slug": "concat('company-', doc_id % 17)"} if case.company else {})}
-    rows = view(spark, sf_dir).select(F.to_json(F.expr(case.record), {"ignoreNullFields": "true"}).alias("record"), *(F.expr(e).alias(n) for n, e in more.items()))
-    rows = rows.select(F.from_json("record", payloads.SOURCES[name].record).alias("_r"), *more)
+    rows = view(spark, sf_dir).select(F.to_json(F.expr(case.record), {"ignoreNullFields": "true"}).alias("record"), "doc_id", *(F.expr(e).alias(n) for n, e in more.items()))
+    rows = rows.select(F.from_json("record", payloads.SOURCES[name].record).alias("_r"), "doc_id", *more)
     return registry.with_company(rows, listed(spark)).drop("_slug") if case.company else rows
 
 
 def postings(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return payloads.canonical(records_of(spark, sf_dir, name), name)
+    return payloads.canonical(records_of(spark, sf_dir, name), name, order=None if CASES[name].fan else "doc_id")
 
 
 def sql_of(name: str) -> str:
@@ -140,9 +139,8 @@ def keyword_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"WITH {VIEW}, p AS (SELECT 'Adzuna' AS source, doc_id, url FROM d WHERE title <> '' UNION ALL SELECT 'Remotive', doc_id, url FROM d WHERE title <> '') SELECT source, url, row_number() OVER (ORDER BY source, doc_id) AS place FROM p")
 def source_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All postings of two sources as one batch, numbered in order of arrival."""
-    both = payloads.union_all([postings(spark, sf_dir, "adzuna"), postings(spark, sf_dir, "remotive")])
-    numbered = running(both.select("source", "url", "arrival_idx"), [F.lit(0)], ["arrival_idx"], F.lit(1), "_before")
-    return numbered.select("source", "url", (F.col("_before") + 1).cast("long").alias("place"))
+    parts = [postings(spark, sf_dir, name).select("source", "url", "arrival_idx") for name in ("adzuna", "remotive")]
+    return payloads.union_all(parts, start=1, places=False).select("source", "url", F.col("arrival_idx").alias("place"))
 
 
 #: Records as they come: some are torn in the middle, some are no records at all.

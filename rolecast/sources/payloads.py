@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ..functions import text as t
 from ..functions.html import clean_description
 from ..operators.dedupe import keep_first
+from ..operators.running import running
 
 ISO = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 NAMES = ("url", "title", "description", "company_name", "source", "published_at", "location_raw", "salary_min", "salary_max", "currency", "original_language", "external_id", "source_hints")
@@ -284,13 +285,19 @@ def _nested(record: str) -> str:
     return ",".join(f"`{f.name}`:{f.dataType.simpleString()}" for f in StructType.fromDDL(record).fields)
 
 
-def canonical(records: DataFrame, name: str, language: str | None = None, keyword: str = "") -> DataFrame:
-    """Canonical postings of a source in order of arrival (``arrival_idx`` within it); an empty keyword passes all."""
+def canonical(records: DataFrame, name: str, language: str | None = None, keyword: str = "", order: str | None = None) -> DataFrame:
+    """Canonical postings of a source in order of arrival (``arrival_idx`` within it); an empty keyword passes all.
+
+    Records arrive by the column ``order``, which numbers them; without it by their places in the input, which have to be the same
+    whenever it is read: files are, but not a sort, whose ranges come from a sample.  Several postings of a record need places.
+    """
     s = SOURCES[name]
+    if order and "fan_out" in s.extra:
+        raise ValueError(f"{name} makes several postings of a record, which would share its number")
     r = lambda path: F.col(f"_r.{path}") if path not in ("_role", "_pos") else F.col(path)
     fan = s.extra.get("fan_out")
     rows = records.select("*", F.posexplode(r(fan)).alias("_pos", "_role")) if fan else records
-    rows = rows.withColumn("_seq", F.monotonically_increasing_id())
+    rows = rows.withColumn("_seq", F.col(order) if order else F.monotonically_increasing_id())
     if s.keep:
         rows = rows.filter(s.keep(r))
     if s.search and keyword:
@@ -319,10 +326,14 @@ def validate(postings: DataFrame) -> DataFrame:
     return postings.withColumn("missing", F.filter(missing, lambda x: x.isNotNull()))
 
 
-def union_all(parts: list[DataFrame], limit_each: int | None = None, limit: int | None = None, start: int = 0) -> DataFrame:
-    """Postings of all sources in registry order; the limits are features of the import command."""
+def union_all(parts: list[DataFrame], limit_each: int | None = None, limit: int | None = None, start: int = 0, places: bool = True) -> DataFrame:
+    """Postings of all sources in registry order; the limits are features of the import command.
+
+    Their arrival numbers are places in the input; if not, they may be any numbers and are counted.
+    """
     tagged = [(p.orderBy("arrival_idx").limit(limit_each) if limit_each else p).withColumn("_part", F.lit(k)) for k, p in enumerate(parts)]
-    out = dense(reduce(DataFrame.unionByName, tagged), start)
+    both = reduce(DataFrame.unionByName, tagged)
+    out = dense(both, start) if places else counted(both, start)
     return out.orderBy("arrival_idx").limit(limit) if limit else out
 
 
@@ -343,6 +354,12 @@ def dense(rows: DataFrame, start: int = 0) -> DataFrame:
     return split.join(F.broadcast(offsets), ["_part", "_task"]).withColumn("arrival_idx", F.col("_offset") + F.col("_place")).drop("_part", "_task", "_place", "_offset")
 
 
+def counted(rows: DataFrame, start: int = 0) -> DataFrame:
+    """``arrival_idx`` numbered anew from ``start`` in order of ``_part`` and of itself, without gaps, by sums over ranges."""
+    numbered = running(rows, [F.lit(0)], ["_part", "arrival_idx"], F.lit(1), "_before")
+    return numbered.withColumn("arrival_idx", (F.col("_before") + start).cast("long")).drop("_part", "_before")
+
+
 def enabled_sources(registry: DataFrame, providers: DataFrame, denied: list[str], legacy: list[str]) -> DataFrame:
     """Sources that code enables, no list denies, and whose provider row, or else the older list, allows."""
     p = providers.select("slug", F.col("enabled").alias("_db"))

@@ -86,3 +86,33 @@ def test_torn_records_are_counted_and_break_nothing(spark):
     got = {r["source"]: (r["jobs_fetched"], r["n_torn"], r["failure_reason"]) for r in log.collect()}
     assert got["a"] == (1, 3, None) and got["b"] == (0, 2, "CONNECTOR_CRASH") and sum(got["c"][:2]) == 2
     assert whole.filter("source = 'a'").count() == 1 and whole.filter("source = 'b'").count() == 0
+
+
+def test_arrival_numbers_of_a_key_do_not_hang_on_ranges_of_a_sort(spark, tmp_path):
+    """Records in no order, in many files; ranges of a sort differ from run to run, as they do in large tables."""
+    from rolecast.plans import catalogue
+
+    ids = [(k * 7919) % 6000 + (1 << 34) * (k % 3) for k in range(6000)]
+    spark.createDataFrame([(i, "x", "en", "s") for i in ids], "doc_id long, text string, lang string, source string").repartition(7).write.parquet(f"file://{tmp_path}/documents.parquet")
+    conf = {"spark.sql.execution.rangeExchange.sampleSizePerPartition": "1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        got = {(r["source"], r["url"]): r["place"] for r in catalogue.queries()["source_union"](spark, f"file://{tmp_path}").collect()}
+        kept = {r["url"] for r in catalogue.queries()["source_themuse"](spark, f"file://{tmp_path}").collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    named = sorted(i for i in ids if i % 13)
+    url = "https://x.example.com/{}".format
+    assert got == {(s, url(i)): n for n, (s, i) in enumerate([(s, i) for s in ("Adzuna", "Remotive") for i in named], 1)}
+    first = {}
+    for i in named:
+        first.setdefault(i - i % 3, url(i))
+    assert kept == set(first.values())
+
+
+def test_several_postings_of_a_record_need_places(spark):
+    with pytest.raises(ValueError, match="several postings"):
+        p.canonical(spark.range(1), "hn_hiring", order="id")
