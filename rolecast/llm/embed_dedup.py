@@ -8,8 +8,9 @@ precision, is at least ``threshold``.
 
 Recall against brute force is above 0.99 at the threshold itself (``tests/llm``); it rises with ``tables`` and ``probes`` and
 falls with ``scale`` and ``blocks``, which thin out the cells.  Every row is indexed and nothing is fitted.  Candidates among
-unrelated vectors grow with the square of their number, so the cells are chosen by it (``LADDER``): of so many vectors none
-meets more than about 25 others by chance, up to hundreds of millions, and finer cells come with more tables, which keep the recall.
+unrelated vectors grow with the square of their number, so the cells (``CELLS``) are so fine that even of hundreds of millions none
+meets more than about 25 others by chance.  They are the same for every input: whether two vectors link does not depend on what
+else is there.
 
 Equal vectors are joined through one representative first, so a vector with many copies is hashed once.  Only ids are
 in the cells; cells with many vectors are dealt out by adaptive execution.
@@ -46,7 +47,9 @@ class Cells:
     chance: float  # that two unrelated vectors of 64 dimensions meet in any of the tables, as measured
 
 
-#: Up to how many distinct vectors, and with which cells.
+#: The cells of every input, unless the caller states others.
+CELLS = Cells(28, 3, 5.0, 5e-8)
+#: Up to how many distinct vectors other cells would do, for a caller that states them; nothing here chooses by the input's size.
 LADDER = ((40_000, Cells(TABLES, BLOCKS, SCALE, 6e-4)), (6_000_000, Cells(16, 3, 4.2, 4e-6)), (None, Cells(40, 3, 5.5, 7e-8)))
 
 
@@ -178,16 +181,15 @@ def near_pairs(reps: DataFrame, threshold: float, tables: int, blocks: int, prob
     return pairs.join(one, "a").join(two, "b").select("a", "b", "ea", "eb").mapInArrow(verify, "a long, b long")
 
 
-def embedding_links(df: DataFrame, threshold: float = 0.95, probes: int = PROBES, cells: Cells | None = None) -> DataFrame:
+def embedding_links(df: DataFrame, threshold: float = 0.95, probes: int = PROBES, cells: Cells = CELLS) -> DataFrame:
     """``vec_id``, ``n_links``, ``component_id`` and ``kept`` for every row of ``df`` with ``vec_id`` and ``embedding``.
 
-    ``cells`` are those for the number of distinct vectors, if they are not given.
+    ``cells`` are the same for every number of vectors, so a pair's link is a matter of the pair alone.
     """
     rows = df.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").withColumn("same", F.when(usable() & F.col("vec_id").isNotNull(), F.md5(F.col("embedding").cast("string"))))
     groups = rows.filter("same is not null").groupBy("same").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("copies"), F.first("embedding").alias("embedding"))
     # Ids may repeat, and hashes collide: groups get a number of their own when they are written.
     reps, _ = store(groups.withColumn("id", F.monotonically_increasing_id()), "groups")
-    cells = cells or cells_for(reps.count())
     links, _ = store(near_pairs(reps.select("id", "embedding"), threshold, cells.tables, cells.blocks, probes, cells.scale), "links")
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     sizes = reps.select(F.col("id").alias("b"), "copies")

@@ -30,3 +30,30 @@ def test_recall_at_the_threshold_on_each_rung(cells, dim):
 
 def test_cells_by_number_of_vectors():
     assert e.cells_for(0) == e.cells_for(40_000) == e.LADDER[0][1] and e.cells_for(40_001) == e.LADDER[1][1] and e.cells_for(10**10) == e.LADDER[2][1]
+
+
+@pytest.mark.parametrize("dim", [64, 200])
+def test_recall_and_chance_of_the_cells_of_every_input(dim):
+    rng = np.random.default_rng(dim + 1)
+    a = e.unit_rows(rng.normal(size=(2000, dim)))
+    g = rng.normal(size=a.shape)
+    g = e.unit_rows(g - (g * a).sum(axis=1, keepdims=True) * a)
+    assert meets(a, 0.95 * a + np.sqrt(1 - 0.95**2) * g, e.CELLS).mean() > 0.99
+    other, met = e.unit_rows(rng.normal(size=(20_000, 64))), 0
+    for own, probed in e.cells(other, 4, e.CELLS.blocks, e.PROBES, e.CELLS.scale):
+        cells, n = np.unique(own, return_counts=True)
+        at = np.searchsorted(cells, probed.ravel()).clip(max=len(cells) - 1)
+        met += int((n * (n - 1) // 2).sum() + n[at][cells[at] == probed.ravel()].sum())
+    assert met * e.CELLS.tables / 4 <= 20_000 * 19_999 / 2 * 4 * e.CELLS.chance + 3 * e.CELLS.tables / 4
+
+
+def test_links_do_not_depend_on_what_else_is_there(spark, monkeypatch):
+    """The same pair, alone and among others, whatever cells a number of vectors would call for."""
+    monkeypatch.setattr(e, "LADDER", ((3, e.Cells(1, 3, 500.0, 0.0)), (None, e.LADDER[0][1])))
+    rng = np.random.default_rng(4)
+    x = e.unit_rows(rng.normal(size=(8, 64)))
+    x[1] = x[0] + 0.02 * x[2]
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    of = lambda rows: {r["vec_id"]: tuple(r) for r in e.embedding_links(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    few, many = of(rows[:2]), of(rows)
+    assert few == {k: many[k] for k in few} and few[1] == (1, 1, 0, False)
