@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.fuzzy import lcs, sorted_tokens
-from ..shared import cut
+from ..shared import cut, drop, kept
 from .dedupe import FUZZY_DAYS, FUZZY_LEAST, asked, fuzzy_keys
 from .similarity import alike, components
 
@@ -101,8 +101,8 @@ def conflicts(rows: DataFrame, least: float) -> DataFrame:
     c = F.col("cross_source_hash")
     targets = fuzzy_keys(rows, F.coalesce("name_normalized", F.lit("")), F.coalesce("title_normalized", F.lit("")), c=c).distinct()
     live = asked(rows.filter(~F.col("stored") & ~dead()), c=c).distinct()
-    targets, live = cut(targets, "targets"), cut(live, "live")
-    pairs = cut(alike(live, targets, least), "alike")
+    (targets, targets_path), (live, live_path) = kept(targets, "targets"), kept(live, "live")
+    pairs = alike(live, targets, least)
     of = lambda df: df.groupBy("block", "key").agg(F.min("c").alias("m"))
     met = pairs.join(of(live).select("block", F.col("key").alias("a"), F.col("m").alias("ca")), ["block", "a"]).join(of(targets).select("block", F.col("key").alias("b"), F.col("m").alias("cb")), ["block", "b"])
     links = met.select(F.col("ca").alias("a"), F.col("cb").alias("b"))
@@ -110,7 +110,10 @@ def conflicts(rows: DataFrame, least: float) -> DataFrame:
         links = links.unionByName(df.join(of(df), ["block", "key"]).select(F.col("c").alias("a"), F.col("m").alias("b")))
     hashes = rows.select("dedup_hash", c.alias("c")).distinct()
     links = links.unionByName(hashes.join(hashes.groupBy("dedup_hash").agg(F.min("c").alias("m")), "dedup_hash").select(F.col("c").alias("a"), F.col("m").alias("b")))
-    return components(links).select(F.col("id").alias("cross_source_hash"), "component")
+    found = components(links).select(F.col("id").alias("cross_source_hash"), "component")  # written
+    for path in (targets_path, live_path):
+        drop(rows.sparkSession, path)
+    return found
 
 
 def folded(rows: DataFrame, horizon: pd.Timestamp, least: float) -> DataFrame:
@@ -147,14 +150,15 @@ def resolve(batch: DataFrame, stored: DataFrame, as_of: str, days: int = FUZZY_D
     horizon = pd.Timestamp(as_of) - pd.Timedelta(days=days)
     keys = batch.select("name_normalized").unionByName(asked(batch).select(F.col("block").alias("name_normalized"))).distinct()
     both = batch.withColumn("stored", F.lit(False)).select(*NAMES).unionByName(stored.join(keys, "name_normalized", "left_semi").withColumn("stored", F.lit(True)).select(*NAMES))
-    rows = cut(both, "rows")
-    linked = cut(conflicts(rows, least), "components")
+    rows, rows_path = kept(both, "rows")
+    linked = conflicts(rows, least)
     old = F.col("posted_at") < F.lit(horizon.isoformat(" ")).cast("timestamp")
     order, live = F.struct(~F.col("stored"), "arrival_idx"), ~F.col("stored") & ~dead()
     marks = rows.groupBy("dedup_hash").agg(F.min(F.when(~live, order)).alias("first_dead"), F.min(F.when(live, order)).alias("first_live"), F.min(F.when(live & old, order)).alias("first_old"))
     is_one = lambda *names: F.coalesce(F.greatest(*(F.coalesce(F.col(n) == order, F.lit(False)) for n in names)), F.lit(False))
     marked = rows.join(marks, "dedup_hash").join(linked, "cross_source_hash", "left").withColumns({"component": F.coalesce("component", "cross_source_hash"), "_live": live, "_first": is_one("first_live", "first_live"), "_needed": is_one("first_dead", "first_live", "first_old")})
     marked = cut(marked.drop("first_dead", "first_live", "first_old"), "marked")
+    drop(rows.sparkSession, rows_path)
     sizes = marked.filter("_needed").groupBy("component").agg(F.count("*").alias("_n"))
     needed = marked.filter("_needed").join(sizes, "component")
     alone = needed.filter("_n = 1 and not stored").select(

@@ -112,3 +112,24 @@ def test_first_hit_of_another_source(spark):
         hit = next(((d, j) for j, g, t, d in stored if g == h and t != s), None)
         want += [(i, *hit)] if hit else []
     assert got == sorted(want)
+
+
+def test_what_is_no_longer_read_is_freed(spark):
+    """Resolution leaves its outcome, what that is made of, and nothing else in the shared folder."""
+    from pyspark.sql import functions as F
+
+    from rolecast.operators import dedupe, resolve
+    from rolecast.shared import RUN, hadoop, shared_dir
+
+    def there():
+        fs, path = hadoop(spark, f"{shared_dir(spark)}/{RUN}")
+        return {f.getPath().getName() for f in fs.listStatus(path)} if fs.exists(path) else set()
+
+    rows = [(i, f"senior data engineer {'abc'[i % 3]} in rome", f"Company {i % 2}", f"s{i % 4}") for i in range(24)]
+    df = dedupe.with_hashes(spark.createDataFrame(rows, "arrival_idx long, title string, company_name string, source string"))
+    df = df.withColumns({"posted_at": F.lit("2024-01-20").cast("timestamp"), "prefilter_reason": F.lit(None).cast("string"), "url_invalid": F.lit(False)})
+    before = there()
+    out = resolve.resolve(df, df.limit(0), "2024-01-29 00:00:00")
+    left = {name.rsplit("-", 1)[0] for name in there() - before}
+    assert not left & {"rows", "targets", "live", "keys", "postings", "components"} and sum(n.startswith("links") for n in there() - before) == 1
+    assert out.count() == 24
