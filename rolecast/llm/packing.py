@@ -16,12 +16,12 @@ they occur; an empty table gives an empty result; further columns of the input a
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -109,13 +109,12 @@ def fill_gaps(bins: list[list[tuple[int, int, int]]], capacity: int) -> list[lis
 class Encoder:
     """Token ids of whole texts as little-endian unsigned 32-bit bytes, equal to ``Tokenizer.encode(...).ids``.
 
-    No token of this tokenizer spans white space, so ids are looked up by words split at white space.  A plain word
-    (Latin-1 letters, then ASCII signs) goes through the library's model alone; any other goes through the whole
-    library tokenizer, and so does a text in which Python's and the tokenizer's notions of white space differ.
+    No token of this tokenizer spans white space, so ids are looked up by words split at ASCII white space, each distinct
+    word of a batch of texts once.  A plain word (Latin-1 letters, then ASCII signs) goes through the library's model alone;
+    any other goes through the whole library tokenizer, which knows further white space and the special tokens.
     """
 
-    PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
-    ODD = re.compile("[\x1c-\x1f]|<\\|")
+    PLAIN = r"^(?P<core>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<signs>[!-&(-/:-@\[-`{-~]*)$"
     MOST = 500_000
 
     def __init__(self, path: str) -> None:
@@ -124,40 +123,50 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model, self.level = self.tokenizer.model, ByteLevel(add_prefix_space=False, use_regex=False)
-        self.words: dict[str, bytes] = {}
-        self.cores: dict[str, bytes] = {}
+        #: Ids by lower-cased part of a word.  The older half is asked before the model, and goes when the newer one is full.
+        self.newer: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def core(self, word: str) -> bytes:
-        if (known := self.cores.get(word)) is None:
-            mapped = word if word.isascii() else self.level.pre_tokenize_str(word)[0][0]
+    def part(self, part: str) -> bytes:
+        if (known := self.older.get(part)) is None:
+            mapped = part if part.isascii() else self.level.pre_tokenize_str(part)[0][0]
             known = np.array([x.id for x in self.model.tokenize(mapped)], dtype="<u4").tobytes()
-            if len(self.cores) >= self.MOST:
-                self.cores.clear()
-            self.cores[word] = known
+        if len(self.newer) >= self.MOST:
+            self.newer, self.older = {}, self.newer
+        self.newer[part] = known
         return known
 
-    def word(self, word: str) -> bytes:
-        if m := self.PLAIN.fullmatch(word):
-            known = self.core(m[1].lower())
-            if m[2]:
-                known += self.core(m[2])
-        else:
-            known = self.whole(word)
-        if len(self.words) >= self.MOST:
-            self.words.clear()
-        self.words[word] = known
-        return known
+    def parts(self, column: pa.Array) -> pa.Array:
+        coded = column.dictionary_encode()
+        get, distinct = self.newer.get, coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        known = [get(x) for x in distinct]
+        for i, x in enumerate(known):
+            if x is None:
+                known[i] = self.part(distinct[i]) if distinct[i] else b""
+        return pa.array(known, pa.large_binary()).take(coded.indices)
+
+    def words(self, words: pa.Array) -> pa.Array:
+        core, signs = pc.extract_regex(words, self.PLAIN).flatten()
+        ids = pc.binary_join_element_wise(self.parts(pc.utf8_lower(core)), self.parts(signs), pa.scalar(b"", pa.large_binary()))
+        if ids.null_count:
+            other = ids.is_null()
+            ids = pc.replace_with_mask(ids, other, pa.array([self.whole(w) for w in words.filter(other).to_pylist()], pa.large_binary()))
+        return ids
+
+    def batch(self, texts: list[str | None]) -> list[bytes]:
+        words = pc.ascii_split_whitespace(pa.array([t or "" for t in texts], pa.large_string()))
+        coded = words.values.dictionary_encode()
+        ids = self.words(coded.dictionary).take(coded.indices)
+        _, starts, data = ids.buffers()
+        bounds = np.frombuffer(starts, dtype=np.int64)[words.offsets.to_numpy()].tolist() if len(ids) else [0] * (len(texts) + 1)
+        data = memoryview(data or b"")
+        return [bytes(data[a:b]) for a, b in zip(bounds, bounds[1:], strict=False)]
 
     def __call__(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        if self.ODD.search(text):
-            return self.whole(text)
-        get, word = self.words.get, self.word
-        return b"".join([get(w) or word(w) for w in text.split()])
+        return self.batch([text])[0]
 
 
 def encoder(path: str) -> Encoder:
@@ -182,7 +191,7 @@ def pack_documents(df: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
         encode, end = encoder(tokenizer_path), np.array([END_ID], dtype="<u4").tobytes()
         # The order in which rows arrive depends on the shuffle; packing must not.
         rows = sorted(zip(table["doc_id"].to_pylist(), table["text"].to_pylist(), strict=True), key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""))
-        ids = [encode(text) + end for _, text in rows]
+        ids = [x + end for x in encode.batch([text for _, text in rows])]
         first, out = first_sequence(table["grp"][0].as_py()), []
         for s, pieces in enumerate(pack([len(x) // 4 for x in ids], capacity)):
             offset = 0
