@@ -52,6 +52,18 @@ def test_few_candidates_meet(spark):
     assert found >= 200 * 50 and sim.candidates(sim.sides(df, df), 92.0).count() <= 5 * found
 
 
+def test_texts_that_meet_are_told_apart_before_the_shuffle(spark):
+    """Titles of one company in few syllables, so that most share pairs of neighbours: few of those that are not alike are handed on."""
+    rng = random.Random(4)
+    syllables = ["th", "an", "er", "in", "on", "re", "at", "en", "ti", "es", "or", "st"]
+    texts = [" ".join("".join(rng.choices(syllables, k=rng.randrange(1, 5))) for _ in range(9))[:60] for _ in range(230)]
+    rows = [("acme", sorted_tokens(t)) for t in texts + [t[:7] + "x" + t[7:] for t in texts[:30]]]
+    df = spark.createDataFrame(rows, "block string, key string")
+    found = {(r["a"], r["b"]) for r in sim.alike(df, df, 92.0).filter("a <> b").collect()}
+    assert found == {(x, y) for _, x in rows for _, y in rows if x != y and token_sort_ratio(x, y) >= 92} and len(found) >= 40
+    assert sim.candidates(sim.sides(df, df), 92.0).count() <= 10 * len(rows)
+
+
 def test_lengths_that_the_bound_allows():
     """What a text may lack is a bound for every other length and any place of the edits."""
     rng = random.Random(3)
