@@ -39,6 +39,13 @@ def test_similar_postings_equal_all_pairs(spark, slices):
     assert got == first_similar(rows) and any(v is not None for v in got.values())
 
 
+def test_dates_that_begin_again_are_not_late(spark):
+    """Dates that go back by more than the window in each slice: every posting is compared, none is dropped as late."""
+    rows = [("acme", f"senior data engineer {'ab'[i % 2]} in rome", "abc"[i % 3], i, NOW + timedelta(days=i % 8 * 6)) for i in range(32)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    assert {r["arrival_idx"]: r["target_idx"] for r in streaming.similar_to_completion(df).collect()} == first_similar(rows)
+
+
 def test_rows_without_a_date_or_at_all(spark):
     df = spark.createDataFrame([("acme", "nurse", "a", 1, None), ("acme", None, "a", 2, NOW), (None, "nurse", "b", 3, NOW), ("acme", "nurse", "b", 4, NOW)], SCHEMA)
     got = {r["arrival_idx"]: r["target_idx"] for r in streaming.similar_to_completion(df, 1).collect()}
