@@ -145,3 +145,29 @@ def test_what_is_no_longer_read_is_freed(spark):
     left = {name.rsplit("-", 1)[0] for name in there() - before}
     assert not left & {"rows", "targets", "live", "keys", "postings", "components"} and sum(n.startswith("links") for n in there() - before) == 1
     assert out.count() == 24
+
+
+def test_resolution_hands_on_few_titles(spark, monkeypatch):
+    """As the fold of all rows in order, and of the titles of a company that meet few are handed on."""
+    import pandas as pd
+    from pyspark.sql import functions as F
+
+    from rolecast.operators import resolve
+
+    rng, seen, meeting = random.Random(6), [], sim.meeting
+    syllables = ["th", "an", "er", "in", "on", "re", "at", "en", "ti", "es", "or", "st"]
+    texts = [" ".join("".join(rng.choices(syllables, k=rng.randrange(1, 5))) for _ in range(9))[:60] for _ in range(200)]
+    rows = [(i, t, "acme", f"s{i % 3}") for i, t in enumerate(texts + [t[:7] + "x" + t[7:] for t in texts[:20]] + texts[:20])]
+    df = dedupe.with_hashes(spark.createDataFrame(rows, "arrival_idx long, title string, company_name string, source string"))
+    df = df.withColumns({"posted_at": F.lit("2024-01-20").cast("timestamp"), "prefilter_reason": F.lit(None).cast("string"), "url_invalid": F.lit(False)})
+
+    def watched(met, least):
+        found = meeting(met, least)
+        seen.append(found.count())
+        return found
+
+    monkeypatch.setattr(sim, "meeting", watched)
+    got = sorted(map(tuple, resolve.resolve(df, df.limit(0), "2024-01-29 00:00:00").select("arrival_idx", "outcome", "target_idx", "inserted").collect()))
+    whole = df.withColumn("stored", F.lit(False)).orderBy("arrival_idx").toPandas().to_dict("records")
+    assert got == sorted(resolve.fold(whole, pd.Timestamp("2024-01-15"))) and {"new", "fuzzy_hit", "cross_source_hit"} <= {r[1] for r in got}
+    assert len(seen) == 1 and seen[0] <= 10 * len(rows)
